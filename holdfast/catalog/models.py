@@ -36,12 +36,11 @@ POINT = {"learning_rate": 0.1, "n_estimators": 8, "max_depth": 4, "min_child_sam
 
 
 def _split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The split snapshot, written once so that fitting does not rebuild it per pass."""
-    rows = splitting.stratified_split(
-        t.snapshot(spark, sf_dir), SPEC.id_column, SPEC.label.column, t.SPLIT
+    """The split snapshot. The snapshot is written once; the split on it is a projection."""
+    path = sinks.write_table(t.snapshot(spark, sf_dir), workspace.new_path(spark, "snap") + ".parquet")
+    return splitting.stratified_split(
+        spark.read.parquet(path), SPEC.id_column, SPEC.label.column, t.SPLIT
     )
-    path = sinks.write_splits(rows, workspace.new_path(spark, "splits"))
-    return spark.read.parquet(path)
 
 
 def _part(split: DataFrame, name: str) -> DataFrame:
@@ -211,7 +210,7 @@ def score_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     "count(top_priority) as n_rows, count(*) - count(top_priority) as n_rejected from snapshot",
 )
 def score_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The scoring run as recorded; rows were counted while they were written."""
+    """The scoring run as recorded; rows were counted on what was written."""
     _, base = _batch(spark, sf_dir)
     runs = spark.read.parquet(f"{base}/scoring_runs")
     return runs.select("version", "threshold_source", "n_rows", "n_rejected")

@@ -36,29 +36,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per customer: features from orders before the cut-off, label from orders after.
 
-    Orders are counted per customer and priority first (partial sums on the map side), then per
-    customer: one customer with a third of all orders stays a few rows.
+    One shuffle: orders are summed per customer on the map side first, so a customer with a
+    third of all orders arrives as one row per map task.
     """
     orders = table(spark, sf_dir, "orders").select(
         "o_custkey", "o_totalprice", "o_orderpriority", F.to_date("o_orderdate").alias("day")
     )
     cutoff = orders.agg(F.date_sub(F.max("day"), 365)).scalar()
-    past = F.col("day") < cutoff
-    per_priority = orders.groupBy("o_custkey", "o_orderpriority").agg(
-        F.count_if(past).alias("n"),
-        F.sum(F.when(past, F.col("o_totalprice"))).alias("spend"),
-        F.min(F.when(past, F.col("day"))).alias("first_day"),
-        F.count_if(~past).alias("n_after"),
+    past = orders.select(
+        "o_custkey",
+        (F.col("day") < cutoff).alias("past"),
+        F.when(F.col("day") < cutoff, F.col("day")).alias("past_day"),
+        F.when(F.col("day") < cutoff, F.col("o_totalprice")).alias("past_price"),
+        F.when(F.col("day") < cutoff, F.col("o_orderpriority")).alias("past_priority"),
     )
-    commonest = F.min(
-        F.when(F.col("n") > 0, F.struct((-F.col("n")).alias("k"), F.col("o_orderpriority")))
-    )
-    per_customer = per_priority.groupBy("o_custkey").agg(
-        F.sum("n").alias("n_orders"),
-        F.sum("spend").alias("spend"),
-        F.min("first_day").alias("first_day"),
-        F.sum("n_after").alias("n_after"),
-        commonest["o_orderpriority"].alias("top_priority"),
+    per_customer = past.groupBy("o_custkey").agg(
+        F.count_if("past").alias("n_orders"),
+        F.sum("past_price").alias("spend"),
+        F.min("past_day").alias("first_day"),
+        F.count_if(~F.col("past")).alias("n_after"),
+        F.mode("past_priority", deterministic=True).alias("top_priority"),
     )
     customer = table(spark, sf_dir, "customer")
     nation, region = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")

@@ -10,7 +10,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexerModel, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -224,6 +224,15 @@ def _repair_stage(stats: FeatureStats) -> SQLTransformer:
     return SQLTransformer(statement=f"select *, {', '.join(parts)} from __THIS__")
 
 
+def _levels_table(df: DataFrame, stats: FeatureStats) -> DataFrame:
+    """The fitted levels side by side, shorter lists repeated: all that the indexer learns."""
+    lists = [s.levels for s in stats.categorical.values()]
+    longest = max(len(levels) for levels in lists)
+    rows = [tuple(levels[i % len(levels)] for levels in lists) for i in range(longest)]
+    schema = ", ".join(f"{_named('txt_' + c)} string" for c in stats.categorical)
+    return df.sparkSession.createDataFrame(rows, schema)
+
+
 def feature_model(train: DataFrame, stats: FeatureStats) -> PipelineModel:
     """Fitted statistics as a self-contained model that adds a ``features`` vector."""
     if not stats.names:
@@ -231,15 +240,14 @@ def feature_model(train: DataFrame, stats: FeatureStats) -> PipelineModel:
     stages: list = [_repair_stage(stats)]
     cats = list(stats.categorical)
     if cats:
-        # One indexer per column: label lists of different lengths do not share a model.
-        indexers = [
-            StringIndexerModel.from_labels(
-                list(s.levels), inputCol=f"txt_{c}", outputCol=f"idx_{c}", handleInvalid="keep"
-            )
-            for c, s in stats.categorical.items()
-        ]
-        stages += indexers
-        # The indexers' "keep" slot takes unknown values; dropping that last slot, and only
+        indexer = StringIndexer(
+            inputCols=[f"txt_{c}" for c in cats],
+            outputCols=[f"idx_{c}" for c in cats],
+            stringOrderType="alphabetAsc",
+            handleInvalid="keep",
+        ).fit(_levels_table(train, stats))
+        stages.append(indexer)
+        # The indexer's "keep" slot takes unknown values; dropping that last slot, and only
         # that one, leaves every level its own column and unknown values all zero.
         encoder = OneHotEncoder(
             inputCols=[f"idx_{c}" for c in cats],

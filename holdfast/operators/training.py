@@ -84,7 +84,7 @@ def fit_logistic(
         weightCol="weight",
         featuresCol="features",
         maxIter=settings.max_iter,
-        tol=1e-8,
+        tol=settings.tolerance,
         regParam=1.0 / (settings.inverse_penalty * total),
         elasticNetParam=0.0,
         standardization=False,

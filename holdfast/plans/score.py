@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from holdfast.operators import row_rules, scoring, training
@@ -60,7 +60,10 @@ def score_batch(
     runs_path: str | None = None,
     version: str = "v1",
 ) -> Scored:
-    """Score a file with the frozen champion. Rows are counted while they are written."""
+    """Score a file with the frozen champion.
+
+    Rows are counted on what was written, which for Parquet reads file footers only.
+    """
     champion = registry.read_champion(spark, champion_path)
     overridden = threshold_override is not None
     threshold = float(threshold_override if overridden else champion["threshold"])
@@ -70,16 +73,13 @@ def score_batch(
     model = PipelineModel.load(champion["model_path"])
     scores, rejects = score_table(table, model, spec, threshold, mode)
 
-    seen = Observation()
-    sinks.write_table(scores.observe(seen, F.count("*").alias("n_rows")), output_path)
+    sinks.write_table(scores, output_path)
+    written = readers.read_table(spark, output_path)
     n_rejected = 0
     if mode == QUARANTINE and rejects_path is not None:
-        refused = Observation()
-        sinks.write_table(
-            rejects.observe(refused, F.count("*").alias("n_rows")), rejects_path
-        )
-        n_rejected = refused.get["n_rows"]
+        sinks.write_table(rejects, rejects_path)
         rejects = spark.read.parquet(rejects_path)
+        n_rejected = rejects.count()
     digest = fingerprint.content_fingerprint(table).first()
     metadata = {
         "version": version,
@@ -89,7 +89,7 @@ def score_batch(
         "threshold_source": "override" if overridden else "champion",
         "input_path": input_path,
         "input_digest": digest["digest_sum"],
-        "n_rows": seen.get["n_rows"],
+        "n_rows": written.count(),
         "n_rejected": n_rejected,
         "output_path": output_path,
     }
@@ -97,7 +97,6 @@ def score_batch(
         spark.createDataFrame([tuple(metadata.values())], SCORING_RUN_SCHEMA).withColumn(
             "ts", F.current_timestamp()
         ).coalesce(1).write.mode("append").parquet(runs_path)
-    written = readers.read_table(spark, output_path)
     return Scored(written, rejects if mode == QUARANTINE else None, metadata)
 
 

@@ -47,7 +47,9 @@ def train_logistic_job(
     settings: LogisticSpec = LogisticSpec(),
     name: str = "baseline_logistic",
 ) -> Trained:
-    model = training.fit_logistic(train, spec, settings)
+    training.fit_logistic(train, spec, settings).write().overwrite().save(model_path)
+    # The saved model, unlike the fitted one, carries no training summary into its tasks.
+    model = PipelineModel.load(model_path)
     metrics = validation_metrics(model, validation, spec)
     params = {
         "inverse_penalty": settings.inverse_penalty,
@@ -56,7 +58,6 @@ def train_logistic_job(
         "seed": settings.seed,
         **_sizes(train, validation),
     }
-    model.write().overwrite().save(model_path)
     row = registry.run_row(name, params, metrics, {"model_family": "logistic_regression"})
     registry.log_runs(train.sparkSession, runs_path, [row])
     return Trained(model, metrics, row[0])

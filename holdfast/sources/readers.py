@@ -36,12 +36,20 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 
 def read_text_csv(
-    spark: SparkSession, path: str, columns: Sequence[str], strict: bool = True
+    spark: SparkSession, path: str, columns: Sequence[str] | None = None
 ) -> DataFrame:
-    """CSV with a header, every column as text. ``strict``: a differing header is an error."""
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-    reader = spark.read.schema(schema).option("header", True)
-    return reader.option("enforceSchema", not strict).csv(path)
+    """CSV with a header, every column as text, in any order.
+
+    ``columns``: the header must hold exactly these. All files must share one header.
+    """
+    reader = spark.read.option("header", True)
+    header = reader.csv(path).columns  # reads the first line only: nothing is inferred
+    if columns is not None and sorted(header) != sorted(columns):
+        odd = sorted(set(header) ^ set(columns))
+        raise ValueError(f"CSV header and expected columns differ in {odd}")
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in header])
+    text = reader.schema(schema).option("enforceSchema", False).csv(path)
+    return text if columns is None else text.select(*columns)
 
 
 def typed(df: DataFrame, rules: Sequence[ColumnRule]) -> DataFrame:
@@ -65,8 +73,12 @@ def read_raw_csv(
 
     The other columns stay text, so that the type rules still see what the file held.
     """
-    text = read_text_csv(spark, path, [r.name for r in rules])
-    blankable = [r.name for r in rules if r.nullable and isinstance(r.type, T.DoubleType)]
+    text = read_text_csv(spark, path)
+    blankable = [
+        r.name
+        for r in rules
+        if r.nullable and isinstance(r.type, T.DoubleType) and r.name in text.columns
+    ]
     return text.withColumns({c: repair.to_number(text, c) for c in blankable})
 
 
@@ -79,7 +91,7 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
     """Scan by suffix. A CSV without a schema comes back as text columns."""
     if path_format(path) == "parquet":
         return read_parquet(spark, path)
-    reader = spark.read.option("header", True)
-    if schema is not None:
-        reader = reader.schema(schema).option("enforceSchema", False)
+    if schema is None:
+        return read_text_csv(spark, path)
+    reader = spark.read.option("header", True).schema(schema).option("enforceSchema", False)
     return repair.clean_nans(reader.csv(path))

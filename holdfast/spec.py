@@ -110,6 +110,7 @@ class LogisticSpec:
     inverse_penalty: float = 1.0
     max_iter: int = 2000
     class_weight: str | None = "balanced"
+    tolerance: float = 1e-6
     seed: int = 42
 
     def __post_init__(self) -> None:
