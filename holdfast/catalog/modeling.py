@@ -259,7 +259,7 @@ ENCODED_SQL = (
 def _sums(model_rows: DataFrame) -> DataFrame:
     """Sum and non-zero count of every element of the feature vector, in one aggregate."""
     measured = model_rows.select(
-        Summarizer.metrics("sum", "numNonZeros").summary(F.col("features")).alias("m")
+        Summarizer.metrics("sum", "numNonZeros").summary(F.col(features.FEATURES)).alias("m")
     )
     return measured.select(
         F.posexplode(

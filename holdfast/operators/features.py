@@ -22,6 +22,8 @@ from holdfast.spec import ModelingSpec
 MEDIAN_LIMIT = 1_000_000
 #: Sketch accuracy used to close in on the median of larger columns.
 SKETCH = 10_000
+#: The assembled vector; helper columns start with an underscore to stay apart from a table's own.
+FEATURES = "_features"
 #: One-hot levels over all columns; a table beyond it is refused, never cut.
 MOST_LEVELS = 200_000
 
@@ -217,10 +219,10 @@ def _repair_stage(stats: FeatureStats) -> SQLTransformer:
         spread = s.std if s.std > 0 else 1.0
         filled = f"coalesce(nullif(try_cast({_named(c)} as double), double('NaN')), {_number_sql(s.median)})"
         scaled = f"({filled} - {_number_sql(s.mean)}) / {_number_sql(spread)}"
-        parts.append(f"{scaled} as {_named('num_' + c)}")
+        parts.append(f"{scaled} as {_named('_num_' + c)}")
     for c, s in stats.categorical.items():
         filled = f"coalesce(cast({_named(c)} as string), {_quoted(s.mode)})"
-        parts.append(f"{filled} as {_named('txt_' + c)}")
+        parts.append(f"{filled} as {_named('_txt_' + c)}")
     return SQLTransformer(statement=f"select *, {', '.join(parts)} from __THIS__")
 
 
@@ -229,20 +231,20 @@ def _levels_table(df: DataFrame, stats: FeatureStats) -> DataFrame:
     lists = [s.levels for s in stats.categorical.values()]
     longest = max(len(levels) for levels in lists)
     rows = [tuple(levels[i % len(levels)] for levels in lists) for i in range(longest)]
-    schema = ", ".join(f"{_named('txt_' + c)} string" for c in stats.categorical)
+    schema = ", ".join(f"{_named('_txt_' + c)} string" for c in stats.categorical)
     return df.sparkSession.createDataFrame(rows, schema)
 
 
 def feature_model(train: DataFrame, stats: FeatureStats) -> PipelineModel:
-    """Fitted statistics as a self-contained model that adds a ``features`` vector."""
+    """Fitted statistics as a self-contained model that adds the feature vector."""
     if not stats.names:
         raise ValueError("no feature column has any value in the training rows")
     stages: list = [_repair_stage(stats)]
     cats = list(stats.categorical)
     if cats:
         indexer = StringIndexer(
-            inputCols=[f"txt_{c}" for c in cats],
-            outputCols=[f"idx_{c}" for c in cats],
+            inputCols=[f"_txt_{c}" for c in cats],
+            outputCols=[f"_idx_{c}" for c in cats],
             stringOrderType="alphabetAsc",
             handleInvalid="keep",
         ).fit(_levels_table(train, stats))
@@ -250,16 +252,16 @@ def feature_model(train: DataFrame, stats: FeatureStats) -> PipelineModel:
         # The indexer's "keep" slot takes unknown values; dropping that last slot, and only
         # that one, leaves every level its own column and unknown values all zero.
         encoder = OneHotEncoder(
-            inputCols=[f"idx_{c}" for c in cats],
-            outputCols=[f"hot_{c}" for c in cats],
+            inputCols=[f"_idx_{c}" for c in cats],
+            outputCols=[f"_hot_{c}" for c in cats],
             dropLast=True,
             handleInvalid="error",
         ).fit(PipelineModel(stages=stages).transform(train))
         stages = [*stages, encoder]
     stages.append(
         VectorAssembler(
-            inputCols=[*[f"num_{c}" for c in stats.numeric], *[f"hot_{c}" for c in cats]],
-            outputCol="features",
+            inputCols=[*[f"_num_{c}" for c in stats.numeric], *[f"_hot_{c}" for c in cats]],
+            outputCol=FEATURES,
         )
     )
     return PipelineModel(stages=stages)
@@ -272,8 +274,8 @@ def fit_features(train: DataFrame, spec: ModelingSpec) -> tuple[PipelineModel, F
 
 
 def transform_features(model: PipelineModel, df: DataFrame) -> DataFrame:
-    """The rows with their ``features`` vector and without the helper columns."""
-    return model.transform(df).select(*df.columns, "features")
+    """The rows with their feature vector and without the helper columns."""
+    return model.transform(df).select(*df.columns, FEATURES)
 
 
 def feature_manifest(train: DataFrame, spec: ModelingSpec, stats: FeatureStats) -> DataFrame:

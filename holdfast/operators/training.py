@@ -22,6 +22,8 @@ from holdfast.operators import features, splitting
 from holdfast.spec import LabelSpec, LogisticSpec, ModelingSpec, SearchSpec
 
 SCORE = "churn_probability"
+#: Helper columns beside a table's own: the underscore keeps them apart.
+Y, WEIGHT, RAW, PROBABILITY = "_y", "_weight", "_raw", "_probability"
 BALANCED, UNBALANCE = "balanced", "unbalance"
 
 
@@ -50,17 +52,28 @@ def class_weights(df: DataFrame, label: LabelSpec, mode: str = BALANCED) -> Data
 
 
 def with_weight(df: DataFrame, label: LabelSpec, mode: str | None) -> DataFrame:
-    """Rows with ``y`` and ``weight``; the two weights are literals, so no join is needed."""
+    """Rows with 0/1 label and weight; the two weights are literals, so no join is needed."""
     y = label_binary(label)
     if mode is None:
-        return df.select("*", y.alias("y"), F.lit(1.0).alias("weight"))
+        return df.select("*", y.alias(Y), F.lit(1.0).alias(WEIGHT))
     weights = {r["y"]: r["weight"] or 1.0 for r in class_weights(df, label, mode).collect()}
     weight = F.when(y == 1, F.lit(weights[1])).otherwise(F.lit(weights[0]))
-    return df.select("*", y.alias("y"), weight.alias("weight"))
+    return df.select("*", y.alias(Y), weight.alias(WEIGHT))
 
 
-def positive_probability(probability: str = "probability") -> Column:
-    return vector_to_array(F.col(probability))[1]
+def positive_probability() -> Column:
+    return vector_to_array(F.col(PROBABILITY))[1]
+
+
+#: Column names shared by both classifiers.
+_COLUMNS = {
+    "labelCol": Y,
+    "weightCol": WEIGHT,
+    "featuresCol": features.FEATURES,
+    "rawPredictionCol": RAW,
+    "probabilityCol": PROBABILITY,
+    "predictionCol": "_prediction",
+}
 
 
 def score_rows(model: PipelineModel, df: DataFrame, score: str = SCORE) -> DataFrame:
@@ -77,12 +90,10 @@ def fit_logistic(
     """
     prepared, _ = features.fit_features(train, spec)
     weighted = with_weight(train, spec.label, settings.class_weight)
-    total = float(weighted.agg(F.sum("weight")).first()[0])
-    rows = prepared.transform(weighted).select("y", "weight", "features")
+    total = float(weighted.agg(F.sum(WEIGHT)).first()[0])
+    rows = prepared.transform(weighted).select(Y, WEIGHT, features.FEATURES)
     classifier = LogisticRegression(
-        labelCol="y",
-        weightCol="weight",
-        featuresCol="features",
+        **_COLUMNS,
         maxIter=settings.max_iter,
         tol=settings.tolerance,
         regParam=1.0 / (settings.inverse_penalty * total),
@@ -117,9 +128,7 @@ def tree_settings(point: Mapping[str, Any]) -> dict[str, Any]:
 
 
 def _trees(point: Mapping[str, Any], seed: int) -> GBTClassifier:
-    return GBTClassifier(
-        labelCol="y", weightCol="weight", featuresCol="features", seed=seed, **tree_settings(point)
-    )
+    return GBTClassifier(**_COLUMNS, seed=seed, **tree_settings(point))
 
 
 def fit_trees(
@@ -129,7 +138,7 @@ def fit_trees(
     """Features and gradient-boosted trees as one model."""
     prepared, _ = features.fit_features(train, spec)
     weighted = with_weight(train, spec.label, UNBALANCE if unbalance else None)
-    rows = prepared.transform(weighted).select("y", "weight", "features")
+    rows = prepared.transform(weighted).select(Y, WEIGHT, features.FEATURES)
     return PipelineModel(stages=[*prepared.stages, _trees(point, seed).fit(rows)])
 
 
@@ -172,7 +181,7 @@ def random_search(train: DataFrame, spec: ModelingSpec, search: SearchSpec) -> S
         train, spec.id_column, spec.label.column, search.folds, search.seed
     )
     judge = BinaryClassificationEvaluator(
-        labelCol="y", rawPredictionCol="rawPrediction", metricName="areaUnderROC", numBins=0
+        labelCol=Y, rawPredictionCol=RAW, metricName="areaUnderROC", numBins=0
     )
     results = []
     for fold in range(search.folds):
@@ -181,11 +190,11 @@ def random_search(train: DataFrame, spec: ModelingSpec, search: SearchSpec) -> S
         prepared, _ = features.fit_features(kept, spec)
         mode = UNBALANCE if search.unbalance else None
         fit_rows = prepared.transform(with_weight(kept, spec.label, mode)).select(
-            "y", "weight", "features"
+            Y, WEIGHT, features.FEATURES
         ).persist(StorageLevel.MEMORY_AND_DISK)
         judge_rows = prepared.transform(
-            held.select("*", label_binary(spec.label).alias("y"))
-        ).select("y", "features").persist(StorageLevel.MEMORY_AND_DISK)
+            held.select("*", label_binary(spec.label).alias(Y))
+        ).select(Y, features.FEATURES).persist(StorageLevel.MEMORY_AND_DISK)
 
         def one(trial: int) -> float:
             model = _trees(points[trial], search.seed).fit(fit_rows)

@@ -17,8 +17,10 @@ def score_held_out(model: PipelineModel, split: DataFrame, spec: ModelingSpec) -
     if spec.label.column not in split.columns:
         raise ValueError(f"label column {spec.label.column!r} is missing")
     held = split.where(F.col("split").isin(evaluation.VALIDATION, evaluation.TEST))
-    scored = training.score_rows(model, held, "score")
-    return scored.select("split", label_binary(spec.label).alias("y"), "score")
+    scored = training.score_rows(model, held, "_score")
+    return scored.select(
+        "split", label_binary(spec.label).alias("y"), F.col("_score").alias("score")
+    )
 
 
 def evaluation_job(

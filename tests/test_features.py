@@ -14,7 +14,7 @@ SPEC = ModelingSpec("id", {"x": "number"}, ("c",), LabelSpec("y"))
 
 def vectors(model, df):
     rows = features.transform_features(model, df).select(
-        *df.columns, vector_to_array("features").alias("v")
+        *df.columns, vector_to_array(features.FEATURES).alias("v")
     )
     return rows.collect()
 

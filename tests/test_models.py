@@ -65,7 +65,7 @@ def test_class_weights(spark):
     assert balanced == {0: pytest.approx(8 / 12), 1: 2.0}
     tilted = {r["y"]: r["weight"] for r in training.class_weights(df, LABEL, "unbalance").collect()}
     assert tilted == {0: 1.0, 1: 3.0}
-    assert {r["weight"] for r in training.with_weight(df, LABEL, None).collect()} == {1.0}
+    assert {r[training.WEIGHT] for r in training.with_weight(df, LABEL, None).collect()} == {1.0}
     with pytest.raises(ValueError):
         training.class_weights(df, LABEL, "odd")
 
