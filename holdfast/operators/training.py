@@ -70,8 +70,6 @@ _COLUMNS = {
     "labelCol": Y,
     "weightCol": WEIGHT,
     "featuresCol": features.FEATURES,
-    "rawPredictionCol": RAW,
-    "probabilityCol": PROBABILITY,
     "predictionCol": "_prediction",
 }
 
@@ -94,6 +92,8 @@ def fit_logistic(
     rows = prepared.transform(weighted).select(Y, WEIGHT, features.FEATURES)
     classifier = LogisticRegression(
         **_COLUMNS,
+        rawPredictionCol=RAW,
+        probabilityCol=PROBABILITY,
         maxIter=settings.max_iter,
         tol=settings.tolerance,
         regParam=1.0 / (settings.inverse_penalty * total),
@@ -128,7 +128,8 @@ def tree_settings(point: Mapping[str, Any]) -> dict[str, Any]:
 
 
 def _trees(point: Mapping[str, Any], seed: int) -> GBTClassifier:
-    return GBTClassifier(**_COLUMNS, seed=seed, **tree_settings(point))
+    trees = GBTClassifier(**_COLUMNS, seed=seed, **tree_settings(point))
+    return trees.setRawPredictionCol(RAW).setProbabilityCol(PROBABILITY)
 
 
 def fit_trees(
