@@ -205,7 +205,7 @@ def row_unknown_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     "from rates r cross join overall o",
 )
 def split_integrity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    split = splitting.stratified_split(t.snapshot(spark, sf_dir), "customer_id", "churn", t.SPLIT)
+    split = splitting.stratified_split(t.written_snapshot(spark, sf_dir), "customer_id", "churn", t.SPLIT)
     return splitting.split_integrity(split, t.SNAPSHOT_SPEC)
 
 

@@ -63,7 +63,7 @@ def ranking_by_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
     from holdfast.operators.running import measure_ranges
 
     rows = t.scored(spark, sf_dir)
-    ranges = measure_ranges(rows, "score", ["split"], one_range_limit=1_000)
+    ranges = measure_ranges(rows, "score", ["split"], one_range_rows=1_000)
     cumulative = ranking.cumulative_counts(rows, "score", Y, ["split"], ranges)
     return _rounded(
         ranking.ranking_metrics(cumulative, ["split"]), "roc_auc", "average_precision"

@@ -20,7 +20,7 @@ FOLDS = 5
 
 def _split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return splitting.stratified_split(
-        t.snapshot(spark, sf_dir), SPEC.id_column, SPEC.label.column, t.SPLIT
+        t.written_snapshot(spark, sf_dir), SPEC.id_column, SPEC.label.column, t.SPLIT
     )
 
 
@@ -89,7 +89,7 @@ def union_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
     "on o.churn = u.churn and rn > lo and rn <= hi",
 )
 def stratified_kfold(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = t.snapshot(spark, sf_dir)
+    rows = t.written_snapshot(spark, sf_dir)
     folds = splitting.stratified_folds(rows, SPEC.id_column, SPEC.label.column, FOLDS)
     return folds.select("customer_id", "churn", "fold")
 

@@ -36,10 +36,9 @@ POINT = {"learning_rate": 0.1, "n_estimators": 8, "max_depth": 4, "min_child_sam
 
 
 def _split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The split snapshot. The snapshot is written once; the split on it is a projection."""
-    path = sinks.write_table(t.snapshot(spark, sf_dir), workspace.new_path(spark, "snap") + ".parquet")
+    """The split snapshot: a projection of the written table."""
     return splitting.stratified_split(
-        spark.read.parquet(path), SPEC.id_column, SPEC.label.column, t.SPLIT
+        t.written_snapshot(spark, sf_dir), SPEC.id_column, SPEC.label.column, t.SPLIT
     )
 
 

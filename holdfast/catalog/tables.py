@@ -9,7 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from holdfast import workspace
 from holdfast.contracts import ColumnRule
+from holdfast.sources import sinks
 from holdfast.spec import LabelSpec, ModelingSpec, SplitSpec
 
 SPLIT = SplitSpec()
@@ -29,8 +31,15 @@ SNAPSHOT_SPEC = ModelingSpec(
 )
 
 
+_SCHEMAS: dict[str, T.StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """One of the driver's tables; its schema is read from a file footer once per path."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -80,6 +89,12 @@ def snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def written_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The snapshot as a table: fitting and splitting read it several times."""
+    path = workspace.new_path(spark, "snapshot") + ".parquet"
+    return spark.read.parquet(sinks.write_table(snapshot(spark, sf_dir), path))
+
+
 SNAPSHOT_SQL = """
 cut as (select cast(max(o_orderdate) as date) - 365 as cutoff from orders),
 past as (select o.*, cutoff from orders o cross join cut where cast(o_orderdate as date) < cutoff),

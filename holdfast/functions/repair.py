@@ -8,10 +8,10 @@ from pyspark.sql import types as T
 
 #: Characters stripped from both ends of text.
 BLANKS = " \t\n\r\x0b\x0c"
-#: Text read as a decimal number.
-NUMBER_TEXT = r"^[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?$"
-#: Text read as an infinite number.
-INFINITE_TEXT = r"^(?i)[+-]?inf(inity)?$"
+#: Text read as a number, the infinite ones included.
+READABLE_TEXT = (
+    r"^[+-]?(([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?|[iI][nN][fF]([iI][nN][iI][tT][yY])?)$"
+)
 #: Text read as a whole number.
 WHOLE_TEXT = r"^[+-]?[0-9]+$"
 
@@ -38,8 +38,7 @@ def to_number(df: DataFrame, column: str) -> Column:
     if not is_text(df, column):
         return nan_to_null(F.col(column).cast("double"))
     text = stripped(column)
-    readable = text.rlike(NUMBER_TEXT) | text.rlike(INFINITE_TEXT)
-    return F.when(readable, text.try_cast("double"))
+    return F.when(text.rlike(READABLE_TEXT), text.try_cast("double"))
 
 
 def to_flag(df: DataFrame, column: str) -> Column:

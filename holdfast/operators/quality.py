@@ -47,8 +47,7 @@ def _fits(df: DataFrame, rule: ColumnRule) -> Column | None:
         text = repair.stripped(rule.name)
         if isinstance(rule.type, T.IntegralType):
             return F.col(rule.name).isNotNull() & ~text.rlike(repair.WHOLE_TEXT)
-        reads = text.rlike(repair.NUMBER_TEXT) | text.rlike(repair.INFINITE_TEXT)
-        return F.col(rule.name).isNotNull() & ~reads
+        return F.col(rule.name).isNotNull() & ~text.rlike(repair.READABLE_TEXT)
     if isinstance(rule.type, T.IntegralType):
         whole = isinstance(have, T.IntegralType)
         return None if whole else F.col(rule.name).isNotNull()
@@ -112,12 +111,15 @@ def count_failures(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
 
     The sample is the smallest failing value as text, so it does not depend on row order.
     """
-    one_pass = df.agg(
-        *[F.count_if(c.broken).alias(f"n{i}") for i, c in enumerate(checks)],
-        *[
-            F.min(F.when(c.broken, F.col(c.column).cast("string"))).alias(f"s{i}")
-            for i, c in enumerate(checks)
-        ],
+    # Every test is evaluated once per row, then counted and sampled from.
+    tested = df.select(
+        *[c.broken.alias(f"_b{i}") for i, c in enumerate(checks)],
+        *[F.col(c).cast("string").alias(f"_v_{c}") for c in sorted({c.column for c in checks})],
+    )
+    one_pass = tested.agg(
+        *[F.count_if(f"_b{i}").alias(f"n{i}") for i in range(len(checks))],
+        *[F.min(F.when(F.col(f"_b{i}"), F.col(f"_v_{c.column}"))).alias(f"s{i}")
+          for i, c in enumerate(checks)],
     )
     facts = F.array(
         *[

@@ -23,51 +23,64 @@ class Reading:
     reason: str
 
 
-def _raw_number(df: DataFrame, name: str) -> tuple[Column, Column]:
-    """(number with NaN kept, whether the field could be read as a number at all)."""
-    column = F.col(name)
-    if not repair.is_text(df, name):
-        return column.cast("double"), column.isNotNull()
-    text = repair.stripped(name)
-    not_a_number = F.lower(text).isin("nan", "+nan", "-nan")
-    reads = text.rlike(repair.NUMBER_TEXT) | text.rlike(repair.INFINITE_TEXT)
-    value = F.when(not_a_number, F.lit(float("nan"))).when(reads, text.try_cast("double"))
-    return value, value.isNotNull()
+def _number_read(name: str) -> str:
+    return f"_num_{name}"
+
 
+def _first_look(df: DataFrame, spec: ModelingSpec) -> DataFrame:
+    """Text stripped, and every numeric field read once as ``_num_<field>`` with NaN kept.
+
+    A projection of its own, so that the rules below do not read the text again and again.
+    """
+    texts = [c for c in df.columns if repair.is_text(df, c)]
+    df = df.withColumns({c: repair.stripped(c) for c in texts})
+    reads = {}
+    for c in spec.numeric:
+        if c in texts:
+            not_a_number = F.lower(c).isin("nan", "+nan", "-nan")
+            value = F.when(F.col(c).rlike(repair.READABLE_TEXT), F.col(c).try_cast("double"))
+            reads[_number_read(c)] = F.when(not_a_number, F.lit(float("nan"))).otherwise(value)
+        else:
+            reads[_number_read(c)] = F.col(c).cast("double")
+    return df.withColumns(reads)
 
-def _finite(value: Column) -> Column:
-    return ~F.isnan(value) & (F.abs(value) != float("inf"))
+
+def _cut_off(value: Column) -> Column:
+    """Whole part of a finite number, towards zero; null for NaN and infinite ones."""
+    finite = ~F.isnan(value) & (F.abs(value) != float("inf"))
+    return F.when(finite, F.when(value < 0, F.ceil(value)).otherwise(F.floor(value)))
 
 
 def _flag(df: DataFrame, name: str) -> Reading:
-    value, reads = _raw_number(df, name)
-    cut = F.when(_finite(value), F.when(value < 0, F.ceil(value)).otherwise(F.floor(value)))
-    return Reading(name, cut.cast("int"), reads & cut.isin(0, 1), "must be 0 or 1")
+    cut = _cut_off(F.col(_number_read(name)))
+    return Reading(name, cut.cast("int"), cut.isin(0, 1), "must be 0 or 1")
 
 
 def _whole(df: DataFrame, name: str) -> Reading:
     """Integers zero or more; a fraction in a number column is cut off, in text it is refused."""
-    value, reads = _raw_number(df, name)
+    cut = _cut_off(F.col(_number_read(name)))
+    ok = cut >= 0
     if repair.is_text(df, name):
-        reads = reads & repair.stripped(name).rlike(repair.WHOLE_TEXT)
-    cut = F.when(_finite(value), F.when(value < 0, F.ceil(value)).otherwise(F.floor(value)))
-    return Reading(name, cut.cast("long"), reads & (cut >= 0), "must be a whole number, 0 or more")
+        ok = ok & F.col(name).rlike(repair.WHOLE_TEXT)
+    return Reading(name, cut.cast("long"), ok, "must be a whole number, 0 or more")
 
 
 def _amount(df: DataFrame, name: str) -> Reading:
-    value, reads = _raw_number(df, name)
-    return Reading(name, value, reads & ~F.isnan(value) & (value >= 0), "must be a number, 0 or more")
+    value = F.col(_number_read(name))
+    return Reading(name, value, ~F.isnan(value) & (value >= 0), "must be a number, 0 or more")
 
 
 def _optional(df: DataFrame, name: str) -> Reading:
-    value, reads = _raw_number(df, name)
-    blank = repair.blank_to_null(F.col(name).cast("string")).isNull()
-    return Reading(name, repair.nan_to_null(value), blank | reads, "must be a number or blank")
+    value = F.col(_number_read(name))
+    blank = F.coalesce(F.col(name).cast("string"), F.lit("")) == ""
+    return Reading(
+        name, repair.nan_to_null(value), blank | value.isNotNull(), "must be a number or blank"
+    )
 
 
 def _number(df: DataFrame, name: str) -> Reading:
-    value, reads = _raw_number(df, name)
-    return Reading(name, repair.nan_to_null(value), reads, "must be a number")
+    value = F.col(_number_read(name))
+    return Reading(name, repair.nan_to_null(value), value.isNotNull(), "must be a number")
 
 
 _BY_KIND = {
@@ -83,13 +96,11 @@ def _text(df: DataFrame, name: str) -> Reading:
     """Text of one character or more, any value allowed; numbers are not taken for text."""
     if not repair.is_text(df, name):
         return Reading(name, F.col(name).cast("string"), F.lit(False), "must be text")
-    value = repair.stripped(name)
-    return Reading(name, value, value != "", "must not be empty")
+    return Reading(name, F.col(name), F.col(name) != "", "must not be empty")
 
 
 def _id(df: DataFrame, name: str) -> Reading:
-    value = repair.stripped(name) if repair.is_text(df, name) else F.col(name)
-    return Reading(name, value, value.cast("string") != "", "must not be empty")
+    return Reading(name, F.col(name), F.col(name).cast("string") != "", "must not be empty")
 
 
 def unknown_columns(
@@ -120,6 +131,7 @@ def check_rows(df: DataFrame, spec: ModelingSpec, carry: Sequence[str] = ()) ->
     for c, kind in spec.numeric.items():
         if kind == "optional" and c not in df.columns:
             df = df.withColumn(c, F.lit(None).cast("double"))
+    df = _first_look(df, spec)
 
     readings = [
         _id(df, spec.id_column),
@@ -134,12 +146,9 @@ def check_rows(df: DataFrame, spec: ModelingSpec, carry: Sequence[str] = ()) ->
             ]
         )
     )
-    kept = [F.col(c) for c in carry]
-    label = spec.label.column
-    if label in df.columns:
-        kept.append(
-            (repair.stripped(label) if repair.is_text(df, label) else F.col(label)).alias(label)
-        )
+    kept = list(carry)
+    if spec.label.column in df.columns:
+        kept.append(spec.label.column)
     return df.select(*[r.value.alias(r.name) for r in readings], *kept, reasons.alias("reasons"))
 
 

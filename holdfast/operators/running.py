@@ -14,8 +14,8 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Up to this many distinct values a group is summed by one window partition.
-ONE_RANGE_LIMIT = 500_000
+#: Up to this many rows a group is summed by one window partition.
+ONE_RANGE_ROWS = 1_000_000
 #: Most value ranges over all groups together; bounds what is broadcast.
 MOST_RANGES = 4_096
 
@@ -32,28 +32,23 @@ def measure_ranges(
     rows: DataFrame,
     order_by: str,
     by: Sequence[str] = (),
-    one_range_limit: int = ONE_RANGE_LIMIT,
+    one_range_rows: int = ONE_RANGE_ROWS,
     most_ranges: int = MOST_RANGES,
 ) -> ValueRanges:
-    """One aggregate over the rows: choose cut points that keep every range small.
+    """Choose cut points that keep every range small: a count, and quantiles for large tables.
 
     Cut points are row quantiles, so a range never holds more distinct values than its share
     of the rows; a value repeated in a third of the rows is one grouped row later on.
     """
     rows = rows.where(F.col(order_by).isNotNull())
-    sizes = (
-        rows.groupBy(*by)
-        .agg(F.approx_count_distinct(order_by).alias("n_values"))
-        .limit(most_ranges + 1)
-        .collect()
-    )
+    sizes = rows.groupBy(*by).agg(F.count("*").alias("n")).limit(most_ranges + 1).collect()
     if len(sizes) > most_ranges:
         raise ValueError(f"more than {most_ranges} groups in {list(by)}")
-    largest = max((r["n_values"] for r in sizes), default=0)
+    largest = max((r["n"] for r in sizes), default=0)
     groups = max(len(sizes), 1)
-    if largest <= one_range_limit:
+    if largest <= one_range_rows:
         return ValueRanges((), groups)
-    per_group = max(2, min(most_ranges // groups, 1 + (4 * largest) // one_range_limit))
+    per_group = max(2, min(most_ranges // groups, 1 + (4 * largest) // one_range_rows))
     shares = [i / per_group for i in range(1, per_group)]
     cuts = rows.groupBy(*by).agg(
         F.percentile_approx(order_by, shares, max(10_000, 8 * per_group)).alias("cuts")

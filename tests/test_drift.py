@@ -77,7 +77,7 @@ def test_ks_statistic(spark, limit):
     ref = spark.createDataFrame([(v,) for v in a] + [(None,)], "x double")
     cur = spark.createDataFrame([(v,) for v in b] + [(float("nan"),)], "x double")
     long = drift.numeric_values(ref, cur, ["x"])
-    ranges = measure_ranges(long, "value", ["column"], one_range_limit=limit)
+    ranges = measure_ranges(long, "value", ["column"], one_range_rows=limit)
     row = drift.ks_statistics(ref, cur, ["x"], ranges).first()
     assert (row["n_ref"], row["n_cur"]) == (230, 100)
     assert row["statistic"] == pytest.approx(ks_by_hand(a, b), abs=1e-15)

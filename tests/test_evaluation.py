@@ -56,7 +56,7 @@ def counts_by_hand(rows, cut):
 
 @pytest.mark.parametrize("limit", [1_000_000, 50])
 def test_ranking_metrics(many, limit):
-    ranges = measure_ranges(many, "score", ["split"], one_range_limit=limit)
+    ranges = measure_ranges(many, "score", ["split"], one_range_rows=limit)
     assert bool(ranges.edges) == (limit == 50)
     cumulative = ranking.cumulative_counts(many, "score", "y", ["split"], ranges)
     for r in ranking.ranking_metrics(cumulative, ["split"]).collect():
