@@ -16,8 +16,10 @@ from pyspark.sql import functions as F
 
 #: Up to this many rows a group is summed by one window partition.
 ONE_RANGE_ROWS = 1_000_000
-#: Most value ranges over all groups together; bounds what is broadcast.
-MOST_RANGES = 4_096
+#: Most value ranges over all groups together.
+MOST_RANGES = 10_000
+#: Range totals are broadcast up to this many rows, groups times ranges, and joined beyond it.
+BROADCAST_ROWS = 200_000
 
 
 @dataclass(frozen=True)
@@ -88,7 +90,6 @@ def running_totals(
     range_order = F.col("_range").desc() if descending else F.col("_range").asc()
     before = Window.partitionBy(*by).orderBy(range_order).rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(*by)
-    # At most groups * (edges + 1) rows: both factors were measured.
     offsets = per_range.select(
         *by,
         "_range",
@@ -99,7 +100,9 @@ def running_totals(
         Window.partitionBy(*by, "_range").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     )
     summed = ranged.select("*", *[F.sum(c).over(inside).alias(f"_in_{c}") for c in totals])
-    return summed.join(F.broadcast(offsets), [*by, "_range"]).select(
+    if ranges.groups * (len(ranges.edges) + 1) <= BROADCAST_ROWS:
+        offsets = F.broadcast(offsets)
+    return summed.join(offsets, [*by, "_range"]).select(
         *counts.columns,
         *[(F.col(f"_in_{c}") + F.col(f"_off_{c}")).alias(f"cum_{c}") for c in totals],
         *[f"all_{c}" for c in totals],

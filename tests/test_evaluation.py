@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from holdfast.operators import evaluation, ranking, threshold
+from holdfast.operators import evaluation, ranking, running, threshold
 from holdfast.operators.running import ValueRanges, measure_ranges, running_totals
 from holdfast.spec import EvalSpec
 
@@ -65,8 +65,10 @@ def test_ranking_metrics(many, limit):
         assert r["average_precision"] == pytest.approx(ap_by_hand(rows), abs=1e-12)
 
 
+@pytest.mark.parametrize("broadcast_rows", [0, 1000])
 @pytest.mark.parametrize("descending", [True, False])
-def test_running_totals_over_ranges(spark, descending):
+def test_running_totals_over_ranges(spark, descending, broadcast_rows, monkeypatch):
+    monkeypatch.setattr(running, "BROADCAST_ROWS", broadcast_rows)
     rng = random.Random(5)
     counts = [(g, v / 7, rng.randrange(10)) for g in "ab" for v in rng.sample(range(500), 200)]
     df = spark.createDataFrame(counts, "g string, v double, n long")
