@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from holdfast import workspace
 from holdfast.catalog import tables as t
 from holdfast.catalog.entries import entry
-from holdfast.operators import features, splitting, training
+from holdfast.operators import splitting, training
 from holdfast.operators.quality import Check
 from holdfast.plans import evaluate, score, train
 from holdfast.sources import registry, sinks
@@ -51,9 +51,8 @@ def train_logistic(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Coefficients of the balanced logistic baseline."""
     train_rows = _part(_split(spark, sf_dir), "train")
     model = training.fit_logistic(train_rows, SPEC)
-    names = features.fit_statistics(train_rows, SPEC).names
     return spark.createDataFrame(
-        training.model_coefficients(model, names), "feature string, coefficient double"
+        training.model_coefficients(model), "feature string, coefficient double"
     )
 
 

@@ -52,19 +52,14 @@ def snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
         "o_custkey", "o_totalprice", "o_orderpriority", F.to_date("o_orderdate").alias("day")
     )
     cutoff = orders.agg(F.date_sub(F.max("day"), 365)).scalar()
-    past = orders.select(
-        "o_custkey",
-        (F.col("day") < cutoff).alias("past"),
-        F.when(F.col("day") < cutoff, F.col("day")).alias("past_day"),
-        F.when(F.col("day") < cutoff, F.col("o_totalprice")).alias("past_price"),
-        F.when(F.col("day") < cutoff, F.col("o_orderpriority")).alias("past_priority"),
-    )
-    per_customer = past.groupBy("o_custkey").agg(
-        F.count_if("past").alias("n_orders"),
-        F.sum("past_price").alias("spend"),
-        F.min("past_day").alias("first_day"),
-        F.count_if(~F.col("past")).alias("n_after"),
-        F.mode("past_priority", deterministic=True).alias("top_priority"),
+    aged = orders.withColumn("age", F.datediff(cutoff, "day"))
+    past = F.col("age") > 0
+    per_customer = aged.groupBy("o_custkey").agg(
+        F.count_if(past).alias("n_orders"),
+        F.sum(F.when(past, F.col("o_totalprice"))).alias("spend"),
+        F.max(F.when(past, F.col("age"))).alias("tenure_days"),
+        F.count_if(~past).alias("n_after"),
+        F.mode(F.when(past, F.col("o_orderpriority")), deterministic=True).alias("top_priority"),
     )
     customer = table(spark, sf_dir, "customer")
     nation, region = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
@@ -75,7 +70,7 @@ def snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select(
             F.col("c_custkey").alias("customer_id"),
             (F.col("c_acctbal") < 0).cast("int").alias("is_debtor"),
-            F.datediff(cutoff, "first_day").alias("tenure_days"),
+            "tenure_days",
             F.coalesce("n_orders", F.lit(0)).cast("long").alias("n_orders"),
             F.round(F.try_divide("spend", "n_orders"), 6).alias("avg_ticket"),
             F.round("spend", 2).alias("total_spend"),

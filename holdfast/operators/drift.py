@@ -10,7 +10,12 @@ from pyspark.sql import types as T
 
 from holdfast.functions import repair
 from holdfast.functions.pvalues import chi2_p_values, ks_p_values
-from holdfast.operators.running import ValueRanges, measure_ranges, running_totals
+from holdfast.operators.running import (
+    ONE_RANGE_ROWS,
+    ValueRanges,
+    measure_ranges,
+    running_totals,
+)
 from holdfast.spec import ModelingSpec
 
 #: Text that stands for a missing category (fixed value).
@@ -76,7 +81,11 @@ def ks_statistics(
     """
     long = numeric_values(reference, current, columns)
     if ranges is None:
-        ranges = measure_ranges(long, "value", ["column"])
+        # Every column has at most as many values as both tables have rows.
+        if reference.count() + current.count() <= ONE_RANGE_ROWS:
+            ranges = ValueRanges((), len(columns))
+        else:
+            ranges = measure_ranges(long, "value", ["column"])
     counts = long.groupBy("column", "value").agg(
         F.sum(1 - F.col("is_cur")).alias("ref"), F.sum("is_cur").alias("cur")
     )

@@ -10,7 +10,13 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
+from pyspark.ml.feature import (
+    OneHotEncoder,
+    SQLTransformer,
+    StringIndexer,
+    StringIndexerModel,
+    VectorAssembler,
+)
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -267,6 +273,25 @@ def feature_model(train: DataFrame, stats: FeatureStats) -> PipelineModel:
     return PipelineModel(stages=stages)
 
 
+def model_feature_names(model: PipelineModel) -> list[str]:
+    """Output feature names of a fitted or loaded model, in vector order."""
+    names: list[str] = []
+    levels: dict[str, list[str]] = {}
+    for stage in model.stages:
+        if isinstance(stage, StringIndexerModel):
+            columns = [c.removeprefix("_idx_") for c in stage.getOutputCols()]
+            levels = {
+                c: [f"{c}_{v}" for v in labels] for c, labels in zip(columns, stage.labelsArray)
+            }
+        elif isinstance(stage, VectorAssembler):
+            for c in stage.getInputCols():
+                if c.startswith("_num_"):
+                    names.append(c.removeprefix("_num_"))
+                else:
+                    names += levels[c.removeprefix("_hot_")]
+    return names
+
+
 def fit_features(train: DataFrame, spec: ModelingSpec) -> tuple[PipelineModel, FeatureStats]:
     """Fit on training rows; apply the model to any rows."""
     stats = fit_statistics(train, spec)

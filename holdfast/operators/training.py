@@ -231,9 +231,10 @@ def best_trial(trials: DataFrame) -> DataFrame:
     return trial_table(trials).limit(1)
 
 
-def model_coefficients(model: PipelineModel, names: Sequence[str]) -> list[tuple[str, float]]:
-    """(feature, coefficient) of a fitted logistic model, intercept first."""
+def model_coefficients(model: PipelineModel) -> list[tuple[str, float]]:
+    """(feature, coefficient) of a fitted or loaded logistic model, intercept first."""
     fitted = model.stages[-1]
+    names = features.model_feature_names(model)
     return [("(intercept)", float(fitted.intercept))] + [
-        (n, float(c)) for n, c in zip(names, fitted.coefficients.toArray())
+        (n, float(c)) for n, c in zip(names, fitted.coefficients.toArray(), strict=True)
     ]

@@ -81,7 +81,7 @@ def test_logistic_solves_the_penalised_problem(spark):
     )
     spec = ModelingSpec("id", {"x": "number"}, (), LabelSpec("y"))
     model = training.fit_logistic(df, spec, LogisticSpec(inverse_penalty=0.5, tolerance=1e-10))
-    (_, b), (_, w) = training.model_coefficients(model, ["x"])
+    (_, b), (_, w) = training.model_coefficients(model)
     z = (x - x.mean()) / x.std()
     weight = np.where(y, 300 / (2 * y.sum()), 300 / (2 * (~y).sum()))
     miss = weight * (1 / (1 + np.exp(-(w * z + b))) - y)
@@ -106,6 +106,7 @@ def test_training_job(spark, split, trained):
 def test_features_are_fitted_on_train_only(split, trained):
     _, done = trained
     stats = features.fit_statistics(part(split, "train"), SNAPSHOT_SPEC)
+    assert features.model_feature_names(done.model) == stats.names
     assert done.model.stages[-1].numFeatures == len(stats.names)
 
 
