@@ -25,7 +25,7 @@ from holdfast.operators import eda
 from holdfast.spec import ModelingSpec
 
 #: Columns with no more values than this are sorted whole to find the median.
-MEDIAN_LIMIT = 1_000_000
+MEDIAN_LIMIT = 100_000
 #: Sketch accuracy used to close in on the median of larger columns.
 SKETCH = 10_000
 #: The assembled vector; helper columns start with an underscore to stay apart from a table's own.
