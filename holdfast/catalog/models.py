@@ -5,6 +5,7 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.ml import PipelineModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -12,11 +13,11 @@ from pyspark.sql import types as T
 from holdfast import workspace
 from holdfast.catalog import tables as t
 from holdfast.catalog.entries import entry
-from holdfast.operators import splitting, training
+from holdfast.operators import features, splitting, training
 from holdfast.operators.quality import Check
 from holdfast.plans import evaluate, score, train
 from holdfast.sources import registry, sinks
-from holdfast.spec import SearchSpec
+from holdfast.spec import LogisticSpec, SearchSpec
 from holdfast.streaming import scoring as stream_scoring
 from holdfast.streaming import windows
 
@@ -56,6 +57,47 @@ def train_logistic(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+OPTIMUM_SQL = (
+    f"with {t.SPLIT_SQL}, train as (select * from split where split = 'train') "
+    + " union all ".join(
+        f"select '{c}' as feature, cast(0 as double) as slope from (select 1) x"
+        for c in SPEC.numeric
+    )
+    + " union all "
+    + " union all ".join(
+        f"select distinct concat('{c}_', {c}), cast(0 as double) from train where {c} is not null"
+        for c in SPEC.categorical
+    )
+    + " union all select '(intercept)', cast(0 as double)"
+)
+
+
+@entry("logistic_optimum", OPTIMUM_SQL)
+def logistic_optimum(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Slope of the penalised loss per weight and feature at the fitted model: zero everywhere."""
+    train_rows = _part(_split(spark, sf_dir), "train")
+    settings = LogisticSpec(tolerance=1e-9)
+    model = training.fit_logistic(train_rows, SPEC, settings)
+    weighted = training.with_weight(train_rows, SPEC.label, settings.class_weight)
+    miss = F.col(training.WEIGHT) * (training.positive_probability() - F.col(training.Y))
+    parts = F.concat(F.array(F.lit(1.0)), vector_to_array(features.FEATURES))
+    sums = (
+        model.transform(weighted)
+        .select(miss.alias("miss"), training.WEIGHT, F.posexplode(parts).alias("at", "x"))
+        .groupBy("at")
+        .agg(F.sum(F.col("miss") * F.col("x")).alias("pull"), F.sum(training.WEIGHT).alias("w"))
+    )
+    fitted = training.model_coefficients(model)
+    names = F.array(*[F.lit(n) for n, _ in fitted])
+    # The intercept carries no penalty.
+    shrink = F.array(F.lit(0.0), *[F.lit(c / settings.inverse_penalty) for _, c in fitted[1:]])
+    slope = (F.col("pull") + F.element_at(shrink, F.col("at") + 1)) / F.col("w")
+    return sums.select(
+        F.element_at(names, F.col("at") + 1).alias("feature"),
+        (F.round(slope, 3) + 0.0).alias("slope"),
+    )
+
+
 @entry("train_gbt")
 def train_gbt(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Validation metrics of boosted trees."""
@@ -154,7 +196,12 @@ def champion_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@entry("champion_resolve")
+@entry(
+    "champion_resolve",
+    f"with {t.SPLIT_SQL} select source, count(*) as n_scored from split cross join "
+    "(select unnest(['override', 'champion', 'fallback']) as source) x where split = 'test' "
+    "group by source",
+)
 def champion_resolve(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Which model each order of candidates falls on, and how many rows it scores."""
     split, trained, base = _baseline(spark, sf_dir)
@@ -217,7 +264,11 @@ def score_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- streams ---------------------------------------------------------------------------------
 
 
-@entry("score_stream")
+@entry(
+    "score_stream",
+    f"with {t.SNAPSHOT_SQL} select customer_id, top_priority is null as refused, case when "
+    "top_priority is not null then true end as scored_in_range from snapshot",
+)
 def score_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JSON rows streamed through the row rules and the model: scores, and rejects beside them."""
     split, trained, base = _baseline(spark, sf_dir)
@@ -233,8 +284,16 @@ def score_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
         query.awaitTermination()
     scores = spark.read.parquet(f"{base}/stream_scores")
     rejects = spark.read.parquet(f"{base}/stream_rejects")
-    return scores.select("customer_id", "predicted_churn").unionByName(
-        rejects.select("customer_id", F.lit("(refused)").alias("predicted_churn"))
+    return scores.select(
+        "customer_id",
+        F.lit(False).alias("refused"),
+        F.col(training.SCORE).between(0.0, 1.0).alias("scored_in_range"),
+    ).unionByName(
+        rejects.select(
+            "customer_id",
+            F.lit(True).alias("refused"),
+            F.lit(None).cast("boolean").alias("scored_in_range"),
+        )
     )
 
 
