@@ -23,35 +23,36 @@ MATRIX_UP_TO = 200
 
 
 def ks_exact(d: float, n1: int, n2: int) -> float:
-    """Chance that two samples of these sizes differ by d or more: counts lattice paths."""
+    """Chance that two samples of these sizes differ by d or more.
+
+    Draws the pooled values one by one and follows how many came from the first sample. What
+    steps over the bound is added up as it happens, so small chances keep their precision.
+    """
     g = math.gcd(n1, n2)
     a, b = n1 // g, n2 // g
-    # Step i of n1 and j of n2 differ by |i*b - j*a| in units of 1 / lcm.
+    # After i draws from the first and j from the second sample the gap is |i*b - j*a| / lcm.
     bound = round(d * a * b * g)
     if bound == 0:
         return 1.0
-    i = np.arange(n1 + 1)
-    low = np.maximum(0, (i * b - bound) // a + 1)
-    high = np.minimum(n2, -((-(i * b + bound)) // a) - 1)
-    paths = np.zeros(n2 + 1)
-    paths[low[0] : high[0] + 1] = 1.0
-    log_scale = 0.0
-    for row in range(1, n1 + 1):
-        lo, hi = low[row], high[row]
-        if hi < lo:
-            return 1.0
-        fresh = np.cumsum(paths[lo : hi + 1])
-        top = fresh[-1]
-        if top == 0.0:
+    total = n1 + n2
+    inside, low, lost = np.ones(1), 0, 0.0
+    for drawn in range(total):
+        i = np.arange(low, low + len(inside))
+        first = inside * (n1 - i) / (total - drawn)
+        fresh = np.zeros(len(inside) + 1)
+        fresh[1:] = first
+        fresh[:-1] += inside - first
+        step = drawn + 1
+        # Rounding may leave a trace on counts that the second sample cannot reach.
+        fresh[: max(0, step - n2 - low)] = 0.0
+        keep_low = max(low, (step * a - bound) // (a + b) + 1)
+        keep_high = min(low + len(inside), -((-(step * a + bound)) // (a + b)) - 1)
+        if keep_high < keep_low:
             return 1.0
-        paths[:] = 0.0
-        paths[lo : hi + 1] = fresh / top
-        log_scale += math.log(top)
-    all_paths = math.lgamma(n1 + n2 + 1) - math.lgamma(n1 + 1) - math.lgamma(n2 + 1)
-    if paths[n2] <= 0.0:
-        return 1.0
-    inside = math.exp(math.log(paths[n2]) + log_scale - all_paths)
-    return min(1.0, max(0.0, 1.0 - inside))
+        cut, end = keep_low - low, keep_high - low + 1
+        lost += fresh[:cut].sum() + fresh[end:].sum()
+        inside, low = fresh[cut:end], keep_low
+    return float(min(1.0, lost))
 
 
 def _one_sample_cdf(n: int, d: float) -> float:

@@ -1,3 +1,4 @@
+import itertools
 import math
 
 import pytest
@@ -48,6 +49,28 @@ def test_p_value_edges():
     # all 3 + 3 values apart: 2 of the 20 orders
     assert pvalues.ks_p_value(1.0, 3, 3) == pytest.approx(0.1)
     assert pvalues.ks_p_value(1.0, 20_000, 30_000) == 0.0
+    # samples wholly apart: 2 of all orders, at any size
+    for n1, n2 in ((7, 7), (12, 5), (60, 41)):
+        assert pvalues.ks_p_value(1.0, n1, n2) == pytest.approx(2 / math.comb(n1 + n2, n1), rel=1e-9)
+    assert pvalues.ks_p_value(1.0, 3013, 2987) < 1e-300
+    assert pvalues.ks_p_value(0.6, 3013, 2987) < 1e-200
+
+
+def test_exact_ks_equals_trying_every_order():
+    n1, n2 = 6, 4
+    orders = list(itertools.combinations(range(n1 + n2), n1))
+
+    def gap(first):
+        seen, worst = [0, 0], 0
+        for at in range(n1 + n2):
+            seen[at not in first] += 1
+            worst = max(worst, abs(seen[0] * n2 - seen[1] * n1))
+        return worst
+
+    gaps = [gap(set(o)) for o in orders]
+    for g in sorted(set(gaps)):
+        want = sum(x >= g for x in gaps) / len(orders)
+        assert pvalues.ks_p_value(g / (n1 * n2), n1, n2) == pytest.approx(want, abs=1e-12)
     assert pvalues.chi2_p_value(0.0, 1) == 1.0
     assert pvalues.chi2_p_value(5000.0, 700) == pytest.approx(0.0, abs=1e-200)
     assert pvalues.chi2_p_value(700.0, 700) == pytest.approx(0.493, abs=1e-3)
