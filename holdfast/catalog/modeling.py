@@ -146,14 +146,14 @@ def _listed(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
     "impute_median",
     f"with {MEDIANS_SQL} "
     + " union all ".join(
-        f"select '{c}' as \"column\", round(m_{c}, 6) as median from med" for c in NUMBERS
+        f"select '{c}' as \"column\", round(m_{c}, 8) as median from med" for c in NUMBERS
     ),
 )
 def impute_median(spark: SparkSession, sf_dir: str) -> DataFrame:
     numbers = _train(spark, sf_dir).select(*[F.col(c).cast("double").alias(c) for c in NUMBERS])
     medians = features.exact_medians(numbers, NUMBERS)
     return _listed(
-        spark, [(c, round(m, 6)) for c, m in medians.items()], "column string, median double"
+        spark, [(c, round(m, 8)) for c, m in medians.items()], "column string, median double"
     )
 
 
@@ -207,13 +207,15 @@ def impute_mode(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# A median of two six-digit values has seven digits: eight leave no tie to round.
+DIGITS = {"median": 8, "mean": 4, "std": 4}
 FITTED_SQL = (
     f"with {SCALE_SQL}"
     + MODES_SQL[len(TRAIN_SQL):]
     + ", facts as ("
     + " union all ".join(
-        f"select '{c}' as \"column\", '{k}' as stat, cast(round({p}_{c}, 6) as varchar) as text, "
-        f"round({p}_{c}, 4) as value from fit"
+        f"select '{c}' as \"column\", '{k}' as stat, "
+        f"round({p}_{c}, {DIGITS[k]}) as value from fit"
         for c in NUMBERS
         for k, p in (("median", "m"), ("mean", "a"), ("std", "s"))
     )
@@ -233,7 +235,7 @@ def features_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     stats = features.fit_statistics(_train(spark, sf_dir), SPEC)
     rows: list[tuple] = []
     for c, s in stats.numeric.items():
-        rows += [(c, k, None, round(getattr(s, k), 4)) for k in ("median", "mean", "std")]
+        rows += [(c, k, None, round(getattr(s, k), n)) for k, n in DIGITS.items()]
     for c, s in stats.categorical.items():
         rows.append((c, "mode", s.mode, None))
         rows += [(c, "level", v, 0.0) for v in s.levels]
