@@ -78,8 +78,7 @@ def union_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
     "laid as (select churn, c, coalesce(sum(c) over (order by churn rows between unbounded "
     "preceding and 1 preceding), 0) as start from cls), "
     f"folds as (select unnest(range(0, {FOLDS})) as fold), "
-    "dealt as (select churn, fold, (select count(*) from range(0, 100000000) r(i) where false) + "
-    f"cast(floor((start + c - 1 - fold + {FOLDS}) / {FOLDS}) - floor((start - 1 - fold + {FOLDS}) "
+    f"dealt as (select churn, fold, cast(floor((start + c - 1 - fold + {FOLDS}) / {FOLDS}) - floor((start - 1 - fold + {FOLDS}) "
     f"/ {FOLDS}) as bigint) as q from laid cross join folds), "
     "upto as (select churn, fold, sum(q) over (partition by churn order by fold) as hi, "
     "sum(q) over (partition by churn order by fold) - q as lo from dealt), "

@@ -201,9 +201,6 @@ def contingency(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drift.contingency(reference, current, ["l_returnflag", "l_linestatus", "holey"])
 
 
-SOURCES_SQL = "with docs as (select doc_id, lang, source from documents)"
-
-
 def _language_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """English documents as the reference, the others as the current table."""
     documents = t.table(spark, sf_dir, "documents").select("lang", "source")
