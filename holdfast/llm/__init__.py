@@ -1,6 +1,6 @@
 """Operators that prepare training text at scale, with their registered queries."""
 
-from holdfast.llm import langid, secrets, simhash  # noqa: F401
+from holdfast.llm import langid, mixing, secrets, simhash  # noqa: F401
 from holdfast.llm.entries import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
