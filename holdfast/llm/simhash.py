@@ -232,9 +232,9 @@ def near_duplicates(docs: DataFrame, distance: int = DISTANCE) -> DataFrame:
     labels = labels.withColumnRenamed("v", "fingerprint")
     known = settle(by_print.join(labels, "fingerprint", "left"), "known")
     roots = known.where("root is not null").groupBy("root").agg(F.min("first").alias("least"))
-    known = known.join(roots, "root", "left").select(
-        "fingerprint", F.coalesce("least", "first").alias("component_id")
-    )
+    alone = known.where("root is null").select("fingerprint", F.col("first").alias("component_id"))
+    known = known.join(roots, "root").select("fingerprint", F.col("least").alias("component_id"))
+    known = known.unionAll(alone)
     return prints.join(known, "fingerprint").select(
         "doc_id", "text_hash", "fingerprint", "component_id"
     )
