@@ -1,6 +1,6 @@
 """Operators that prepare training text at scale, with their registered queries."""
 
-from holdfast.llm import decontaminate, langid, mixing, quality, secrets, simhash, tokens, toxicity  # noqa: F401
+from holdfast.llm import decontaminate, langid, mixing, quality, secrets, simhash, tokens, toxicity, warc  # noqa: F401
 from holdfast.llm.entries import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
