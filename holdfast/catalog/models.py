@@ -226,7 +226,7 @@ def _batch(spark: SparkSession, sf_dir: str) -> tuple[score.Scored, str]:
     _, base = _evaluated(spark, sf_dir)
     source = sinks.write_table(t.snapshot(spark, sf_dir), f"{base}/snapshot.parquet")
     done = score.score_batch(
-        spark, source, f"{base}/scores.parquet", SPEC, f"{base}/champion",
+        spark, source, f"{base}/scores.parquet", SPEC, f"{base}/champion", mode=score.QUARANTINE,
         rejects_path=f"{base}/rejects.parquet", runs_path=f"{base}/scoring_runs",
     )
     return done, base
@@ -249,6 +249,31 @@ def score_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.rejects.select("customer_id", F.array_join("reasons", "; ").alias("reasons"))
 
 
+@entry(
+    "score_accounting",
+    f"with {t.SNAPSHOT_SQL} select 'scored' as outcome, cast(null as varchar) as reason, "
+    "count(top_priority) as n_rows from snapshot union all select 'refused', "
+    "'top_priority: must not be empty', count(*) from snapshot where top_priority is null "
+    "having count(*) > 0 union all select 'read', null, count(*) from snapshot",
+)
+def score_accounting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row read is scored or refused: rows by outcome, refused ones by reason."""
+    done, base = _batch(spark, sf_dir)
+
+    def outcome(rows: DataFrame, name: str) -> DataFrame:
+        return rows.agg(F.count("*").alias("n_rows")).select(
+            F.lit(name).alias("outcome"), F.lit(None).cast("string").alias("reason"), "n_rows"
+        )
+
+    refused = done.rejects.select(F.explode("reasons").alias("reason")).groupBy("reason")
+    read = spark.read.parquet(f"{base}/snapshot.parquet")
+    return (
+        outcome(done.scores, "scored")
+        .unionByName(refused.agg(F.count("*").alias("n_rows")).withColumn("outcome", F.lit("refused")))
+        .unionByName(outcome(read, "read"))
+    )
+
+
 @entry(
     "score_metadata",
     f"with {t.SNAPSHOT_SQL} select 'v1' as version, 'champion' as threshold_source, "

@@ -32,9 +32,7 @@ def scan_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     columns = ["order_key", "order_id", "price_text", "status"]
     path = workspace.new_path(spark, "feed") + ".csv"
     rows = t.feed(spark, sf_dir).select(*columns)
-    rows.write.option("header", True).option("ignoreLeadingWhiteSpace", False).option(
-        "ignoreTrailingWhiteSpace", False
-    ).csv(path)
+    sinks.write_table(rows, path)
     text = readers.read_text_csv(spark, path, columns)
     return text.select(
         F.col("order_key").cast("long").alias("order_key"),
@@ -79,17 +77,50 @@ def scan_dispatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count(source).unionByName(count(csv))
 
 
+def fingerprint_sql(name: str, columns: str) -> str:
+    """The content fingerprint of a table in SQL."""
+    texts = [f"cast({c} as varchar)" for c in columns.split()]
+    framed = ", ".join(f"coalesce(strlen({x}) || ':' || {x}, '-')" for x in texts)
+    halves = [f"cast(sum(cast(('0x' || substr(d, {k}, 15)) as bigint)) as varchar)" for k in (1, 16)]
+    return (
+        f"with rows as (select md5(concat_ws(',', {framed})) as d from {name}) "
+        f"select count(*) as n_rows, {halves[0]} || '-' || {halves[1]} as digest_sum from rows"
+    )
+
+
 @entry(
     "fingerprint",
-    "select count(*) as n_rows, cast(sum(cast(('0x' || substr(md5(concat_ws('|', "
-    "coalesce(cast(c_custkey as varchar), ''), coalesce(c_name, ''), "
-    "coalesce(cast(c_nationkey as varchar), ''), coalesce(cast(c_acctbal as varchar), ''), "
-    "coalesce(c_mktsegment, ''))), 1, 12)) as bigint)) as varchar) as digest_sum from customer",
+    fingerprint_sql("customer", "c_custkey c_name c_nationkey c_acctbal c_mktsegment"),
 )
 def content_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.content_fingerprint(t.table(spark, sf_dir, "customer"))
 
 
+@entry("fingerprint_documents", fingerprint_sql("documents", "doc_id text lang source n_chars"))
+def fingerprint_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Long texts with nulls, quotes and line breaks."""
+    return fingerprint.content_fingerprint(t.table(spark, sf_dir, "documents"))
+
+
+@entry(
+    "csv_roundtrip",
+    "with awkward as (select doc_id, concat(' ', text, ' \"', source, '\", ', text, ' ') as body from "
+    "documents) select doc_id, md5(body) as digest, strlen(body) as n_bytes from awkward",
+)
+def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Document texts with blanks at the ends, quotes, commas and line breaks, through a CSV table."""
+    quoted = F.concat(F.lit(' "'), "source", F.lit('", '))
+    body = F.concat(F.lit(" "), "text", quoted, "text", F.lit(" "))
+    rows = t.table(spark, sf_dir, "documents").select("doc_id", body.alias("body"))
+    path = sinks.write_table(rows, workspace.new_path(spark, "texts") + ".csv")
+    back = readers.read_text_csv(spark, path, multi_line=True)
+    return back.select(
+        F.col("doc_id").cast("long").alias("doc_id"),
+        F.md5("body").alias("digest"),
+        F.octet_length("body").alias("n_bytes"),
+    )
+
+
 @entry("file_digests")
 def file_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SHA-256 of the input files."""

@@ -8,12 +8,15 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from holdfast import workspace
 from holdfast.functions import repair
 from holdfast.operators import row_rules, scoring, training
 from holdfast.sources import fingerprint, readers, registry, sinks
 from holdfast.spec import ModelingSpec
 
 FAILFAST, QUARANTINE = "failfast", "quarantine"
+#: Helper column with the digest of the row as it was read.
+DIGEST = "_row_digest"
 SCORING_RUN_SCHEMA = (
     "version string, champion_path string, model_path string, threshold double, "
     "threshold_source string, input_path string, input_digest string, n_rows long, "
@@ -56,15 +59,24 @@ def score_batch(
     champion_path: str,
     *,
     threshold_override: float | None = None,
-    mode: str = QUARANTINE,
+    mode: str = FAILFAST,
     rejects_path: str | None = None,
     runs_path: str | None = None,
     version: str = "v1",
 ) -> Scored:
     """Score a file with the frozen champion.
 
-    Rows are counted on what was written, which for Parquet reads file footers only.
+    ``failfast`` (the default) stops at the first refused row, before anything is written to the
+    output. ``quarantine`` writes refused rows with their reasons to ``rejects_path``, which it
+    demands: every row read is either scored or refused, and both are counted.
+
+    The input is read once: its rows, as the rules read them, are written with their reasons and
+    digests, and scores, rejects, counts and fingerprint all come from there.
     """
+    if mode not in (FAILFAST, QUARANTINE):
+        raise ValueError(f"unknown mode {mode!r}")
+    if mode == QUARANTINE and rejects_path is None:
+        raise ValueError("quarantine needs a rejects_path: refused rows must not be lost")
     champion = registry.read_champion(spark, champion_path)
     overridden = threshold_override is not None
     threshold = float(threshold_override if overridden else champion["threshold"])
@@ -72,16 +84,30 @@ def score_batch(
     if readers.path_format(input_path) == "csv":
         table = _numbers_from_text(table, spec)
     model = PipelineModel.load(champion["model_path"])
-    scores, rejects = score_table(table, model, spec, threshold, mode)
+    checked = row_rules.check_rows(
+        table.withColumn(DIGEST, fingerprint.row_digest(table)), spec, carry=[DIGEST]
+    )
+    staged = workspace.new_path(spark, "checked")
+    checked.write.parquet(staged)
+    checked = spark.read.schema(checked.schema).parquet(staged)
+    refused = F.size("reasons") > 0
+    facts = checked.agg(
+        F.count_if(refused).alias("n_rejected"), *fingerprint.digest_sums(F.col(DIGEST))
+    ).first()
+    if mode == FAILFAST:
+        row_rules.require_all(checked)
+    rows = checked.drop(DIGEST)
+    accepted = row_rules.accepted(rows)
+    scored = training.score_rows(model, accepted)
+    with_actual = scoring.has_labels(accepted, spec)
+    scores = scoring.score_projection(scored, spec, threshold, with_actual=with_actual)
 
     sinks.write_table(scores, output_path)
     written = readers.read_table(spark, output_path)
-    n_rejected = 0
-    if mode == QUARANTINE and rejects_path is not None:
-        sinks.write_table(rejects, rejects_path)
+    rejects = None
+    if mode == QUARANTINE:
+        sinks.write_table(row_rules.rejected(rows), rejects_path)
         rejects = spark.read.parquet(rejects_path)
-        n_rejected = rejects.count()
-    digest = fingerprint.content_fingerprint(table).first()
     metadata = {
         "version": version,
         "champion_path": champion_path,
@@ -89,16 +115,16 @@ def score_batch(
         "threshold": threshold,
         "threshold_source": "override" if overridden else "champion",
         "input_path": input_path,
-        "input_digest": digest["digest_sum"],
-        "n_rows": written.count(),
-        "n_rejected": n_rejected,
+        "input_digest": facts["digest_sum"],
+        "n_rows": facts["n_rows"] - facts["n_rejected"],
+        "n_rejected": facts["n_rejected"],
         "output_path": output_path,
     }
     if runs_path is not None:
         spark.createDataFrame([tuple(metadata.values())], SCORING_RUN_SCHEMA).withColumn(
             "ts", F.current_timestamp()
         ).coalesce(1).write.mode("append").parquet(runs_path)
-    return Scored(written, rejects if mode == QUARANTINE else None, metadata)
+    return Scored(written, rejects, metadata)
 
 
 def _numbers_from_text(table: DataFrame, spec: ModelingSpec) -> DataFrame:

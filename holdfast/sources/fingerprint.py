@@ -4,26 +4,48 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Largest file whose content is digested: it passes through one task whole.
+MOST_FILE_BYTES = 1 << 30
 
-def file_digests(spark: SparkSession, path: str) -> DataFrame:
-    """(path, sha256) of every file under a path; each file is read whole by one task."""
+
+def file_digests(spark: SparkSession, path: str, most_bytes: int = MOST_FILE_BYTES) -> DataFrame:
+    """(path, sha256) of every file under a path, for files of up to ``most_bytes``.
+
+    A file's digest is one sequence over all its bytes, so one task reads it whole. Tables of any
+    size are identified by ``content_fingerprint`` instead; a larger file here is an error.
+    """
     files = spark.read.format("binaryFile").load(path)
-    return files.select("path", F.sha2("content", 256).alias("sha256"))
+    large = F.concat(F.lit("too large to digest in one task: "), F.col("path"))
+    content = F.when(F.col("length") > most_bytes, F.raise_error(large)).otherwise(F.col("content"))
+    return files.select("path", F.sha2(content.cast("binary"), 256).alias("sha256"))
+
+
+def row_digest(df: DataFrame, columns: Sequence[str] | None = None) -> Column:
+    """MD5 of a row: every field with its length before it, null marked, so no two rows read alike."""
+    fields = []
+    for c in columns or df.columns:
+        text = F.col(c).cast("string")
+        framed = F.concat(F.octet_length(text).cast("string"), F.lit(":"), text)
+        fields.append(F.coalesce(framed, F.lit("-")))
+    return F.md5(F.concat_ws(",", *fields))
+
+
+def digest_sums(digest: Column) -> list[Column]:
+    """Aggregates: the row count, and two sums of 60 bits of each row's digest, as one text."""
+    halves = [
+        F.coalesce(F.sum(F.conv(F.substring(digest, start, 15), 16, 10).cast("decimal(38,0)")), F.lit(0))
+        for start in (1, 16)
+    ]
+    both = F.concat_ws("-", *[h.cast("string") for h in halves])
+    return [F.count("*").alias("n_rows"), both.alias("digest_sum")]
 
 
 def content_fingerprint(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Row count and a digest sum that does not depend on row order or file layout.
+    """Row count and digest sums that do not depend on row order or file layout.
 
     Every row is hashed on its own and the hashes add up, so the table is never gathered.
     """
-    cols = list(columns or df.columns)
-    texts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in cols]
-    digest = F.md5(F.concat_ws("|", *texts))
-    part = F.conv(F.substring(digest, 1, 12), 16, 10).cast("decimal(38,0)")
-    return df.agg(
-        F.count("*").alias("n_rows"),
-        F.coalesce(F.sum(part), F.lit(0)).cast("string").alias("digest_sum"),
-    )
+    return df.agg(*digest_sums(row_digest(df, columns)))

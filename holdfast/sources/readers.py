@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -35,14 +35,28 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return True
 
 
+def _csv_reader(spark: SparkSession, multi_line: bool) -> DataFrameReader:
+    """Standard CSV: quotes inside quoted text are doubled.
+
+    Without ``multi_line`` files are read in blocks, and a line break inside quotes is an error, as
+    is any line with too few or too many fields. With it, each file is read by one task.
+    """
+    reader = spark.read.option("header", True).option("escape", '"').option("multiLine", multi_line)
+    return reader if multi_line else reader.option("mode", "FAILFAST")
+
+
 def read_text_csv(
-    spark: SparkSession, path: str, columns: Sequence[str] | None = None
+    spark: SparkSession,
+    path: str,
+    columns: Sequence[str] | None = None,
+    multi_line: bool = False,
 ) -> DataFrame:
     """CSV with a header, every column as text, in any order.
 
     ``columns``: the header must hold exactly these. All files must share one header.
+    ``multi_line``: quoted text may hold line breaks; a file is then one task's work.
     """
-    reader = spark.read.option("header", True)
+    reader = _csv_reader(spark, multi_line)
     header = reader.csv(path).columns  # reads the first line only: nothing is inferred
     if columns is not None and sorted(header) != sorted(columns):
         odd = sorted(set(header) ^ set(columns))
@@ -87,11 +101,16 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return repair.clean_nans(spark.read.parquet(path))
 
 
-def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+def read_table(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType | None = None,
+    multi_line: bool = False,
+) -> DataFrame:
     """Scan by suffix. A CSV without a schema comes back as text columns."""
     if path_format(path) == "parquet":
         return read_parquet(spark, path)
     if schema is None:
-        return read_text_csv(spark, path)
-    reader = spark.read.option("header", True).schema(schema).option("enforceSchema", False)
+        return read_text_csv(spark, path, multi_line=multi_line)
+    reader = _csv_reader(spark, multi_line).schema(schema).option("enforceSchema", False)
     return repair.clean_nans(reader.csv(path))

@@ -12,7 +12,11 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite") -> str:
     if path_format(path) == "parquet":
         df.write.mode(mode).parquet(path)
     else:
-        df.write.mode(mode).option("header", True).csv(path)
+        # Text is written as it is: blanks at the ends kept, quotes doubled, line breaks quoted.
+        writer = df.write.mode(mode).option("header", True).option("escape", '"')
+        for side in ("Leading", "Trailing"):
+            writer = writer.option(f"ignore{side}WhiteSpace", False)
+        writer.csv(path)
     return path
 
 

@@ -10,7 +10,7 @@ from holdfast.functions.labels import label_binary, label_ternary
 from holdfast.operators import features, row_rules, scoring, splitting, training
 from holdfast.operators.quality import ValidationError
 from holdfast.plans import evaluate, score, train
-from holdfast.sources import registry, sinks
+from holdfast.sources import fingerprint, registry, sinks
 from holdfast.spec import LogisticSpec, ModelingSpec, LabelSpec, SearchSpec
 from holdfast.streaming import scoring as stream_scoring
 
@@ -230,7 +230,7 @@ def test_batch_scoring(spark, sample, customers, champion, tmp_path):
     source = sinks.write_table(customers.unionByName(bad), str(tmp_path / "in.parquet"))
     done = score.score_batch(
         spark, source, str(tmp_path / "out.parquet"), SNAPSHOT_SPEC, f"{base}/champion",
-        rejects_path=str(tmp_path / "rejects.parquet"), runs_path=str(tmp_path / "runs"),
+        mode=score.QUARANTINE, rejects_path=str(tmp_path / "rejects.parquet"), runs_path=str(tmp_path / "runs"),
     )
     assert done.scores.columns == [
         "customerID", "churn_probability", "predicted_churn", "actual_churn"
@@ -244,10 +244,16 @@ def test_batch_scoring(spark, sample, customers, champion, tmp_path):
     assert off.isEmpty()
     run = spark.read.parquet(str(tmp_path / "runs")).first()
     assert (run["n_rows"], run["n_rejected"], run["threshold_source"]) == (200, 3, "champion")
-    with pytest.raises(ValidationError, match="MonthlyCharges"):
+    assert run["input_digest"] == fingerprint.content_fingerprint(spark.read.parquet(source)).first()["digest_sum"]
+    with pytest.raises(ValidationError, match="MonthlyCharges"):  # the default call loses no row
+        score.score_batch(
+            spark, source, str(tmp_path / "x.parquet"), SNAPSHOT_SPEC, f"{base}/champion"
+        )
+    assert not (tmp_path / "x.parquet").exists()
+    with pytest.raises(ValueError, match="rejects_path"):
         score.score_batch(
             spark, source, str(tmp_path / "x.parquet"), SNAPSHOT_SPEC, f"{base}/champion",
-            mode=score.FAILFAST,
+            mode=score.QUARANTINE,
         )
     with pytest.raises(ValueError, match="mode"):
         score.score_table(customers, done, SNAPSHOT_SPEC, 0.5, mode="odd")

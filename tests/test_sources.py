@@ -124,3 +124,42 @@ def test_shared_folder_comes_from_the_session(spark):
 def test_typed_reads_numbers(raw):
     row = readers.typed(raw, SNAPSHOT_RULES).where("customerID = '7590-VHVEG'").first()
     assert (row["tenure"], row["MonthlyCharges"], row["TotalCharges"]) == (1, 29.85, None)
+
+
+def test_standard_csv(spark, tmp_path):
+    """Doubled quotes are read as one; a line break inside quotes is refused or, asked for, read."""
+    path = tmp_path / "a.csv"
+    path.write_text('id,body\n1,"say ""hi"", ok"\n2,plain\n')
+    rows = [tuple(r) for r in readers.read_text_csv(spark, str(path)).collect()]
+    assert rows == [("1", 'say "hi", ok'), ("2", "plain")]
+    broken = tmp_path / "b.csv"
+    broken.write_text('id,body,last\n1,"two\nlines",x\n2,plain,y\n')
+    with pytest.raises(Exception, match="(?i)malformed"):
+        readers.read_text_csv(spark, str(broken)).collect()
+    rows = [tuple(r) for r in readers.read_text_csv(spark, str(broken), multi_line=True).collect()]
+    assert rows == [("1", "two\nlines", "x"), ("2", "plain", "y")]
+
+
+def test_fingerprints_tell_rows_apart(spark):
+    def digest(*rows):
+        return fingerprint.content_fingerprint(spark.createDataFrame(list(rows), "a string, b string")).first()[1]
+
+    alike = [("a|b", ""), ("a", "b|"), (None, ""), ("", ""), ("", None), ("1:a", "b"), ("a,1:b", ""), ("a", "1:b")]
+    assert len({digest(r) for r in alike}) == len(alike)
+    assert digest(("x", "y"), ("z", None)) == digest(("z", None), ("x", "y"))
+
+
+def test_large_files_are_refused_by_name(spark, tmp_path):
+    (tmp_path / "f.bin").write_bytes(b"12345")
+    assert fingerprint.file_digests(spark, str(tmp_path)).count() == 1
+    with pytest.raises(Exception, match="too large"):
+        fingerprint.file_digests(spark, str(tmp_path), most_bytes=4).collect()
+
+
+def test_run_folder_is_cleaned(spark, monkeypatch):
+    monkeypatch.setattr(workspace, "_RUN", "run-test")
+    path = workspace.new_path(spark, "x")
+    spark.range(3).write.parquet(path)
+    assert readers.path_exists(spark, path) and path.startswith(workspace.run_dir(spark))
+    workspace.clean_up(spark)
+    assert not readers.path_exists(spark, path)
