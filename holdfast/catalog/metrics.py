@@ -72,7 +72,9 @@ def ranking_by_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
 @entry(
     "roc_curve",
     f"with {t.CUMULATIVE_SQL} select split, cast(cneg as double) / cast(aneg as double) as fpr, "
-    "cast(cpos as double) / cast(apos as double) as tpr, score as threshold from cum",
+    "cast(cpos as double) / cast(apos as double) as tpr, score as threshold from cum "
+    "union all select distinct split, cast(0 as double), cast(0 as double), "
+    "cast('inf' as double) from cum",
 )
 def roc_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
     cumulative = ranking.cumulative_counts(t.scored(spark, sf_dir), "score", Y, ["split"])
@@ -82,7 +84,9 @@ def roc_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
 @entry(
     "pr_curve",
     f"with {t.CUMULATIVE_SQL} select split, cast(cpos as double) / cast(apos as double) as recall, "
-    "cast(cpos as double) / cast(cpos + cneg as double) as precision, score as threshold from cum",
+    "cast(cpos as double) / cast(cpos + cneg as double) as precision, score as threshold from cum "
+    "union all select distinct split, cast(0 as double), cast(1 as double), cast(null as double) "
+    "from cum",
 )
 def pr_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
     cumulative = ranking.cumulative_counts(t.scored(spark, sf_dir), "score", Y, ["split"])
@@ -128,6 +132,50 @@ def confusion_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return threshold.confusion_matrix(t.scored(spark, sf_dir), "score", Y, 0.47, ["split"])
 
 
+FAULTY_SQL = (
+    t.SCORED_SQL
+    + ", faulty as (select split, l_linenumber, case when l_linenumber = 3 then null when "
+    "l_linenumber = 5 then cast('nan' as double) else score end as score from scored)"
+)
+
+
+@entry(
+    "score_faults",
+    f"with {FAULTY_SQL} select split, count(*) as n_rows, count(*) filter (where score is null) "
+    "as n_null, count(*) filter (where isnan(score)) as n_nan from faulty group by split",
+)
+def score_faults(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many rows the metrics would refuse, on scores with nulls and NaN planted."""
+    line = F.col("l_linenumber")
+    planted = F.when(line == 3, F.lit(None).cast("double")).when(line == 5, F.lit(float("nan")))
+    rows = t.scored(spark, sf_dir).withColumn(
+        "score", planted.otherwise(F.when(~line.isin(3, 5), F.col("score")))
+    )
+    return threshold.score_faults(rows, "score", ["split"])
+
+
+@entry(
+    "auc_by_order",
+    "with graded as (select l_orderkey, l_extendedprice / cast(105000 as double) as score, case "
+    "when l_returnflag = 'R' then 1 else 0 end as y from lineitem), per_score as (select "
+    "l_orderkey, score, sum(y) as pos, sum(1 - y) as neg from graded group by 1, 2), cum as "
+    "(select *, sum(pos) over (partition by l_orderkey order by score desc) as cpos from per_score) "
+    "select l_orderkey, round(case when sum(pos) * sum(neg) > 0 then sum(cast(neg as double) * "
+    "(cpos - pos) + cast(neg as double) * pos / 2) / (cast(sum(pos) as double) * "
+    "cast(sum(neg) as double)) end, 6) as roc_auc from cum group by l_orderkey",
+)
+def auc_by_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ROC-AUC within every order: as many groups as there are orders."""
+    lines = t.table(spark, sf_dir, "lineitem").select(
+        "l_orderkey",
+        (F.col("l_extendedprice") / 105000.0).alias("score"),
+        F.when(F.col("l_returnflag") == "R", 1).otherwise(0).alias("y"),
+    )
+    cumulative = ranking.cumulative_counts(lines, "score", Y, ["l_orderkey"])
+    found = ranking.ranking_metrics(cumulative, ["l_orderkey"]).select("l_orderkey", "roc_auc")
+    return _rounded(found, "roc_auc")
+
+
 @entry(
     "threshold_metrics",
     f"with {t.SCORED_SQL}, c as (select split, {_counts_sql('cast(0.47 as double)')} from scored "

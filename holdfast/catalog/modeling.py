@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 from holdfast import workspace
 from holdfast.catalog import tables as t
 from holdfast.catalog.entries import entry
+from holdfast.catalog.scans import FEED_NUMBER
 from holdfast.operators import features, splitting, training
 from holdfast.plans import prepare
+from holdfast.spec import LabelSpec, ModelingSpec
 
 SPEC = t.SNAPSHOT_SPEC
 NUMBERS, TEXTS = list(SPEC.numeric), list(SPEC.categorical)
@@ -306,6 +308,27 @@ def features_transform(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sums.select("feature", F.round("total", 4).alias("total"))
 
 
+@entry(
+    "text_features",
+    f"with {t.FEED_SQL}, x as (select {FEED_NUMBER.format(c='price_text')} as p from feed), "
+    "m as (select median(p) as middle from x), f as (select coalesce(p, middle) as v from x "
+    "cross join m), s as (select avg(v) as a, stddev_pop(v) as s from f) select count(*) as n_rows, "
+    "round(sum(abs((v - a) / s)), 3) as total, round(min((v - a) / s), 6) as least "
+    "from f cross join s",
+)
+def text_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Numbers that arrive as text, read alike by the fit and by the transform."""
+    feed = t.feed(spark, sf_dir)
+    spec = ModelingSpec("order_key", {"price_text": "number"}, ("flag_text",), LabelSpec("status"))
+    model, _ = features.fit_features(feed, spec)
+    scaled = vector_to_array(features.FEATURES)[0]
+    return features.transform_features(model, feed).agg(
+        F.count("*").alias("n_rows"),
+        F.round(F.sum(F.abs(scaled)), 3).alias("total"),
+        F.round(F.min(scaled), 6).alias("least"),
+    )
+
+
 @entry(
     "feature_manifest",
     f"with {MODES_SQL}, per as (select col, count(distinct v) + max(case when v is null then 1 "

@@ -52,6 +52,17 @@ def blank_to_null(column: str | Column) -> Column:
     return F.when(text != "", text)
 
 
+def required_score(score: Column) -> Column:
+    """A score as a double. Null and NaN stop the job, in tables of every size.
+
+    Rows without a score have no place in a ranking or on a side of a cut; leaving them out would
+    change every metric without a word. ``threshold.score_faults`` counts them.
+    """
+    score = score.cast("double")
+    bad = score.isNull() | F.isnan(score)
+    return F.when(bad, F.raise_error(F.lit("a score is null or NaN"))).otherwise(score)
+
+
 def clean_nans(df: DataFrame) -> DataFrame:
     """Every float column with NaN turned into null; other columns untouched."""
     floats = {

@@ -53,12 +53,19 @@ def evaluation_summary(
     y: str | Column,
     spec: EvalSpec = EvalSpec(),
     label: LabelSpec | None = None,
+    chosen: DataFrame | None = None,
+    cumulative: DataFrame | None = None,
 ) -> DataFrame:
-    """(split, metric, value): ranking metrics, and operating metrics at the frozen cut."""
+    """(split, metric, value): ranking metrics, and operating metrics at the frozen cut.
+
+    ``chosen`` and ``cumulative`` are what this would compute, for callers that have them already.
+    """
     held_out = scored.where(F.col("split").isin(VALIDATION, TEST))
-    chosen = choose_threshold(held_out, score, y, spec, label)
+    if chosen is None:
+        chosen = choose_threshold(held_out, score, y, spec, label)
     cut = chosen.select("threshold").scalar()
-    cumulative = ranking.cumulative_counts(held_out, score, y, ["split"])
+    if cumulative is None:
+        cumulative = ranking.cumulative_counts(held_out, score, y, ["split"])
     wide = metrics_at(cumulative, cut, spec.beta, ["split"])
     picked = chosen.select(
         F.lit(VALIDATION).alias("split"),

@@ -30,8 +30,6 @@ MEDIAN_LIMIT = 100_000
 SKETCH = 10_000
 #: The assembled vector; helper columns start with an underscore to stay apart from a table's own.
 FEATURES = "_features"
-#: One-hot levels over all columns; a table beyond it is refused, never cut.
-MOST_LEVELS = 200_000
 
 
 @dataclass(frozen=True)
@@ -180,29 +178,33 @@ def fit_numeric(df: DataFrame, columns: Sequence[str]) -> dict[str, NumericStats
 
 
 def fit_categorical(
-    df: DataFrame, columns: Sequence[str], most_levels: int = MOST_LEVELS
+    df: DataFrame, columns: Sequence[str], most_levels: int | None = None
 ) -> dict[str, CategoryStats]:
-    """Most frequent value (smallest on ties) and sorted levels per column, one pass for all."""
+    """Most frequent value (smallest on ties) and sorted levels per column, one pass for all.
+
+    Counting, ordering and the choice of the mode are Spark's; the driver gets the list of levels,
+    which the encoder has to hold anyway: as many as there are categories, unless ``most_levels``
+    sets a limit, beyond which the table is refused.
+    """
     if not columns:
         return {}
     counts = eda.value_counts(df, columns).where(F.col("value").isNotNull())
-    rows = counts.limit(most_levels + 1).collect()
-    if len(rows) > most_levels:
+    if most_levels is not None and not counts.offset(most_levels).isEmpty():
         raise ValueError(f"more than {most_levels} categories: too many to one-hot encode")
-    out = {}
-    for c in columns:
-        found = [(r["value"], r["n"]) for r in rows if r["column"] == c]
-        if found:
-            mode = min(found, key=lambda vn: (-vn[1], vn[0]))[0]
-            out[c] = CategoryStats(mode, tuple(sorted(v for v, _ in found)))
-    return out
+    best = F.struct((-F.col("n")).alias("less"), F.col("value").alias("value"))
+    found = counts.groupBy("column").agg(
+        F.min(best)["value"].alias("mode"), F.sort_array(F.collect_list("value")).alias("levels")
+    )
+    rows = {r["column"]: r for r in found.collect()}
+    return {c: CategoryStats(rows[c]["mode"], tuple(rows[c]["levels"])) for c in columns if c in rows}
 
 
 def fit_statistics(train: DataFrame, spec: ModelingSpec) -> FeatureStats:
     """All statistics, from training rows only."""
     x = feature_matrix(train, spec)
     return FeatureStats(
-        fit_numeric(x, list(spec.numeric)), fit_categorical(x, list(spec.categorical))
+        fit_numeric(x, list(spec.numeric)),
+        fit_categorical(x, list(spec.categorical), spec.most_levels),
     )
 
 
@@ -218,12 +220,20 @@ def _number_sql(value: float) -> str:
     return f"cast('{value!r}' as double)"
 
 
+def _read_sql(column: str) -> str:
+    """A column read as ``repair.to_number`` reads it when fitting, whatever its type then."""
+    text = f"btrim(cast({_named(column)} as string), {_quoted(repair.BLANKS)})"
+    from_text = f"case when {text} rlike r'{repair.READABLE_TEXT}' then try_cast({text} as double) end"
+    from_number = f"nullif(try_cast({_named(column)} as double), double('NaN'))"
+    return f"case when typeof({_named(column)}) = 'string' then {from_text} else {from_number} end"
+
+
 def _repair_stage(stats: FeatureStats) -> SQLTransformer:
     """Imputed and scaled numbers and imputed text, as columns beside the originals."""
     parts = []
     for c, s in stats.numeric.items():
         spread = s.std if s.std > 0 else 1.0
-        filled = f"coalesce(nullif(try_cast({_named(c)} as double), double('NaN')), {_number_sql(s.median)})"
+        filled = f"coalesce({_read_sql(c)}, {_number_sql(s.median)})"
         scaled = f"({filled} - {_number_sql(s.mean)}) / {_number_sql(spread)}"
         parts.append(f"{scaled} as {_named('_num_' + c)}")
     for c, s in stats.categorical.items():
@@ -308,8 +318,6 @@ def feature_manifest(train: DataFrame, spec: ModelingSpec, stats: FeatureStats)
     spark = train.sparkSession
     facts = [("n_features_out", None, len(stats.names))]
     facts += [("feature_name", name, i) for i, name in enumerate(stats.names)]
-    if len(facts) > MOST_LEVELS + 10_000:
-        raise ValueError("too many features to list")
     fixed = spark.createDataFrame(facts, "fact string, name string, value long")
     counted = eda.cardinality(train, list(spec.categorical)).select(
         F.lit("n_distinct").alias("fact"), F.col("column").alias("name"),

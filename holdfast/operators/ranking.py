@@ -7,15 +7,17 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from holdfast.functions.repair import as_column
+from holdfast.functions.repair import as_column, required_score
 from holdfast.operators.running import ValueRanges, measure_ranges, running_totals
 
 
 def score_counts(scored: DataFrame, score: str, y: str | Column, by: Sequence[str] = ()) -> DataFrame:
-    """Positives and negatives per distinct score: one row per score, however often it occurs."""
+    """Positives and negatives per distinct score: one row per score, however often it occurs.
+
+    A score that is null or NaN is an error (``required_score``).
+    """
     return (
-        scored.select(*by, F.col(score).cast("double").alias("score"), as_column(y).alias("_y"))
-        .where(F.col("score").isNotNull())
+        scored.select(*by, required_score(F.col(score)).alias("score"), as_column(y).alias("_y"))
         .groupBy(*by, "score")
         .agg(F.sum("_y").alias("pos"), F.sum(1 - F.col("_y")).alias("neg"))
     )
@@ -63,21 +65,31 @@ def ranking_metrics(cumulative: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     )
 
 
+def _with_end(
+    curve: DataFrame, cumulative: DataFrame, by: Sequence[str], x: str, y: str, y_at_end: float, at: float | None
+) -> DataFrame:
+    """The curve and the point where nothing is flagged, once for each group."""
+    ends = cumulative.groupBy(*by).agg(F.lit(0.0).alias(x), F.lit(y_at_end).alias(y))
+    return curve.unionByName(ends.withColumn("threshold", F.lit(at).cast("double")))
+
+
 def roc_curve(cumulative: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """(fpr, tpr, threshold) at every distinct score."""
-    return cumulative.select(
+    """(fpr, tpr, threshold) at every distinct score, and the start (0, 0) at an infinite cut."""
+    curve = cumulative.select(
         *by,
         F.try_divide("cum_neg", "all_neg").alias("fpr"),
         F.try_divide("cum_pos", "all_pos").alias("tpr"),
         F.col("score").alias("threshold"),
     )
+    return _with_end(curve, cumulative, by, "fpr", "tpr", 0.0, float("inf"))
 
 
 def pr_curve(cumulative: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """(recall, precision, threshold) at every distinct score."""
-    return cumulative.select(
+    """(recall, precision, threshold) at every distinct score, and the end (0, 1) without a cut."""
+    curve = cumulative.select(
         *by,
         F.try_divide("cum_pos", "all_pos").alias("recall"),
         F.try_divide(F.col("cum_pos"), F.col("cum_pos") + F.col("cum_neg")).alias("precision"),
         F.col("score").alias("threshold"),
     )
+    return _with_end(curve, cumulative, by, "recall", "precision", 1.0, None)

@@ -7,8 +7,11 @@ on its own, and the totals of the ranges before it are joined in. The result is
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
@@ -16,7 +19,7 @@ from pyspark.sql import functions as F
 
 #: Up to this many rows a group is summed by one window partition.
 ONE_RANGE_ROWS = 1_000_000
-#: Most value ranges over all groups together.
+#: Most value ranges.
 MOST_RANGES = 10_000
 #: Range totals are broadcast up to this many rows, groups times ranges, and joined beyond it.
 BROADCAST_ROWS = 200_000
@@ -37,25 +40,35 @@ def measure_ranges(
     one_range_rows: int = ONE_RANGE_ROWS,
     most_ranges: int = MOST_RANGES,
 ) -> ValueRanges:
-    """Choose cut points that keep every range small: a count, and quantiles for large tables.
+    """Choose cut points that keep every range of a large group small. One row reaches the driver.
 
-    Cut points are row quantiles, so a range never holds more distinct values than its share
-    of the rows; a value repeated in a third of the rows is one grouped row later on.
+    Cut points are quantiles over the rows of all groups above ``one_range_rows``, shared by all
+    groups: a range holds no more rows, of any group, than its share of them all. A value repeated
+    in a third of the rows is one grouped row later on. Groups may be as many as they like; those
+    that are small are summed by one window partition each, cut or not.
     """
     # Counting rows, not values, leaves a costly score uncomputed; it can only be an upper bound.
-    sizes = rows.groupBy(*by).agg(F.count("*").alias("n")).limit(most_ranges + 1).collect()
-    if len(sizes) > most_ranges:
-        raise ValueError(f"more than {most_ranges} groups in {list(by)}")
-    largest = max((r["n"] for r in sizes), default=0)
-    groups = max(len(sizes), 1)
-    if largest <= one_range_rows:
+    sizes = rows.groupBy(*by).agg(F.count("*").alias("n"))
+    large = F.col("n") > one_range_rows
+    facts = sizes.agg(
+        F.count("*").alias("groups"),
+        F.count_if(large).alias("large"),
+        F.coalesce(F.sum(F.when(large, F.col("n"))), F.lit(0)).alias("in_large"),
+    ).first()
+    groups = max(facts["groups"], 1)
+    if not facts["large"]:
         return ValueRanges((), groups)
-    per_group = max(2, min(most_ranges // groups, 1 + (4 * largest) // one_range_rows))
-    shares = [i / per_group for i in range(1, per_group)]
-    cuts = rows.groupBy(*by).agg(
-        F.percentile_approx(order_by, shares, max(10_000, 8 * per_group)).alias("cuts")
-    )
-    edges = {float(e) for r in cuts.collect() for e in r["cuts"]}
+    if facts["large"] < facts["groups"]:
+        names = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in by]
+        rows = rows.join(
+            sizes.where(large).select(*[F.col(c).alias(f"_{c}") for c in by]),
+            reduce(and_, names),
+            "left_semi",
+        )
+    count = max(2, min(most_ranges, 1 + (4 * facts["in_large"]) // one_range_rows))
+    shares = [i / count for i in range(1, count)]
+    cuts = rows.agg(F.percentile_approx(order_by, shares, max(10_000, 8 * count)).alias("cuts"))
+    edges = {float(e) for e in cuts.first()["cuts"] or () if not math.isnan(e)}
     return ValueRanges(tuple(sorted(edges)), groups)
 
 

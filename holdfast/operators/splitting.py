@@ -17,12 +17,14 @@ from holdfast.functions.labels import label_binary
 from holdfast.spec import LabelSpec, ModelingSpec, SplitSpec
 
 SPLIT_NAMES = ("train", "validation", "test")
-#: Hash digits examined per counting job: 16**3 prefixes.
+#: Prefix counts that one counting job brings back, about. Many classes get shorter prefixes.
+COUNTS = 200_000
+#: Hash digits examined per counting job, at most: 16**3 prefixes of each class.
 DIGITS = 3
 #: Prefix groups with no more rows than this are listed row by row.
 LIST_LIMIT = 20_000
-#: A label with more classes than this is not a class label.
-MOST_CLASSES = 50
+#: Up to this many classes the cuts are literals; more are joined as a table of a row per class.
+LITERAL_CLASSES = 50
 
 
 def id_hash(id_column: str, seed: int) -> Column:
@@ -78,32 +80,32 @@ def fold_quotas(counts: Mapping[str, int], folds: int) -> dict[str, list[int]]:
     return dealt
 
 
-def _class_counts(prefixes: list) -> dict[str, int]:
-    counts: dict[str, int] = {}
-    for r in prefixes:
-        counts[r["cls"]] = counts.get(r["cls"], 0) + r["n"]
-    return counts
+def _digits(classes: int) -> int:
+    """Prefix length that keeps the counts of all classes near COUNTS; one digit at least."""
+    return max(1, min(DIGITS, int(math.log(max(16, COUNTS / max(1, classes)), 16))))
 
 
 def _prefix_counts(keyed: DataFrame, digits: int) -> list:
-    most = MOST_CLASSES * 16**DIGITS
-    found = (
-        keyed.groupBy("cls", F.substring("h", 1, digits).alias("prefix"))
-        .agg(F.count("*").alias("n"))
-        .limit(most + 1)
-        .collect()
-    )
-    if len(found) > most:
-        raise ValueError("the label has too many classes to stratify on")
-    return found
+    """Rows per class and hash prefix: 16 ** digits rows for each class at most."""
+    prefix = F.substring("h", 1, digits).alias("prefix")
+    return keyed.groupBy("cls", prefix).agg(F.count("*").alias("n")).collect()
+
+
+def _first_counts(keyed: DataFrame) -> tuple[list, dict[str, int]]:
+    """Prefix counts to begin with, and rows per class. A row without an id or a label is an error."""
+    facts = keyed.groupBy("cls").agg(F.count("*").alias("n"), F.count("h").alias("with_id")).collect()
+    lost = sum(r["n"] - r["with_id"] for r in facts)
+    if lost:
+        raise ValueError(f"{lost} rows have no id: cannot place them")
+    counts = _checked({r["cls"]: r["n"] for r in facts})
+    return _prefix_counts(keyed, _digits(len(counts))), counts
 
 
-def _within(spots: set[tuple[str, str]]) -> Column:
-    """Rows of the given (class, prefix) pairs."""
-    chosen = F.lit(False)
-    for cls, prefix in sorted(spots):
-        chosen = chosen | ((F.col("cls") == cls) & F.col("h").startswith(prefix))
-    return chosen
+def _within(keyed: DataFrame, spots: set[tuple[str, str]], digits: int) -> DataFrame:
+    """Rows of the given (class, prefix) pairs, all prefixes of one length: a few per class."""
+    listed = keyed.sparkSession.createDataFrame(sorted(spots), "cls string, prefix string")
+    near = keyed.withColumn("prefix", F.substring("h", 1, digits))
+    return near.join(F.broadcast(listed), ["cls", "prefix"], "left_semi").drop("prefix")
 
 
 def _cut_hashes(
@@ -113,43 +115,44 @@ def _cut_hashes(
     # (class, rank) -> (prefix known so far, rows of the class before that prefix)
     where = {(c, k): ("", 0) for c, ks in ranks.items() for k in ks if k > 0}
     found: dict[tuple[str, int], str] = {}
-    counts, digits = first, DIGITS
+    counts = first
+    digits = len(first[0]["prefix"]) if first else DIGITS
+    step = digits
     while where:
         listed: set[tuple[str, str]] = set()
         deeper: set[tuple[str, str]] = set()
+        by_class: dict[str, list[tuple[str, int]]] = {}
+        for r in sorted(counts, key=lambda r: (r["cls"], r["prefix"])):
+            by_class.setdefault(r["cls"], []).append((r["prefix"], r["n"]))
         for spot, (prefix, before) in where.items():
             cls, rank = spot
-            inside = sorted(
-                (r["prefix"], r["n"])
-                for r in counts
-                if r["cls"] == cls and r["prefix"].startswith(prefix)
-            )
-            for longer, n in inside:
+            for longer, n in by_class.get(cls, []):
+                if not longer.startswith(prefix):
+                    continue
                 if before + n >= rank:
                     where[spot] = (longer, before)
                     (listed if n <= LIST_LIMIT or digits >= 32 else deeper).add((cls, longer))
                     break
                 before += n
         if listed:
-            near = (
-                keyed.where(_within(listed))
-                .groupBy("cls", "h")
-                .agg(F.count("*").alias("n"))
-                .collect()
-            )
+            near: dict[str, list[tuple[str, int]]] = {}
+            rows = _within(keyed, listed, digits).groupBy("cls", "h").agg(F.count("*").alias("n"))
+            for r in sorted(rows.collect(), key=lambda r: (r["cls"], r["h"])):
+                near.setdefault(r["cls"], []).append((r["h"], r["n"]))
             for spot in [s for s, (p, _) in where.items() if (s[0], p) in listed]:
                 cls, rank = spot
                 prefix, before = where.pop(spot)
-                for h, n in sorted(
-                    (r["h"], r["n"]) for r in near if r["cls"] == cls and r["h"].startswith(prefix)
-                ):
+                for h, n in near[cls]:
+                    if not h.startswith(prefix):
+                        continue
                     before += n
                     if before >= rank:
                         found[spot] = h
                         break
         if where:
-            digits = min(digits + DIGITS, 32)
-            counts = _prefix_counts(keyed.where(_within(deeper)), digits)
+            inside = _within(keyed, deeper, digits)
+            digits = min(digits + step, 32)
+            counts = _prefix_counts(inside, digits)
     return found
 
 
@@ -160,21 +163,36 @@ def _keyed(df: DataFrame, id_column: str, class_column: str, seed: int) -> DataF
 
 
 def _assign(
+    df: DataFrame,
     class_column: str,
     h: Column,
     parts: Mapping[str, Sequence[tuple[object, str | None]]],
     rest: object,
-) -> Column:
-    """First part of the row's class whose cut hash is not passed; ``rest`` beyond the last."""
+    name: str,
+) -> DataFrame:
+    """Add the first part of the row's class whose cut hash is not passed; ``rest`` beyond the last.
+
+    With few classes the cuts are literals and nothing is joined; with many they are a table of one
+    row per class, broadcast.
+    """
     cls = F.col(class_column).cast("string")
+    if len(parts) > LITERAL_CLASSES:
+        rows = [(c, [cut for _, cut in ends]) for c, ends in sorted(parts.items())]
+        cuts = df.sparkSession.createDataFrame(rows, "_cls string, _cuts array<string>")
+        joined = df.join(F.broadcast(cuts), cls == F.col("_cls"), "left")
+        chosen = None
+        for i, (part, _) in enumerate(next(iter(parts.values()))):
+            test = h <= F.col("_cuts")[i]
+            chosen = F.when(test, F.lit(part)) if chosen is None else chosen.when(test, F.lit(part))
+        return joined.select(*[df[c] for c in df.columns], chosen.otherwise(F.lit(rest)).alias(name))
     chosen: Column | None = None
     for c in sorted(parts):
-        for name, cut in parts[c]:
+        for part, cut in parts[c]:
             if cut is None:
                 continue
             test = (cls == c) & (h <= cut)
-            chosen = F.when(test, F.lit(name)) if chosen is None else chosen.when(test, F.lit(name))
-    return F.lit(rest) if chosen is None else chosen.otherwise(F.lit(rest))
+            chosen = F.when(test, F.lit(part)) if chosen is None else chosen.when(test, F.lit(part))
+    return df.withColumn(name, F.lit(rest) if chosen is None else chosen.otherwise(F.lit(rest)))
 
 
 def _checked(counts: dict) -> dict[str, int]:
@@ -190,16 +208,15 @@ def stratified_split(
 ) -> DataFrame:
     """The rows with a ``split`` column: train, validation or test. Ids must be unique."""
     keyed = _keyed(df, id_column, label_column, spec.seed)
-    first = _prefix_counts(keyed, DIGITS)
-    quotas = split_quotas(_checked(_class_counts(first)), spec)
+    first, counts = _first_counts(keyed)
+    quotas = split_quotas(counts, spec)
     ranks = {c: (q["test"], q["test"] + q["validation"]) for c, q in quotas.items()}
     cuts = _cut_hashes(keyed, first, ranks)
     parts = {
         c: [("test", cuts.get((c, a))), ("validation", cuts.get((c, b)))]
         for c, (a, b) in ranks.items()
     }
-    split = _assign(label_column, id_hash(id_column, spec.seed), parts, "train")
-    return df.withColumn("split", split)
+    return _assign(df, label_column, id_hash(id_column, spec.seed), parts, "train", "split")
 
 
 def stratified_folds(
@@ -207,13 +224,13 @@ def stratified_folds(
 ) -> DataFrame:
     """The rows with a ``fold`` column, 0 to folds - 1, class shares kept. Ids must be unique."""
     keyed = _keyed(df, id_column, label_column, seed)
-    first = _prefix_counts(keyed, DIGITS)
-    quotas = fold_quotas(_checked(_class_counts(first)), folds)
+    first, counts = _first_counts(keyed)
+    quotas = fold_quotas(counts, folds)
     upto = {c: [sum(q[: i + 1]) for i in range(folds - 1)] for c, q in quotas.items()}
     cuts = _cut_hashes(keyed, first, upto)
     parts = {c: [(i, cuts.get((c, k))) for i, k in enumerate(ks)] for c, ks in upto.items()}
-    fold = _assign(label_column, id_hash(id_column, seed), parts, folds - 1)
-    return df.withColumn("fold", fold.cast("int"))
+    folded = _assign(df, label_column, id_hash(id_column, seed), parts, folds - 1, "fold")
+    return folded.withColumn("fold", F.col("fold").cast("int"))
 
 
 def literal_column(spark: SparkSession, name: str, values: Sequence) -> DataFrame:
@@ -222,6 +239,22 @@ def literal_column(spark: SparkSession, name: str, values: Sequence) -> DataFram
     return spark.range(1).select(listed.alias("position", name))
 
 
+def assert_quotas(split: DataFrame, label_column: str, spec: SplitSpec) -> None:
+    """ValueError when a written split misses its exact sizes: its ids are not unique, then.
+
+    One count per class and split reaches the driver.
+    """
+    cls = F.col(label_column).cast("string").alias("cls")
+    sizes = {(r["cls"], r["split"]): r["n"] for r in split.groupBy(cls, "split").agg(F.count("*").alias("n")).collect()}
+    counts: dict[str, int] = {}
+    for (c, _), n in sizes.items():
+        counts[c] = counts.get(c, 0) + n
+    quotas = split_quotas(counts, spec)
+    off = {k: (sizes.get((c, k), 0), n) for c, q in quotas.items() for k, n in q.items() if sizes.get((c, k), 0) != n}
+    if off:
+        raise ValueError(f"split sizes and quotas differ (found, wanted): {off}; ids repeat")
+
+
 def split_manifest(split: DataFrame, label: LabelSpec) -> DataFrame:
     """Rows and positive rate (6 digits) of each split; an empty split has rate 0."""
     sizes = split.groupBy("split").agg(

@@ -8,14 +8,14 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from holdfast.functions.repair import as_column
+from holdfast.functions.repair import as_column, required_score
 from holdfast.spec import EvalSpec, LabelSpec
 
 
 def confusion_counts(score: Column, y: str | Column, threshold: float | Column) -> dict[str, Column]:
     """Aggregates counting true/false positives and negatives at a cut."""
     cut = threshold if isinstance(threshold, Column) else F.lit(float(threshold))
-    flagged, positive = score >= cut, as_column(y) == 1
+    flagged, positive = required_score(score) >= cut, as_column(y) == 1
     return {
         "n_tp": F.count_if(flagged & positive),
         "n_fp": F.count_if(flagged & ~positive),
@@ -24,6 +24,16 @@ def confusion_counts(score: Column, y: str | Column, threshold: float | Column)
     }
 
 
+def score_faults(scored: DataFrame, score: str, by: Sequence[str] = ()) -> DataFrame:
+    """(by, n_rows, n_null, n_nan): rows whose score the metrics would refuse."""
+    value = F.col(score).cast("double")
+    return scored.groupBy(*by).agg(
+        F.count("*").alias("n_rows"),
+        F.count_if(value.isNull()).alias("n_null"),
+        F.count_if(F.isnan(value)).alias("n_nan"),
+    )
+
+
 def confusion_matrix(
     scored: DataFrame,
     score: str,
@@ -80,9 +90,7 @@ def threshold_sweep(
     placed = Bucketizer(
         splits=[float("-inf"), *grid, float("inf")], inputCol="_score", outputCol="_reached"
     ).transform(
-        scored.select(*by, F.col(score).cast("double").alias("_score"), as_column(y).alias("_y")).where(
-            F.col("_score").isNotNull()
-        )
+        scored.select(*by, required_score(F.col(score)).alias("_score"), as_column(y).alias("_y"))
     )
     # _reached = number of cuts at or below the score
     per_place = placed.groupBy(*by, F.col("_reached").cast("int").alias("reached")).agg(

@@ -7,11 +7,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from holdfast.functions.labels import label_binary
-from holdfast.operators import evaluation, training
+from holdfast.operators import evaluation, ranking, threshold, training
 from holdfast.sources import registry, sinks
 from holdfast.spec import EvalSpec, ModelingSpec
 
 
+def _kept(table: DataFrame, path: str) -> DataFrame:
+    """Write a table and go on from what was written."""
+    table.write.mode("overwrite").parquet(path)
+    return table.sparkSession.read.schema(table.schema).parquet(path)
+
+
 def score_held_out(model: PipelineModel, split: DataFrame, spec: ModelingSpec) -> DataFrame:
     """(split, y, score) of the validation and test rows."""
     if spec.label.column not in split.columns:
@@ -37,7 +43,9 @@ def evaluation_job(
     """The evaluation summary; also written, and the champion appended to its table.
 
     Scores are written first: every metric then reads three narrow columns, and no executor
-    loss makes the model run again.
+    loss makes the model run again. Beside the summary stand the choice of the cut with its
+    warning (``threshold_choice.json``) and the series behind the figures: ``threshold_sweep`` on
+    validation, ``confusion_matrix`` on test at the cut, ``roc_curve`` and ``pr_curve`` of both.
     """
     spark = split.sparkSession
     model_path, source = registry.resolve_model(
@@ -48,24 +56,41 @@ def evaluation_job(
         scores_path
     )
     scored = spark.read.parquet(scores_path)
+    validation = scored.where(F.col("split") == evaluation.VALIDATION)
+    sweep = _kept(threshold.threshold_sweep(validation, "score", "y", settings), f"{output}/threshold_sweep.parquet")
+    choice_path = f"{output}/threshold_choice.json"
+    choice = threshold.select_threshold(sweep, settings, spec.label)
+    sinks.write_report(choice, choice_path)
+    choice = spark.read.schema(choice.schema).json(choice_path)
+    chosen = choice.first()
+    cumulative = _kept(
+        ranking.cumulative_counts(scored, "score", "y", ["split"]), f"{output}/cumulative.parquet"
+    )
+    ranking.roc_curve(cumulative, ["split"]).write.mode("overwrite").parquet(f"{output}/roc_curve.parquet")
+    ranking.pr_curve(cumulative, ["split"]).write.mode("overwrite").parquet(f"{output}/pr_curve.parquet")
+    test = scored.where(F.col("split") == evaluation.TEST)
+    threshold.confusion_matrix(test, "score", "y", chosen["threshold"]).write.mode("overwrite").parquet(
+        f"{output}/confusion_matrix.parquet"
+    )
     summary_path = f"{output}/evaluation_summary.json"
     sinks.write_report(
-        evaluation.evaluation_summary(scored, "score", "y", settings, spec.label),
+        evaluation.evaluation_summary(
+            scored, "score", "y", settings, spec.label, chosen=choice, cumulative=cumulative
+        ),
         summary_path,
     )
     summary = spark.read.schema("split string, metric string, value double").json(summary_path)
     # Two splits with six metrics each, and the cut.
     facts = {(r["split"], r["metric"]): r["value"] for r in summary.collect()}
-    floor = settings.floor(spec.label)
     registry.freeze_champion(
         spark,
         champion_path,
         model_path=model_path,
         model_source=source,
-        threshold=facts[(evaluation.VALIDATION, "threshold")],
-        recall_floor=floor,
-        beta=settings.beta,
-        floor_kept=facts[(evaluation.VALIDATION, "recall")] >= floor,
+        threshold=chosen["threshold"],
+        recall_floor=chosen["recall_floor"],
+        beta=chosen["beta"],
+        floor_kept=chosen["floor_kept"],
         test_metrics={
             m: facts[(evaluation.TEST, m)]
             for m in evaluation.METRICS

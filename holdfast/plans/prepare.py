@@ -43,11 +43,15 @@ def load_and_validate(
 def split_job(
     df: DataFrame, spec: ModelingSpec, split_spec: SplitSpec, output: str
 ) -> tuple[DataFrame, DataFrame]:
-    """Write the split table and its manifest; returns both as read back."""
+    """Write the split table and its manifest; returns both as read back.
+
+    The sizes written are held against the quotas: repeated ids stop the job.
+    """
     spark = df.sparkSession
     split = splitting.stratified_split(df, spec.id_column, spec.label.column, split_spec)
     path = sinks.write_splits(split, f"{output}/splits.parquet")
     written = spark.read.parquet(path)
+    splitting.assert_quotas(written, spec.label.column, split_spec)
     manifest = splitting.split_manifest(written, spec.label)
     sinks.write_report(manifest, f"{output}/split_manifest.json")
     return written, manifest

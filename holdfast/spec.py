@@ -41,6 +41,8 @@ class ModelingSpec:
     categorical: tuple[str, ...]
     label: LabelSpec
     encoding: str = "one_hot"
+    #: Most one-hot levels over all columns; None sets no limit. A fitted model holds every level.
+    most_levels: int | None = None
 
     def __post_init__(self) -> None:
         if self.encoding != "one_hot":
@@ -166,6 +168,8 @@ class EvalSpec:
             raise ValueError("beta must be above 0")
         if self.grid_points < 2:
             raise ValueError("grid_points must be 2 or more")
+        if self.recall_floor is not None and self.recall_floor < 0.0:
+            raise ValueError("recall_floor must be 0 or more")
 
     def floor(self, label: LabelSpec | None = None) -> float:
         """Recall floor in force: own setting, else the label's, else one half."""

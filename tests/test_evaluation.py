@@ -81,9 +81,42 @@ def test_running_totals_over_ranges(spark, descending, broadcast_rows, monkeypat
         assert r["cum_n"] == sum(upto) and r["all_n"] == sum(n for _, n in same)
 
 
-def test_too_many_groups_are_refused(many):
-    with pytest.raises(ValueError, match="groups"):
-        measure_ranges(many, "score", ["split"], most_ranges=1)
+@pytest.mark.parametrize("limit", [1_000_000, 40])
+def test_many_groups(spark, limit):
+    """More groups than any list on the driver should hold, a few of them large."""
+    rows = spark.range(30_000).select(
+        F.when(F.col("id") < 24_000, F.col("id") / 2).otherwise(F.col("id") % 3 - 9).cast("long").alias("g"),
+        (F.col("id") % 101 / 101.0).alias("score"),
+        (F.col("id") % 2).cast("int").alias("y"),
+    )
+    ranges = measure_ranges(rows, "score", ["g"], one_range_rows=limit)
+    assert ranges.groups == 12_003 and bool(ranges.edges) == (limit == 40)
+    cumulative = ranking.cumulative_counts(rows, "score", "y", ["g"], ranges)
+    found = {r["g"]: r["roc_auc"] for r in ranking.ranking_metrics(cumulative, ["g"]).collect()}
+    assert len(found) == 12_003
+    for g in (-9, -8, 0, 7):
+        assert found[g] == pytest.approx(auc_by_hand(pairs(rows.where(F.col("g") == g))), abs=1e-12)
+
+
+@pytest.mark.parametrize("fault", [None, float("nan")])
+@pytest.mark.parametrize("limit", [1_000_000, 5])
+def test_missing_scores_are_refused_at_every_size(spark, fault, limit):
+    rows = [(0.1 * i, i % 2) for i in range(12)] + [(fault, 1)]
+    df = spark.createDataFrame(rows, "score double, y int")
+    ranges = measure_ranges(df, "score", one_range_rows=limit)
+    calls = [
+        lambda: ranking.cumulative_counts(df, "score", "y", ranges=ranges),
+        lambda: threshold.confusion_matrix(df, "score", "y", 0.5),
+        lambda: threshold.threshold_metrics(df, "score", "y", 0.5),
+        lambda: threshold.threshold_sweep(df, "score", "y"),
+    ]
+    for call in calls:
+        with pytest.raises(Exception, match="null or NaN"):
+            call().collect()
+    faults = threshold.score_faults(df, "score").first()
+    assert tuple(faults) == (13, int(fault is None), int(fault is not None))
+    only = spark.createDataFrame([(None, 1)] * 9, "score double, y int")
+    assert measure_ranges(only, "score", one_range_rows=limit).edges == ()
 
 
 def test_one_class_only(spark):
@@ -94,9 +127,12 @@ def test_one_class_only(spark):
 
 def test_curves_end_at_one(many):
     cumulative = ranking.cumulative_counts(many, "score", "y")
-    roc = ranking.roc_curve(cumulative).orderBy("threshold").first()
-    assert (roc["fpr"], roc["tpr"]) == (1.0, 1.0)
-    pr = ranking.pr_curve(cumulative).orderBy("threshold").first()
+    roc = ranking.roc_curve(cumulative).orderBy("threshold").collect()
+    assert (roc[0]["fpr"], roc[0]["tpr"]) == (1.0, 1.0)
+    assert tuple(roc[-1]) == (0.0, 0.0, float("inf"))
+    curve = ranking.pr_curve(cumulative)
+    assert [tuple(r) for r in curve.where("threshold is null").collect()] == [(0.0, 1.0, None)]
+    pr = curve.where("threshold is not null").orderBy("threshold").first()
     rows = pairs(many)
     assert (pr["recall"], pr["precision"]) == (1.0, sum(y for y, _ in rows) / len(rows))
 

@@ -126,3 +126,20 @@ def test_too_many_levels_are_refused(spark):
     df = spark.range(30).select(F.col("id").cast("string").alias("c"))
     with pytest.raises(ValueError, match="too many"):
         features.fit_categorical(df, ["c"], most_levels=20)
+
+
+def test_fit_and_transform_read_text_alike(spark):
+    """Text that only one of two readers would take for a number is missing in both."""
+    texts = ["1", " 2 ", "\t3\n", "1f", "100d", "NaN", "nan", "", None, "4e0", "x", "Infinity"][:11]
+    df = spark.createDataFrame([(str(i), t, "a", "Yes" if i % 2 else "No") for i, t in enumerate(texts)],
+                               "id string, n string, c string, y string")
+    spec = ModelingSpec("id", {"n": "number"}, ("c",), LabelSpec("y"))
+    model, stats = features.fit_features(df, spec)
+    known = [1.0, 2.0, 3.0, 4.0]
+    assert stats.numeric["n"].median == 2.5
+    filled = [known[0], known[1], known[2]] + [2.5] * 6 + [4.0, 2.5]
+    mean = sum(filled) / len(filled)
+    spread = (sum((x - mean) ** 2 for x in filled) / len(filled)) ** 0.5
+    rows = features.transform_features(model, df).orderBy(F.col("id").cast("int")).collect()
+    got = [float(r[features.FEATURES][0]) for r in rows]
+    assert got == pytest.approx([(x - mean) / spread for x in filled])

@@ -125,12 +125,35 @@ def test_from_raw_file(spark, raw, tmp_path):
     assert "PartitionFilters: [isnotnull(split" in plan
 
 
-def test_many_classes_are_refused(spark, monkeypatch):
-    monkeypatch.setattr(splitting, "MOST_CLASSES", 0)
-    with pytest.raises(ValueError, match="too many classes"):
-        splitting.stratified_split(
-            spark.range(50).withColumn("y", F.col("id").cast("string")), "id", "y"
-        )
+def test_many_classes(spark):
+    """200 classes with 20,000 rows each: exact quotas, whatever the number of rows."""
+    rows = spark.range(4_000_000).select("id", (F.col("id") % 200).cast("string").alias("y"))
+    split = splitting.stratified_split(rows, "id", "y")
+    splitting.assert_quotas(split, "y", SplitSpec())
+    assert split.columns == ["id", "y", "split"]
+
+
+def test_literal_and_joined_cuts_agree(spark, monkeypatch):
+    rows = spark.range(3000).select("id", (F.col("id") % 7).cast("string").alias("y"), F.lit(1).alias("_cls"))
+    few = sorted(map(tuple, splitting.stratified_split(rows, "id", "y").collect()))
+    folds = sorted(map(tuple, splitting.stratified_folds(rows.drop("_cls"), "id", "y", 4).collect()))
+    monkeypatch.setattr(splitting, "LITERAL_CLASSES", 2)
+    monkeypatch.setattr(splitting, "COUNTS", 100)
+    monkeypatch.setattr(splitting, "LIST_LIMIT", 3)
+    assert sorted(map(tuple, splitting.stratified_split(rows.drop("_cls"), "id", "y").collect())) == [
+        (i, y, s) for i, y, _, s in few]
+    assert sorted(map(tuple, splitting.stratified_folds(rows.drop("_cls"), "id", "y", 4).collect())) == folds
+
+
+def test_null_and_repeated_ids(spark, tmp_path):
+    rows = spark.range(1000).select(F.when(F.col("id") > 2, F.col("id")).alias("id"), F.lit("a").alias("y"))
+    with pytest.raises(ValueError, match="3 rows have no id"):
+        splitting.stratified_split(rows, "id", "y")
+    with pytest.raises(ValueError, match="3 rows have no id"):
+        splitting.stratified_folds(rows, "id", "y", 3)
+    again = spark.range(1000).select((F.col("id") % 10).alias("id"), F.lit("a").alias("y"))
+    with pytest.raises(ValueError, match="ids repeat"):
+        splitting.assert_quotas(splitting.stratified_split(again, "id", "y"), "y", SplitSpec())
 
 
 def test_label_spec_on_other_columns(spark):
