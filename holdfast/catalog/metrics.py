@@ -431,6 +431,35 @@ def drift_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _report_columns(drift.drift_report(reference, current, t.DRIFT_SPEC))
 
 
+EMPTY_SIDE_SQL = (
+    f"with {t.DRIFT_SQL}, kinds as (select count(distinct l_returnflag) as a, "
+    "count(distinct l_linestatus) as b, count(distinct coalesce(holey, '__NA__')) as c from pair "
+    "where is_cur = 0), note as (select 'empty split for contingency' as e, "
+    "'single category after NA fill' as s) "
+    + " union all ".join(
+        f"select '{c}' as \"column\", 'numeric' as kind, cast(null as double) as statistic, false as "
+        "drift_flag, 'too few non-null values' as note"
+        for c in ("l_quantity", "l_extendedprice", "l_discount", "l_tax", "moved", "rarely")
+    )
+    + " union all "
+    + " union all ".join(
+        f"select '{c}', 'categorical', null, false, case when {k} < 2 then s else e end from kinds "
+        "cross join note"
+        for c, k in (("l_returnflag", "a"), ("l_linestatus", "b"), ("holey", "c"), ("constant", "1"))
+    )
+    + " union all select 'absent_number', 'numeric', null, false, 'column missing in one frame' "
+    "union all select 'absent_text', 'categorical', null, false, 'column missing in one frame'"
+)
+
+
+@entry("drift_report_empty", EMPTY_SIDE_SQL)
+def drift_report_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The earlier lines against a side without rows: every column is in the report."""
+    reference, current = t.drift_pair(spark, sf_dir)
+    nothing = current.where(F.col("l_quantity") < 0)
+    return _report_columns(drift.drift_report(reference, nothing, t.DRIFT_SPEC))
+
+
 @entry("drift_p_values")
 def drift_p_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     reference, current = t.drift_pair(spark, sf_dir)

@@ -345,10 +345,15 @@ def _naive(df: DataFrame) -> DataFrame:
 
 
 def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The events table as a file stream, its times as instants."""
-    schema = t.table(spark, sf_dir, "events").schema
-    source = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
-    return source.parquet(sf_dir).withColumn("ts", F.col("ts").cast(T.TimestampType()))
+    """The events table, one file or a folder of them, as a file stream, its times as instants."""
+    events = t.table(spark, sf_dir, "events")
+    source = spark.readStream.schema(events.schema)
+    if any(f.endswith("/events.parquet") for f in events.inputFiles()):
+        # a stream reads folders: of this one, the one file
+        source = source.option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    else:
+        source = source.parquet(f"{sf_dir}/events.parquet")
+    return source.withColumn("ts", F.col("ts").cast(T.TimestampType()))
 
 
 @entry("validate_windows", EVENT_WINDOWS_SQL)

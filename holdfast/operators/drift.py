@@ -8,19 +8,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from holdfast import workspace
 from holdfast.functions import repair
 from holdfast.functions.pvalues import chi2_p_values, ks_p_values
-from holdfast.operators.running import (
-    ONE_RANGE_ROWS,
-    ValueRanges,
-    measure_ranges,
-    running_totals,
-)
+from holdfast.operators.running import ONE_RANGE_ROWS, measure_ranges, running_totals
 from holdfast.spec import ModelingSpec
 
 #: Text that stands for a missing category (fixed value).
 MISSING = "__NA__"
 
+# Notes that readers of a report match on.
 NOTE_FEW = "too few non-null values"
 NOTE_SINGLE = "single category after NA fill"
 NOTE_EMPTY = "empty split for contingency"
@@ -68,27 +65,33 @@ def contingency(reference: DataFrame, current: DataFrame, columns: Sequence[str]
     )
 
 
+def _written(counts: DataFrame, name: str) -> DataFrame:
+    """Counts as a table: what is computed from them reads it, not the data again."""
+    path = workspace.new_path(counts.sparkSession, name)
+    counts.write.parquet(path)
+    return counts.sparkSession.read.schema(counts.schema).parquet(path)
+
+
 def ks_statistics(
     reference: DataFrame,
     current: DataFrame,
     columns: Sequence[str],
-    ranges: ValueRanges | None = None,
+    one_range_rows: int = ONE_RANGE_ROWS,
 ) -> DataFrame:
     """(column, n_ref, n_cur, statistic): largest gap between the two distributions.
 
-    All columns in one job: values are counted per side first, so a value that fills a third of
-    the rows is one counted row, then running totals give both distributions at every value.
+    Each table is read once: values are counted per side and the counts written, so a value that
+    fills a third of the rows is one counted row; then running totals, over ranges of at most about
+    ``one_range_rows`` distinct values, give both distributions at every value.
     """
     long = numeric_values(reference, current, columns)
-    if ranges is None:
-        # Every column has at most as many values as both tables have rows.
-        if reference.count() + current.count() <= ONE_RANGE_ROWS:
-            ranges = ValueRanges((), len(columns))
-        else:
-            ranges = measure_ranges(long, "value", ["column"])
-    counts = long.groupBy("column", "value").agg(
-        F.sum(1 - F.col("is_cur")).alias("ref"), F.sum("is_cur").alias("cur")
+    counts = _written(
+        long.groupBy("column", "value").agg(
+            F.sum(1 - F.col("is_cur")).alias("ref"), F.sum("is_cur").alias("cur")
+        ),
+        "numbers",
     )
+    ranges = measure_ranges(counts, "value", ["column"], one_range_rows=one_range_rows)
     running = running_totals(counts, "value", ["ref", "cur"], ranges, ["column"])
     gap = F.abs(
         F.try_divide("cum_ref", "all_ref") - F.try_divide("cum_cur", "all_cur")
@@ -141,7 +144,7 @@ def chi2_from_counts(
 
 
 def chi2_statistics(reference: DataFrame, current: DataFrame, columns: Sequence[str]) -> DataFrame:
-    return chi2_from_counts(contingency(reference, current, columns))
+    return chi2_from_counts(_written(contingency(reference, current, columns), "categories"))
 
 
 def _flagged(alpha: float) -> Column:
@@ -185,10 +188,11 @@ def drift_report(
             )
         )
     if texts:
-        chi2 = chi2_statistics(reference, current, texts).withColumn(
-            "p_value", chi2_p_values("statistic", "dof")
-        )
-        note = F.when(F.col("n_values") < 2, F.lit(NOTE_SINGLE)).when(
+        # As above: columns of two empty tables have no counts and come back by name.
+        chi2 = literal_names(reference, texts).join(
+            F.broadcast(chi2_statistics(reference, current, texts)), "column", "left"
+        ).withColumn("p_value", chi2_p_values("statistic", "dof"))
+        note = F.when(F.coalesce("n_values", F.lit(0)) < 2, F.lit(NOTE_SINGLE)).when(
             F.col("statistic").isNull(), F.lit(NOTE_EMPTY)
         )
         parts.append(

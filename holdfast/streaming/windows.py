@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from holdfast.functions.pvalues import chi2_p_values
-from holdfast.operators.drift import chi2_from_counts
 from holdfast.operators.quality import Check
 
 
@@ -30,6 +29,38 @@ def window_failures(
     return counted.select(F.col("w.start").alias("window_start"), "n_rows", *names)
 
 
+def _upsert(
+    counted: DataFrame, output: str, checkpoint: str, available_now: bool
+) -> StreamingQuery:
+    """Append each batch's changed counts with the batch number, under a folder per batch."""
+
+    def append(batch: DataFrame, batch_id: int) -> None:
+        stamped = batch.withColumn("batch", F.lit(batch_id).cast("long"))
+        stamped.write.mode("overwrite").parquet(f"{output}/part={batch_id}")
+
+    writer = (
+        counted.writeStream.outputMode("update")
+        .foreachBatch(append)
+        .option("checkpointLocation", checkpoint)
+    )
+    if available_now:
+        writer = writer.trigger(availableNow=True)
+    return writer.start()
+
+
+def compact(written: DataFrame, output: str, keys: Sequence[str]) -> DataFrame:
+    """Write the newest row of each window once, to a new place that replaces the old folders.
+
+    Run it between runs of a stream (with a new ``output`` for the next one, and both read), so that
+    the folders of old batches need not be kept or read for ever.
+    """
+    values = [c for c in written.columns if c not in (*keys, "batch", "part")]
+    newest = F.max_by(F.struct(*values, "batch"), "batch").alias("v")
+    kept = written.groupBy(*keys).agg(newest).select(*keys, "v.*")
+    kept.write.mode("errorifexists").parquet(output)
+    return written.sparkSession.read.schema(kept.schema).parquet(output)
+
+
 def validate_stream(
     rows: DataFrame,
     ts: str,
@@ -43,23 +74,9 @@ def validate_stream(
 ) -> StreamingQuery:
     """Keep a table of window counts up to date: changed windows are appended with their batch.
 
-    ``latest_windows`` reads the newest row of each window back.
+    ``latest_windows`` reads the newest row of each window back; ``compact`` folds old batches.
     """
-    counted = window_failures(rows, ts, width, checks, watermark)
-
-    def append(batch: DataFrame, batch_id: int) -> None:
-        batch.withColumn("batch", F.lit(batch_id).cast("long")).write.mode("overwrite").parquet(
-            f"{output}/part={batch_id}"
-        )
-
-    writer = (
-        counted.writeStream.outputMode("update")
-        .foreachBatch(append)
-        .option("checkpointLocation", checkpoint)
-    )
-    if available_now:
-        writer = writer.trigger(availableNow=True)
-    return writer.start()
+    return _upsert(window_failures(rows, ts, width, checks, watermark), output, checkpoint, available_now)
 
 
 def latest_windows(written: DataFrame) -> DataFrame:
@@ -74,12 +91,22 @@ def latest_windows(written: DataFrame) -> DataFrame:
 def window_category_counts(
     rows: DataFrame, ts: str, width: str, columns: Sequence[str], missing: str = "__NA__"
 ) -> DataFrame:
-    """(window_start, column, value, n) in one pass over all categorical columns."""
-    texts = [F.coalesce(F.col(c).cast("string"), F.lit(missing)).alias(c) for c in columns]
-    long = rows.select(F.window(ts, width)["start"].alias("window_start"), *texts).unpivot(
-        "window_start", list(columns), "column", "value"
-    )
-    return long.groupBy("window_start", "column", "value").agg(F.count("*").alias("n"))
+    """(window_start, column, value, n) in one pass over all categorical columns.
+
+    Grouped by the window itself, which carries the watermark: a stream frees the counters of a
+    window once it has passed, and leaves out rows that come later.
+    """
+    values = [
+        F.struct(F.lit(c).alias("column"), F.coalesce(F.col(c).cast("string"), F.lit(missing)).alias("value"))
+        for c in columns
+    ]
+    long = rows.select(ts, F.explode(F.array(*values)).alias("cell"))
+    counted = long.groupBy(
+        F.window(ts, width).alias("w"),
+        F.col("cell.column").alias("column"),
+        F.col("cell.value").alias("value"),
+    ).agg(F.count("*").alias("n"))
+    return counted.select(F.col("w.start").alias("window_start"), "column", "value", "n")
 
 
 def drift_windows(
@@ -89,21 +116,61 @@ def drift_windows(
 
     ``counts`` and ``reference`` hold one row per category, not per data row. A category of
     either side that the other lacks counts as 0.
+
+    Categories that a window lacks are never listed: without any of its own, a category adds its
+    reference count times (all of the window / all of the reference), so together they add what is
+    left of the reference. Only with two categories in all (one degree of freedom) is the single
+    absent one computed by itself, drawn in by one half like the other.
     """
-    windows = counts.select("window_start", "column").distinct()
-    expected = windows.join(reference.withColumnRenamed("n", "n_ref"), "column").select(
-        "window_start", "column", "value", "n_ref", F.lit(0).cast("long").alias("n_cur")
+    by = ["window_start", "column"]
+    totals = reference.groupBy("column").agg(
+        F.sum("n").cast("double").alias("all_ref"), F.count("*").alias("k_ref")
     )
-    seen = counts.select(
-        "window_start", "column", "value", F.lit(0).cast("long").alias("n_ref"),
-        F.col("n").alias("n_cur"),
+    seen = counts.join(reference.withColumnRenamed("n", "n_ref"), ["column", "value"], "left")
+    seen = seen.withColumn("r", F.coalesce("n_ref", F.lit(0)).cast("double"))
+    sums = seen.groupBy(*by).agg(
+        F.sum("n").cast("double").alias("all_cur"),
+        F.sum("r").alias("ref_seen"),
+        F.count_if(F.col("n_ref").isNull()).alias("only_cur"),
+        F.count("n_ref").alias("in_both"),
     )
-    table = expected.unionByName(seen).groupBy("window_start", "column", "value").agg(
-        F.sum("n_ref").alias("n_ref"), F.sum("n_cur").alias("n_cur")
+    # One row per compared column.
+    sums = sums.join(F.broadcast(totals), "column", "left").select(
+        *by, "all_cur",
+        F.coalesce("all_ref", F.lit(0.0)).alias("all_ref"),
+        (F.coalesce("all_ref", F.lit(0.0)) - F.col("ref_seen")).alias("ref_absent"),
+        (F.coalesce("k_ref", F.lit(0)) - F.col("in_both")).alias("k_absent"),
+        (F.coalesce("k_ref", F.lit(0)) + F.col("only_cur")).alias("n_values"),
     )
-    tested = chi2_from_counts(table, ["window_start", "column"], few_groups=False).withColumn(
-        "p_value", chi2_p_values("statistic", "dof")
+
+    def terms(ref: Column, cur: Column) -> Column:
+        """What a category adds, drawn in by one half with one degree of freedom."""
+        everything = F.col("all_ref") + F.col("all_cur")
+        total: Column = F.lit(0.0)
+        for own, all_ in ((ref, "all_ref"), (cur, "all_cur")):
+            expected = F.try_divide((ref + cur) * F.col(all_), everything)
+            gap = F.abs(own - expected)
+            pull = F.when(F.col("n_values") == 2, F.least(F.lit(0.5), gap)).otherwise(F.lit(0.0))
+            total = total + F.try_divide((gap - pull) * (gap - pull), expected)
+        return total
+
+    joined = seen.join(sums, by)
+    absent = F.when(F.col("k_absent") == 0, F.lit(0.0)).when(
+        F.col("n_values") == 2, terms(F.col("ref_absent"), F.lit(0.0))
+    ).otherwise(F.try_divide(F.col("ref_absent") * F.col("all_cur"), F.col("all_ref")))
+    own = terms(F.col("r"), F.col("n").cast("double"))
+    added = joined.groupBy(*by).agg(
+        F.max("n_values").alias("n_values"),
+        F.max("all_ref").cast("long").alias("n_ref"),
+        F.max("all_cur").cast("long").alias("n_cur"),
+        (F.sum(own) + F.max(absent)).alias("chi2"),
     )
+    usable = (F.col("n_values") >= 2) & (F.least("n_ref", "n_cur") > 0)
+    tested = added.select(
+        *by, "n_values", "n_ref", "n_cur",
+        (F.col("n_values") - 1).alias("dof"),
+        F.when(usable, F.col("chi2")).alias("statistic"),
+    ).withColumn("p_value", chi2_p_values("statistic", "dof"))
     flag: Column = F.coalesce(F.col("p_value") < F.lit(float(alpha)), F.lit(False))
     return tested.withColumn("drift_flag", flag)
 
@@ -121,23 +188,11 @@ def drift_stream(
 ) -> StreamingQuery:
     """Window category counts of a stream, appended per batch with the batch number.
 
-    The state is one counter per window and category. Read the written counts with
+    The state is one counter per open window and category. Read the written counts with
     ``latest_counts`` and test them with ``drift_windows`` against fixed reference counts.
     """
     counted = window_category_counts(rows.withWatermark(ts, watermark), ts, width, columns)
-
-    def append(batch: DataFrame, batch_id: int) -> None:
-        stamped = batch.withColumn("batch", F.lit(batch_id).cast("long"))
-        stamped.write.mode("overwrite").parquet(f"{output}/part={batch_id}")
-
-    writer = (
-        counted.writeStream.outputMode("update")
-        .foreachBatch(append)
-        .option("checkpointLocation", checkpoint)
-    )
-    if available_now:
-        writer = writer.trigger(availableNow=True)
-    return writer.start()
+    return _upsert(counted, output, checkpoint, available_now)
 
 
 def latest_counts(written: DataFrame) -> DataFrame:

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from holdfast.contracts import SNAPSHOT_SPEC
 from holdfast.functions import pvalues
 from holdfast.operators import drift
-from holdfast.operators.running import measure_ranges
 from holdfast.plans import drift as drift_plan
 from holdfast.sources import sinks
 from holdfast.spec import LabelSpec, ModelingSpec
@@ -99,9 +98,7 @@ def test_ks_statistic(spark, limit):
     b = [float(i * 11 % 89) for i in range(90)] + [50.0] * 10
     ref = spark.createDataFrame([(v,) for v in a] + [(None,)], "x double")
     cur = spark.createDataFrame([(v,) for v in b] + [(float("nan"),)], "x double")
-    long = drift.numeric_values(ref, cur, ["x"])
-    ranges = measure_ranges(long, "value", ["column"], one_range_rows=limit)
-    row = drift.ks_statistics(ref, cur, ["x"], ranges).first()
+    row = drift.ks_statistics(ref, cur, ["x"], one_range_rows=limit).first()
     assert (row["n_ref"], row["n_cur"]) == (230, 100)
     assert row["statistic"] == pytest.approx(ks_by_hand(a, b), abs=1e-15)
 
@@ -165,3 +162,25 @@ def test_job_from_paths(spark, customers, tmp_path):
     rows = drift_plan.drift_job(spark, a, b, SNAPSHOT_SPEC, str(tmp_path), alpha=0.01).collect()
     assert {r["column"] for r in rows if r["drift_flag"]} == {"tenure"}
     assert {(r["reference"], r["current"], r["alpha"]) for r in rows} == {(a, b, 0.01)}
+
+
+def test_empty_tables_keep_every_column(customers):
+    none = customers.limit(0)
+    found = report(none, none, SNAPSHOT_SPEC)
+    assert len(found) == 19
+    assert found["Contract"]["note"] == drift.NOTE_SINGLE and found["tenure"]["note"] == drift.NOTE_FEW
+
+
+def test_each_table_is_read_once_per_kind(spark, customers, tmp_path, monkeypatch):
+    """The counts are written by one scan of each table; the report reads the counts."""
+    a = sinks.write_table(customers, str(tmp_path / "a.parquet"))
+    ref, cur = spark.read.parquet(a), spark.read.parquet(a)
+    scans, kept = [], drift._written
+
+    def written(counts, name):
+        scans.append(counts._jdf.queryExecution().executedPlan().toString().count("FileScan parquet"))
+        return kept(counts, name)
+
+    monkeypatch.setattr(drift, "_written", written)
+    plan = drift.drift_report(ref, cur, SNAPSHOT_SPEC)._jdf.queryExecution().executedPlan().toString()
+    assert scans == [2, 2] and "a.parquet" not in plan
