@@ -27,6 +27,8 @@ AREA = (
     "sum(cast(neg as double) * (cpos - pos) + cast(neg as double) * pos / 2) / "
     "(cast(sum(pos) as double) * cast(sum(neg) as double))"
 )
+#: The cumulative table's SQL over any ``scored``.
+CUMULATIVE_TAIL = t.CUMULATIVE_SQL[len(t.SCORED_SQL):]
 PRECISION = "sum(cast(pos as double) * cpos / (cpos + cneg)) / cast(sum(pos) as double)"
 
 

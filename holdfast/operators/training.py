@@ -201,11 +201,14 @@ def random_search(train: DataFrame, spec: ModelingSpec, search: SearchSpec) -> S
             model = _trees(points[trial], search.seed).fit(fit_rows)
             return judge.evaluate(model.transform(judge_rows))
 
-        with ThreadPool(min(search.parallelism, len(points))) as pool:
-            scores = pool.map(inheritable_thread_target(train.sparkSession)(one), range(len(points)))
+        try:
+            with ThreadPool(min(search.parallelism, len(points))) as pool:
+                run = inheritable_thread_target(train.sparkSession)(one)
+                scores = pool.map(run, range(len(points)))
+        finally:
+            fit_rows.unpersist()
+            judge_rows.unpersist()
         results += [(t, fold, float(s)) for t, s in enumerate(scores)]
-        fit_rows.unpersist()
-        judge_rows.unpersist()
 
     means = [
         sum(s for t, _, s in results if t == trial) / search.folds for trial in range(len(points))

@@ -8,6 +8,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from holdfast import workspace
 from holdfast.functions.labels import label_binary
 from holdfast.operators import evaluation, training
 from holdfast.sources import registry
@@ -26,15 +27,22 @@ class Trained:
 def validation_metrics(
     model: PipelineModel, validation: DataFrame, spec: ModelingSpec
 ) -> dict[str, float]:
+    """Metrics of the validation rows. Their scores are written first: the model runs once."""
     scored = training.score_rows(model, validation, "_p").select(
         "_p", label_binary(spec.label).alias("_label")
     )
+    path = workspace.new_path(validation.sparkSession, "validation_scores")
+    scored.write.parquet(path)
+    scored = validation.sparkSession.read.schema(scored.schema).parquet(path)
     row = evaluation.fixed_cut_metrics(scored, "_p", "_label", LOGGED_CUT).first()
     return {f"val_{k}": float(v) for k, v in row.asDict().items() if v is not None}
 
 
 def _sizes(train: DataFrame, validation: DataFrame) -> dict[str, int]:
-    return {"n_train": train.count(), "n_val": validation.count()}
+    """Rows of both, in one job."""
+    both = train.select(F.lit(0).alias("val")).unionAll(validation.select(F.lit(1).alias("val")))
+    row = both.agg(F.count_if(F.col("val") == 0).alias("t"), F.count_if(F.col("val") == 1).alias("v")).first()
+    return {"n_train": row["t"], "n_val": row["v"]}
 
 
 def train_logistic_job(
