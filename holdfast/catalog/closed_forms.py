@@ -162,10 +162,10 @@ def champion_freeze_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @entry(
     "score_batch_levels",
-    f"with summary as ({SUMMARY_SQL}), cut as (select max(value) as frozen from summary where metric = "
+    f"with summary as ({SUMMARY_SQL}), chosen_cut as (select max(value) as frozen from summary where metric = "
     f"'threshold'), {SHARES_SQL} select customer_id, round(p, 4) as churn_probability, case when "
     "p >= frozen then 'Yes' else 'No' end as predicted_churn, churn as actual_churn from split join "
-    "shares using (segment) cross join cut",
+    "shares using (segment) cross join chosen_cut",
 )
 def score_batch_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All customers scored from a file with the champion as it is read back."""
