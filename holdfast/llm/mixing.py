@@ -18,6 +18,8 @@ WEIGHTS = (3, 1, 2)
 SHARE = 1.5
 MOST = 2
 SEED = 42
+#: Slots that one task draws and permutes, about.
+SLOTS_PER_TASK = 1 << 20
 #: Rows that one running sum goes over, about; and slots that one row unfolds to.
 RUN = 4096
 #: Rounds of the index permutation, and steps back into its range.
@@ -151,7 +153,8 @@ def _slots(sources: DataFrame, spark: SparkSession) -> DataFrame:
     total = plan.agg(F.sum("slots")).first()[0] or 0
     shards = max(1, round(total / SHARD))
     runs = plan.withColumn("run", F.explode(F.sequence(F.lit(0), F.floor(F.col("slots") / RUN).cast("long"))))
-    runs = runs.repartition(spark.sparkContext.defaultParallelism, "rank", "run")
+    tasks = max(spark.sparkContext.defaultParallelism, total // SLOTS_PER_TASK)
+    runs = runs.repartition(tasks, "rank", "run")
     first, last = F.col("run") * RUN, F.least((F.col("run") + 1) * RUN, F.col("slots")) - 1
     draws = runs.where(first <= last).select("rank", F.explode(F.sequence(first, last)).alias("k"))
     shard = F.pmod(F.xxhash64(F.lit("shard"), F.lit(SEED), "rank", "k"), F.lit(shards))
@@ -159,6 +162,8 @@ def _slots(sources: DataFrame, spark: SparkSession) -> DataFrame:
     upto = Window.partitionBy("rank").orderBy("shard")
     before = F.sum("count").over(upto.rowsBetween(Window.unboundedPreceding, -1))
     counts = counts.withColumn("first", F.coalesce(before, F.lit(0)))
+    # few rows that unfold to very many: dealt out by number, or they would be joined into one task
+    counts = counts.repartition(tasks, "rank", "shard")
     number = F.explode(F.sequence(F.col("first"), F.col("first") + F.col("count") - 1)).alias("k")
     slots = counts.join(plan.select("rank", "blocks", "slots", "last"), "rank")
     slots = slots.select("rank", "shard", "blocks", "slots", "last", number)
