@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from xxhash import xxh3_64_digest, xxh3_128_digest
+from xxhash import xxh3_128_digest
 
 from holdfast.llm.common import packed, settle, words
 from holdfast.llm.entries import entry, table
@@ -20,7 +20,12 @@ GRAM = 8
 WIDTH = 48
 #: Words that are hashed at once.
 CHUNK = 1 << 17
-#: Rows (and items of their lists) that a broadcast table may have; a larger one is joined by shuffle.
+#: Most bits of the map that tells tasks which cells count twice or more: 128 MB. Beyond it, cells
+#: share bits, and more windows are grouped than need be; the result is the same.
+MAP_BITS = 30
+#: Cells of one part of the map.
+PART_BITS = 20
+#: Rows that a broadcast table may have; a larger one is joined by shuffle.
 BROADCAST = 1 << 20
 #: A null id stands before all others.
 FIRST = -(1 << 63)
@@ -78,13 +83,18 @@ def _chunks(texts: list[str | None]) -> Iterator[tuple[list[bytes], np.ndarray,
         yield held, np.array(bounds), np.array(text), np.array(first)
 
 
-def _anchors(held: list[bytes], bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _hashes(held: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Two 64-bit hashes of each word."""
+    both = np.frombuffer(b"".join(map(xxh3_128_digest, held)), ">u8").astype(np.uint64)
+    return np.ascontiguousarray(both[::2]), np.ascontiguousarray(both[1::2])
+
+
+def _anchors(hashes: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(value of each window's anchor, whether the window is whole, values of anchors, each once).
 
     The anchor of a window is its gram with the least hash. Equal windows have equal anchors at the
     same place within, so a window that occurs twice has an anchor that occurs twice.
     """
-    hashes = np.frombuffer(b"".join(map(xxh3_64_digest, held)), ">u8").astype(np.uint64)
     grams = _runs(hashes, GRAM, 0x9E3779B97F4A7C15) | np.uint64(1)
     least = _slide(grams, _SPREAD, least=True)
     whole = np.ones(len(least), bool)
@@ -105,60 +115,69 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A partition's sketch, sparsely: cells with their counts."""
     for batch in batches:
         for held, bounds, _, _ in _chunks(batch["text"].to_pylist()):
-            cell, n = np.unique(_cells(_anchors(held, bounds)[2]), return_counts=True)
+            cell, n = np.unique(_cells(_anchors(_hashes(held)[0], bounds)[2]), return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array(n)], names=["cell", "n"])
 
 
-def _ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(cell, row, span) for each run of windows with one anchor; span is start << 8 | length."""
-    for batch in batches:
-        row = batch["row"].to_numpy()
-        for held, bounds, text, first in _chunks(batch["text"].to_pylist()):
-            value, whole, _ = _anchors(held, bounds)
-            at = np.flatnonzero(whole)
-            part = np.searchsorted(bounds, at, side="right") - 1
-            place = at - bounds[part] + first[part]
-            new = np.r_[True, (value[at][1:] != value[at][:-1]) | (np.diff(at) > 1)]
-            new |= (at - at[np.maximum.accumulate(np.where(new, np.arange(len(at)), 0))]) % 255 == 0
-            begin = np.flatnonzero(new)
-            length = np.diff(np.r_[begin, len(at)])
-            columns = [_cells(value[at[begin]]), row[text[part[begin]]], place[begin] << 8 | length]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["cell", "row", "span"])
-
-
-def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(d1, d2, o, row, start) for each window of the spans: a 128-bit hash of its words."""
-    for batch in batches:
-        row, order = batch["row"].to_numpy(), batch["o"].to_numpy()
-        spans = [s.values.to_numpy() for s in batch["spans"]]
-        for held, bounds, text, first in _chunks(batch["text"].to_pylist()):
-            digests = np.frombuffer(b"".join(map(xxh3_128_digest, held)), ">u8").astype(np.uint64)
-            digests = digests.reshape(-1, 2)
-            d1 = _runs(np.ascontiguousarray(digests[:, 0]), WINDOW, 0xBF58476D1CE4E5B9)
-            d2 = _runs(np.ascontiguousarray(digests[:, 1]), WINDOW, 0x94D049BB133111EB)
-            asked = np.zeros(len(d1) + 1, np.int64)
-            for k, i in enumerate(text):
-                begin = (spans[i] >> 8) - first[k] + bounds[k]
-                end = begin + (spans[i] & 255)
-                last = bounds[k + 1] - WINDOW + 1
-                inside = (end > bounds[k]) & (begin < last)
-                np.add.at(asked, np.clip(begin[inside], bounds[k], last), 1)
-                np.add.at(asked, np.clip(end[inside], bounds[k], last), -1)
-            at = np.flatnonzero(np.cumsum(asked)[:-1])
-            part = np.searchsorted(bounds, at, side="right") - 1
-            place = at - bounds[part] + first[part]
-            owner = text[part]
-            columns = [d1[at].view(np.int64), d2[at].view(np.int64), order[owner], row[owner], place]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c) for c in columns], names=["d1", "d2", "o", "row", "start"]
-            )
-
-
-def _small(side: DataFrame, lists: str | None = None) -> DataFrame:
-    """The table to broadcast if it has at most BROADCAST rows and list items; else as it is."""
-    items = F.sum(F.size(lists)) if lists else F.lit(0)
-    rows, held = side.agg(F.count("*"), items).first()
-    return F.broadcast(side) if rows + (held or 0) <= BROADCAST else side
+def _map_parts(bits: int):
+    """(part, bits) for each part of the map that cells of a partition are in."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        size = 1 << min(bits, PART_BITS)
+        parts: dict[int, np.ndarray] = {}
+        for batch in batches:
+            place = batch["cell"].to_numpy() >> (WIDTH - bits)
+            for part in np.unique(place // size):
+                held = parts.setdefault(int(part), np.zeros(size, bool))
+                held[place[place // size == part] % size] = True
+        for part, held in parts.items():
+            packed_bits = np.packbits(held, bitorder="little").tobytes()
+            yield pa.RecordBatch.from_arrays([pa.array([part]), pa.array([packed_bits])], names=["part", "bits"])
+
+    return run
+
+
+def _cell_map(cells: DataFrame) -> tuple[np.ndarray, int]:
+    """A bit for each value of a cell's first bits: set if a cell that begins so is in the table.
+
+    About sixteen bits a cell, at most 2 ** MAP_BITS. Tasks make the parts, the driver joins them.
+    """
+    bits = min(MAP_BITS, max(10, (16 * cells.count()).bit_length()))
+    size = 1 << min(bits, PART_BITS)
+    part = F.shiftright("cell", WIDTH - bits + min(bits, PART_BITS))
+    made = cells.repartition(part).mapInArrow(_map_parts(bits), "part long, bits binary")
+    whole = np.zeros((1 << bits) // 8, np.uint8)
+    for row in made.toLocalIterator():
+        whole[row["part"] * size // 8 : (row["part"] + 1) * size // 8] |= np.frombuffer(row["bits"], np.uint8)
+    return whole, bits
+
+
+def _window_rows(shipped, bits: int):
+    """(d1, d2, o, row, start) for each window whose anchor's cell is in the map: a 128-bit hash."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = shipped.value
+        for batch in batches:
+            row, order = batch["row"].to_numpy(), batch["o"].to_numpy()
+            for held, bounds, text, first in _chunks(batch["text"].to_pylist()):
+                one, two = _hashes(held)
+                value, whole, _ = _anchors(one, bounds)
+                place = _cells(value) >> (WIDTH - bits)
+                at = np.flatnonzero(whole & (known[place >> 3] >> (place & 7) & 1).astype(bool))
+                d1 = _runs(one, WINDOW, 0xBF58476D1CE4E5B9)[at]
+                d2 = _runs(two, WINDOW, 0x94D049BB133111EB)[at]
+                part = np.searchsorted(bounds, at, side="right") - 1
+                owner, start = text[part], at - bounds[part] + first[part]
+                columns = [d1.view(np.int64), d2.view(np.int64), order[owner], row[owner], start]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c) for c in columns], names=["d1", "d2", "o", "row", "start"]
+                )
+
+    return run
+
+
+def _is_small(side: DataFrame) -> bool:
+    return side.offset(BROADCAST).isEmpty()
 
 
 def _copies(rows: DataFrame) -> DataFrame:
@@ -172,20 +191,23 @@ def repeated_runs(base: DataFrame) -> DataFrame:
     """(o, row, runs): words (start, end) covered by windows that also start earlier.
 
     base: (o, row, text). Windows are 20 consecutive words. Partitions sketch how often anchors of
-    windows occur, the sketches are added up, and windows whose anchor is estimated to occur twice
-    are grouped by a hash of all their words, 128 bits wide. An estimate is never too low, so no
-    repeated window is lost; one that is too high costs a group of one.
+    windows occur and the sketches are added up. A map of the cells that count twice goes to all
+    tasks, its size bounded, and windows whose anchor it has are grouped by a hash of all their words,
+    128 bits wide. An estimate is never too low, so no repeated window is lost; one that is too high
+    costs a group of one.
     """
     cells = base.select("text").mapInArrow(_sketch, "cell long, n long")
     cells = cells.groupBy("cell").agg(F.sum("n").alias("n")).where("n > 1").select("cell")
-    spans = base.select("row", "text").mapInArrow(_ranges, "cell long, row long, span long")
-    spans = spans.join(settle(cells, "cells"), "cell").groupBy("row")
-    spans = settle(spans.agg(F.sort_array(F.collect_set("span")).alias("spans")), "spans")
-    named = base.join(_small(spans, "spans"), "row").select("row", "o", "text", "spans")
-    windows = named.mapInArrow(_windows, "d1 long, d2 long, o long, row long, start long")
+    known, bits = _cell_map(settle(cells, "cells"))
+    shipped = base.sparkSession.sparkContext.broadcast(known)
+    windows = base.select("o", "row", "text").mapInArrow(
+        _window_rows(shipped, bits), "d1 long, d2 long, o long, row long, start long"
+    )
     here = F.struct("o", "start")
     firsts = windows.groupBy("d1", "d2").agg(F.min(here).alias("least"), F.count("*").alias("n"))
-    again = windows.join(firsts.where("n > 1"), ["d1", "d2"]).where(here > F.col("least"))
+    # Written first, so that a window found very often can be split among tasks in the join.
+    firsts = settle(firsts.where("n > 1").drop("n"), "firsts")
+    again = windows.join(firsts, ["d1", "d2"]).where(here > F.col("least"))
     starts = again.groupBy("o", "row").agg(F.sort_array(F.collect_set("start")).alias("starts"))
     return settle(starts.select("o", "row", _covered("starts").alias("runs")), "runs")
 
@@ -242,12 +264,17 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
         "t2": F.xxhash64(F.lit(2), "text"),
         "row": F.xxhash64("o", "text"),
     })
-    # A whole copy goes in any case, and its windows start earlier elsewhere: the rest is told apart.
-    copies = _small(_copies(rows.where("text is not null")))
-    base = rows.where("text is not null").join(copies, ["o", "t1", "t2"], "left_anti")
-    runs = _small(repeated_runs(base.select("o", "row", "text")), "runs")
-    rows = rows.join(copies.withColumn("is_copy", F.lit(True)), ["o", "t1", "t2"], "left")
-    rows = rows.join(runs, ["o", "row"], "left")
+    # A whole copy goes in any case, and its windows start earlier elsewhere, so they need no look.
+    # That only saves work: copies beyond the bound of a broadcast are looked at like all others.
+    base = rows.where("text is not null").select("o", "row", "text", "t1", "t2")
+    copies = _copies(base)
+    if _is_small(copies):
+        base = base.join(F.broadcast(copies), ["o", "t1", "t2"], "left_anti")
+    else:
+        copies = copies.limit(0)
+    runs = repeated_runs(base.select("o", "row", "text"))
+    rows = rows.join(F.broadcast(runs) if _is_small(runs) else runs, ["o", "row"], "left")
+    rows = rows.join(F.broadcast(copies.withColumn("is_copy", F.lit(True))), ["o", "t1", "t2"], "left")
     cutter = F.arrow_udf(_cut, "struct<n_words:bigint,n_removed:bigint,kept:string>")
     cut = rows.select("_row", cutter("text", "runs", F.coalesce("is_copy", F.lit(False))).alias("cut"))
     return cut.select("_row", "cut.n_words", "cut.n_removed", "cut.kept")

@@ -51,8 +51,10 @@ def sample(seed, n=60, vocabulary=3000):
     return rows
 
 
-@pytest.mark.parametrize("seed, broadcast, chunk", [(1, 1 << 20, 1 << 17), (2, 0, 25), (3, 0, 1)])
-def test_as_window_by_window(spark, monkeypatch, seed, broadcast, chunk):
+@pytest.mark.parametrize("seed, broadcast, chunk, bits", [(1, 1 << 20, 1 << 17, 30), (2, 0, 25, 12), (3, 0, 1, 5)])
+def test_as_window_by_window(spark, monkeypatch, seed, broadcast, chunk, bits):
+    """Small and large tables are joined in other ways, a full map names more windows: all the same."""
+    monkeypatch.setattr(substrings, "MAP_BITS", bits)
     monkeypatch.setattr(substrings, "BROADCAST", broadcast)
     monkeypatch.setattr(substrings, "CHUNK", chunk)
     rows = sample(seed)
@@ -74,7 +76,7 @@ def test_no_repeated_window_has_a_low_estimate():
         try:
             counts, anchors = {}, {}
             for held, bounds, text, first in substrings._chunks([t for _, t in rows]):
-                value, whole, once = substrings._anchors(held, bounds)
+                value, whole, once = substrings._anchors(substrings._hashes(held)[0], bounds)
                 for c in substrings._cells(once).tolist():
                     counts[c] = counts.get(c, 0) + 1
                 for at in np.flatnonzero(whole):
@@ -115,3 +117,15 @@ def test_query(spark):
     rows = got.collect()
     assert sorted(map(tuple, rows), key=repr) == plain([tuple(r) for r in docs])
     assert sum(r["n_removed"] for r in rows) > 0
+
+
+def test_map_has_every_cell(spark, monkeypatch):
+    cells = np.unique(np.random.default_rng(3).integers(0, 1 << substrings.WIDTH, 3000))
+    table = spark.createDataFrame([(int(c),) for c in cells], "cell long")
+    for most in (30, 22, 9):
+        monkeypatch.setattr(substrings, "MAP_BITS", most)
+        known, bits = substrings._cell_map(table)
+        place = cells >> (substrings.WIDTH - bits)
+        assert bits <= most and len(known) == (1 << bits) // 8
+        assert (known[place >> 3] >> (place & 7) & 1).all()
+        assert np.unpackbits(known).sum() == len(np.unique(place))
