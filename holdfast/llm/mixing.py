@@ -89,7 +89,7 @@ def _placed(docs: DataFrame) -> DataFrame:
     Words of a source stand in the order of the rows' hashes. Running sums go over buckets of rows,
     then over the buckets, so a large source is not one task's work.
     """
-    sizes = settle(_sized(docs).drop("words"), "sizes")
+    sizes = settle(_sized(docs).drop("text"), "sizes")
     sources = settle(source_targets(sizes), "sources")
     buckets = sizes.count() // RUN + 1
     rows = sizes.join(
@@ -113,16 +113,15 @@ def _placed(docs: DataFrame) -> DataFrame:
 
 
 def _sized(docs: DataFrame) -> DataFrame:
-    """(doc_id, source, words, size, h1, h2): the hashes name a row, whatever its order or file."""
+    """(doc_id, source, text, size, h1, h2): the hashes name a row, whatever its order or file."""
     text, source = docs["text"].cast("string"), docs["source"].cast("string")
     doc_id = docs["doc_id"].cast("long")
-    words = word_array(text)
     key = (doc_id, source, text)
     return docs.select(
         doc_id.alias("doc_id"),
         source.alias("source"),
-        words.alias("words"),
-        F.size(words).cast("long").alias("size"),
+        text.alias("text"),
+        F.size(word_array(text)).cast("long").alias("size"),
         F.xxhash64(F.lit(1), *key).alias("h1"),
         F.xxhash64(F.lit(2), *key).alias("h2"),
     )
@@ -217,20 +216,20 @@ def mix(docs: DataFrame) -> DataFrame:
     A block of a shard is the pieces of one (source, slot), in the order of word_from within a row.
     The words of a piece are joined by single spaces. Every row meets the list of its pieces once.
     """
-    placed = _placed(docs)
-    key = ["h1", "h2", "copy"]
-    lists = mixed_pieces(placed).groupBy(*key).agg(
+    pieces = mixed_pieces(_placed(docs))
+    lists = pieces.groupBy("h1", "h2").agg(
         F.collect_list(F.struct("shard", "slot", "block", "word_from", "word_to")).alias("pieces")
     )
-    rows = _sized(docs)
-    rows = rows.withColumn("copy", F.row_number().over(Window.partitionBy("h1", "h2").orderBy("size")))
+    # Rows alike in id, source and text give their pieces from one of them. Texts move once, whole.
+    rows = _sized(docs).select("h1", "h2", "doc_id", "source", "text").dropDuplicates(["h1", "h2"])
+    found = rows.join(lists, ["h1", "h2"]).withColumn("words", word_array(F.col("text")))
 
     def cut(piece: Column) -> Column:
         length = (piece["word_to"] - piece["word_from"]).cast("int")
         own = F.slice("words", (piece["word_from"] + 1).cast("int"), length)
         return piece.withField("text", F.array_join(own, " "))
 
-    found = rows.join(lists, key).select("doc_id", "source", F.explode(F.transform("pieces", cut)).alias("p"))
+    found = found.select("doc_id", "source", F.explode(F.transform("pieces", cut)).alias("p"))
     return found.select(
         "p.shard", "source", "p.slot", "p.block", "doc_id", "p.word_from", "p.word_to", "p.text"
     )
