@@ -20,10 +20,11 @@ LENGTHS = (4, 5, 6)
 BITS = 16
 #: Labelled rows to learn the weights from, about. The log-count ratios come from all of them.
 LEARN_ROWS = 16_000
-#: Standard errors that a log-count ratio must be away from zero for its feature to count.
-CLEAR = 3.0
+#: A feature counts if its log-count ratio is so many standard errors away from zero, and so far
+#: in itself: with many rows even the smallest difference is clear, and only noise is added by it.
+CLEAR, LEAST = 3.0, 1.0
 #: Rounds of descent, penalty on the weights, and counts that every feature starts with.
-ROUNDS, PENALTY, PRIOR = 300, 1e-4, 1.0
+ROUNDS, PENALTY, PRIOR = 150, 1e-4, 1.0
 #: Bytes of a text that are hashed at once.
 CHUNK = 1 << 20
 SIZE = len(LENGTHS) << BITS
@@ -145,7 +146,7 @@ def learn(docs: DataFrame, labels: DataFrame) -> Classifier:
     """The classifier from labelled documents that are not held out.
 
     The log-count ratio of a place compares how often toxic and other texts have it, over all
-    labelled rows; ratios that could be chance do not count. Tasks count, and the driver gets one
+    labelled rows; ratios that are small or could be chance do not count. Tasks count, and the driver gets one
     number per label and place of the fixed table. The weights are fitted to about LEARN_ROWS of the
     rows, chosen by a hash of the text, in a task of its own. With rows of one label only, or none,
     every text scores 0.5; with nothing that tells the labels apart, every text scores the share of
@@ -169,7 +170,7 @@ def learn(docs: DataFrame, labels: DataFrame) -> Classifier:
         mine = (label == k) & (place >= 0)
         held[k][place[mine]] += n[mine]
     ratios = np.log(held[1] / (total[1] + 2 * PRIOR)) - np.log(held[0] / (total[0] + 2 * PRIOR))
-    ratios[np.abs(ratios) <= CLEAR * np.sqrt((1 / held).sum(axis=0))] = 0
+    ratios[np.abs(ratios) <= np.maximum(LEAST, CLEAR * np.sqrt((1 / held).sum(axis=0)))] = 0
     if not ratios.any():
         return Classifier(nothing, nothing, float(np.log(total[1] / total[0])))
     share = min(1.0, LEARN_ROWS / (total[0] + total[1]))
