@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from holdfast.llm.common import packed
+from holdfast.llm.common import packed, settle
 from holdfast.llm.entries import entry, table
 from holdfast.llm.langid import held_out
 
@@ -25,6 +25,8 @@ LEARN_ROWS = 16_000
 CLEAR, LEAST = 3.0, 1.0
 #: Rounds of descent, penalty on the weights, and counts that every feature starts with.
 ROUNDS, PENALTY, PRIOR = 150, 1e-4, 1.0
+#: Labels that are sent to every task; more meet their texts by a shuffle.
+BROADCAST = 1 << 20
 #: Bytes of a text that are hashed at once.
 CHUNK = 1 << 20
 SIZE = len(LENGTHS) << BITS
@@ -155,7 +157,9 @@ def learn(docs: DataFrame, labels: DataFrame) -> Classifier:
     marks = labels.select(
         labels["doc_id"].cast("long").alias("doc_id"), labels["toxic"].cast("long").alias("label")
     ).where("doc_id is not null and label in (0, 1)")
-    marks = marks.dropDuplicates(["doc_id", "label"])
+    marks = settle(marks.dropDuplicates(["doc_id", "label"]), "marks")
+    if marks.offset(BROADCAST).isEmpty():
+        marks = F.broadcast(marks)
     rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"))
     rows = rows.where(~held_out(rows["doc_id"])).join(marks, "doc_id").select("text", "label")
     counted = rows.mapInArrow(_count, "label long, place long, n long")
