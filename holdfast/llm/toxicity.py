@@ -20,11 +20,12 @@ LENGTHS = (4, 5, 6)
 BITS = 16
 #: Labelled rows to learn the weights from, about. The log-count ratios come from all of them.
 LEARN_ROWS = 16_000
-#: A feature counts if its log-count ratio is so many standard errors away from zero, and so far
-#: in itself: with many rows even the smallest difference is clear, and only noise is added by it.
-CLEAR, LEAST = 3.0, 1.0
+#: Standard errors that a log-count ratio must be away from zero for its feature to count.
+CLEAR = 3.0
 #: Rounds of descent, penalty on the weights, and counts that every feature starts with.
-ROUNDS, PENALTY, PRIOR = 150, 1e-4, 1.0
+ROUNDS, PENALTY, PRIOR = 300, 1e-4, 1.0
+#: Features, over all rows, that a round of descent looks at together.
+BLOCK = 1 << 20
 #: Labels that are sent to every task; more meet their texts by a shuffle.
 BROADCAST = 1 << 20
 #: Bytes of a text that are hashed at once.
@@ -100,20 +101,38 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def fit(places: list[np.ndarray], labels: np.ndarray, ratios: np.ndarray) -> tuple[np.ndarray, float]:
     """Weights and bias of a logistic regression on scaled log-count ratios, classes weighted alike.
 
-    Nesterov descent over all rows each round; the step is one over a bound of the curvature.
+    Nesterov descent over all rows each round; the step is one over a bound of the curvature. The
+    scaled ratios are never held for all rows: a round goes through the features in blocks, and what
+    stays is four bytes a feature.
     """
-    row = np.repeat(np.arange(len(places)), [len(p) for p in places])
-    column = np.concatenate(places).astype(np.int64)
-    value = ratios[column]
-    length = np.sqrt(np.bincount(row, value * value, len(places)))
-    value = value / np.maximum(length, 1e-12)[row]
+    sizes = np.array([len(p) for p in places], np.int64)
+    column = np.concatenate(places).astype(np.int32)
+    ends = np.r_[0, np.cumsum(sizes)]
+    cuts = np.unique(np.r_[np.searchsorted(ends, np.arange(0, ends[-1], BLOCK)), len(places)])
+    blocks = [(a, b, column[ends[a] : ends[b]]) for a, b in zip(cuts, cuts[1:], strict=False)]
+
+    def by_row(per_place: np.ndarray) -> np.ndarray:
+        total = np.zeros(len(places))
+        for a, b, block in blocks:
+            held = a + np.flatnonzero(sizes[a:b])
+            if len(held):
+                total[held] = np.add.reduceat(per_place[block], ends[held] - ends[a])
+        return total
+
+    def by_place(per_row: np.ndarray) -> np.ndarray:
+        total = np.zeros(len(ratios))
+        for a, b, block in blocks:
+            total += np.bincount(block, np.repeat(per_row[a:b], sizes[a:b]), len(ratios))
+        return total
+
+    length = np.maximum(np.sqrt(by_row(ratios * ratios)), 1e-12)
     share = np.where(labels == 1, 0.5 / max(1, (labels == 1).sum()), 0.5 / max(1, (labels == 0).sum()))
     w, bias = np.zeros(len(ratios)), 0.0
     ahead, ahead_bias, t = w, bias, 1.0
     for _ in range(ROUNDS):
-        margin = np.bincount(row, value * ahead[column], len(places)) + ahead_bias
+        margin = by_row(ratios * ahead) / length + ahead_bias
         slack = share * (_chance(margin) - labels)
-        slope = np.bincount(column, slack[row] * value, len(ratios)) + PENALTY * ahead
+        slope = ratios * by_place(slack / length) + PENALTY * ahead
         new, new_bias = ahead - 2 * slope, ahead_bias - 2 * slack.sum()
         t_new = (1 + np.sqrt(1 + 4 * t * t)) / 2
         ahead = new + (t - 1) / t_new * (new - w)
@@ -126,17 +145,16 @@ def _trainer(ratios: np.ndarray):
     def featurized(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             held = [features(t) for t in batch["text"].to_pylist()]
-            places = pa.array([f[ratios[f] != 0] for f in held], pa.list_(pa.int64()))
+            places = pa.array([f[ratios[f] != 0] for f in held], pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays([batch["label"], places], names=["label", "places"])
 
     def trained(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        places, targets = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+        places, targets = [], []
         for batch in batches:
             targets.append(batch["label"].to_numpy())
             places += [p.values.to_numpy() for p in batch["places"]]
-        target = np.concatenate(targets)
-        if len(target):
-            weights, bias = fit(places[1:], target, ratios)
+        if places:
+            weights, bias = fit(places, np.concatenate(targets), ratios)
             place = np.flatnonzero(weights)
             columns = [pa.array(np.r_[-1, place]), pa.array(np.r_[bias, weights[place]])]
             yield pa.RecordBatch.from_arrays(columns, names=["place", "weight"])
@@ -148,7 +166,7 @@ def learn(docs: DataFrame, labels: DataFrame) -> Classifier:
     """The classifier from labelled documents that are not held out.
 
     The log-count ratio of a place compares how often toxic and other texts have it, over all
-    labelled rows; ratios that are small or could be chance do not count. Tasks count, and the driver gets one
+    labelled rows; ratios that could be chance do not count. Tasks count, and the driver gets one
     number per label and place of the fixed table. The weights are fitted to about LEARN_ROWS of the
     rows, chosen by a hash of the text, in a task of its own. With rows of one label only, or none,
     every text scores 0.5; with nothing that tells the labels apart, every text scores the share of
@@ -174,13 +192,13 @@ def learn(docs: DataFrame, labels: DataFrame) -> Classifier:
         mine = (label == k) & (place >= 0)
         held[k][place[mine]] += n[mine]
     ratios = np.log(held[1] / (total[1] + 2 * PRIOR)) - np.log(held[0] / (total[0] + 2 * PRIOR))
-    ratios[np.abs(ratios) <= np.maximum(LEAST, CLEAR * np.sqrt((1 / held).sum(axis=0)))] = 0
+    ratios[np.abs(ratios) <= CLEAR * np.sqrt((1 / held).sum(axis=0))] = 0
     if not ratios.any():
         return Classifier(nothing, nothing, float(np.log(total[1] / total[0])))
     share = min(1.0, LEARN_ROWS / (total[0] + total[1]))
     draw = F.pmod(F.xxhash64(F.lit("learn"), "text"), F.lit(10**6))
     featurized, trained = _trainer(ratios)
-    sample = rows.where(draw < int(10**6 * share)).mapInArrow(featurized, "label long, places array<long>")
+    sample = rows.where(draw < int(10**6 * share)).mapInArrow(featurized, "label long, places array<int>")
     one = sample.repartition(1).sortWithinPartitions("label", F.xxhash64("places"))
     found = one.mapInArrow(trained, "place long, weight double").toArrow()
     place, weight = found["place"].to_numpy(), found["weight"].to_numpy()

@@ -66,7 +66,7 @@ def test_counts_over_all_rows(spark):
     for place in clue:
         held = {k: 1 + sum(place in set(toxicity.features(t).tolist()) for t, x in learned if x == k) for k in (True, False)}
         expected = np.log(held[True] / (total[True] + 2)) - np.log(held[False] / (total[False] + 2))
-        clear = abs(expected) > max(toxicity.LEAST, toxicity.CLEAR * np.sqrt(1 / held[True] + 1 / held[False]))
+        clear = abs(expected) > toxicity.CLEAR * np.sqrt(1 / held[True] + 1 / held[False])
         assert model.ratios[place] == pytest.approx(expected if clear else 0)
     only_held = set(plain_features("secretclue")) - {p for t, _ in learned for p in plain_features(t)}
     assert only_held and not model.ratios[sorted(only_held)].any()
@@ -74,6 +74,25 @@ def test_counts_over_all_rows(spark):
     assert all((s >= 0.5) == (i % 3 == 0) for i, s in scores.items())
 
 
+def test_clear_features_count_however_small_their_ratio(spark):
+    """A word in a half of the toxic and a third of the other texts, over many rows."""
+    rows = [(i, "sometimes" if i // 2 % 6 < (3 if i % 2 else 2) else "never") for i in range(6000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i, _ in rows], "doc_id long, toxic int")
+    ratios = toxicity.learn(docs, labels).ratios[toxicity.features("sometimes")]
+    assert ((ratios > 0.3) & (ratios < 0.5)).all()
+
+
+def test_fit_in_blocks(monkeypatch):
+    draw = np.random.default_rng(1)
+    places = [np.unique(draw.integers(0, 30, draw.integers(0, 9))) for _ in range(50)] + [np.arange(30), np.arange(0)]
+    labels, ratios = draw.integers(0, 2, 52), draw.normal(size=30)
+    whole, bias = toxicity.fit(places, labels, ratios)
+    monkeypatch.setattr(toxicity, "BLOCK", 7)
+    parts, same_bias = toxicity.fit(places, labels, ratios)
+    assert np.allclose(whole, parts) and bias == pytest.approx(same_bias) and whole.any()
+
+
 def test_held_out_accuracy(spark):
     docs = spark.read.parquet(f"{LARGER}/documents.parquet")
     labels = spark.read.parquet(f"{LARGER}/labels.parquet")
