@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -17,8 +19,8 @@ from holdfast.llm.langid import held_out
 #: Lengths of the n-grams, in bytes of lower-cased text; each has its own part of the table.
 LENGTHS = (4, 5, 6)
 #: Places of a part of the table, as a power of two.
-BITS = 16
-#: Labelled rows to learn the weights from, about. The log-count ratios come from all of them.
+BITS = 22
+#: Labelled parts of texts to learn the weights from, about. The log-count ratios come from all.
 LEARN_ROWS = 16_000
 #: Standard errors that a log-count ratio must be away from zero for its feature to count.
 CLEAR = 3.0
@@ -28,8 +30,10 @@ ROUNDS, PENALTY, PRIOR = 300, 1e-4, 1.0
 BLOCK = 1 << 20
 #: Labels that are sent to every task; more meet their texts by a shuffle.
 BROADCAST = 1 << 20
-#: Bytes of a text that are hashed at once.
-CHUNK = 1 << 20
+#: Bytes of a part of a text. Longer texts are seen in equal parts, each as a text of its own.
+CHUNK = 1 << 14
+#: Counted places in a batch on their way out of a task.
+BATCH = 1 << 17
 SIZE = len(LENGTHS) << BITS
 
 
@@ -37,24 +41,39 @@ def _lowered(text: str) -> bytes:
     return (" " + text.lower() + " ").encode()
 
 
+def _parts(text: str | None) -> list[bytes]:
+    """The fewest equal parts of at most CHUNK bytes, each with the start of the next: every n-gram
+    begins in one of them. A blank before and after the text marks its ends."""
+    data = _lowered(text or "")
+    many = -(-len(data) // CHUNK)
+    size = -(-len(data) // many)
+    return [data[at : at + size + max(LENGTHS) - 1] for at in range(0, len(data), size)]
+
+
+def _places(part: bytes) -> np.ndarray:
+    """The place of every n-gram as it comes, repeated ones too."""
+    data = np.frombuffer(part, np.uint8).astype(np.uint64)
+    gram, found = data, []
+    for length in range(2, max(LENGTHS) + 1):
+        gram = gram[:-1] << np.uint64(8) | data[length - 1 :]
+        if length in LENGTHS:
+            place = (gram * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - BITS)).astype(np.int32)
+            found.append(place + np.int32(LENGTHS.index(length) << BITS))
+    return np.concatenate(found)
+
+
+def _once(places: np.ndarray) -> np.ndarray:
+    places = np.sort(places)
+    return places[np.r_[True, places[1:] != places[:-1]][: len(places)]]
+
+
 def features(text: str | None) -> np.ndarray:
     """Places of the n-grams a text has, each once, in order. Presence counts, not frequency.
 
     White space counts as it stands; a blank before and after the text marks its ends. Two n-grams
     that share a place count as one feature. Null and empty texts have the blanks' features only.
     """
-    data = _lowered(text or "")
-    seen = np.zeros(SIZE, bool)
-    longest = max(LENGTHS)
-    for at in range(0, len(data), CHUNK):
-        part = np.frombuffer(data[at : at + CHUNK + longest - 1], np.uint8).astype(np.uint64)
-        gram = part
-        for length in range(2, longest + 1):
-            gram = gram[:-1] << np.uint64(8) | part[length - 1 :]
-            if length in LENGTHS:
-                place = gram * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - BITS)
-                seen[place.astype(np.int64) + (LENGTHS.index(length) << BITS)] = True
-    return np.flatnonzero(seen)
+    return _once(np.concatenate([_places(part) for part in _parts(text)]))
 
 
 def _chance(margin: np.ndarray) -> np.ndarray:
@@ -63,39 +82,69 @@ def _chance(margin: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Classifier:
-    """Per place, its log-count ratio (0: the feature does not count) and its weight; the bias.
+    """The places that count, in order; of each its log-count ratio and its weight; the bias.
 
-    A text is the vector of its features' ratios, scaled to length one.
+    A part of a text is the vector of its features' ratios, scaled to length one.
     """
 
-    ratios: np.ndarray
+    places: np.ndarray
+    own: np.ndarray
     weights: np.ndarray
     bias: float
 
+    @classmethod
+    def constant(cls, bias: float) -> Classifier:
+        return cls(np.empty(0, np.int32), np.empty(0), np.empty(0), bias)
+
+    @property
+    def ratios(self) -> np.ndarray:
+        """Log-count ratios over the whole table; 0 where a feature does not count."""
+        out = np.zeros(SIZE)
+        out[self.places] = self.own
+        return out
+
+    @cached_property
+    def _counts(self) -> np.ndarray:
+        out = np.zeros(SIZE, bool)
+        out[self.places] = True
+        return out
+
+    def __getstate__(self) -> dict:
+        return {k: v for k, v in self.__dict__.items() if k != "_counts"}
+
+    def found(self, part: bytes) -> np.ndarray:
+        """Which of the places a part has, as numbers from 0, each once, in order."""
+        places = _places(part)
+        return np.searchsorted(self.places, _once(places[self._counts[places]]))
+
     def score(self, text: str | None) -> float:
-        """0 to 1; higher is likelier toxic."""
-        found = features(text)
-        ratios = self.ratios[found]
-        length = float(np.sqrt(ratios @ ratios))
-        margin = self.bias + (float(ratios @ self.weights[found]) / length if length else 0.0)
-        return float(_chance(margin))
+        """0 to 1; higher is likelier toxic. A text of several parts has their mean margin."""
+        total, parts = 0.0, _parts(text)
+        for part in parts:
+            found = self.found(part)
+            ratios = self.own[found]
+            length = float(np.sqrt(ratios @ ratios))
+            total += float(ratios @ self.weights[found]) / length if length else 0.0
+        return float(_chance(self.bias + total / len(parts)))
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per label, in how many of a partition's texts each place is."""
-    counts = {}
+    """In how many of a partition's parts of texts each place is, by label; -1 counts the parts."""
+    held, total = np.zeros((2, SIZE), np.int32), np.zeros(2, np.int64)
     for batch in batches:
         for text, label in zip(batch["text"].to_pylist(), batch["label"].to_pylist(), strict=True):
-            if label not in counts:
-                counts[label] = [0, np.zeros(SIZE, np.int64)]
-            counts[label][0] += 1
-            counts[label][1][features(text)] += 1
-    for label, (rows, held) in counts.items():
-        place = np.flatnonzero(held)
-        columns = [np.r_[-1, place], np.r_[rows, held[place]]]
-        names = ["label", "place", "n"]
-        label_column = pa.array(np.full(len(place) + 1, label, np.int64))
-        yield pa.RecordBatch.from_arrays([label_column, *map(pa.array, columns)], names=names)
+            for part in _parts(text):
+                total[label] += 1
+                held[label][_once(_places(part))] += 1
+    if not total.any():
+        return
+    names = ["place", "clean", "toxic"]
+    first = [pa.array([x], pa.int32()) for x in (-1, *total)]
+    yield pa.RecordBatch.from_arrays(first, names=names)
+    place = np.flatnonzero(held[0] | held[1]).astype(np.int32)
+    for at in range(0, len(place), BATCH):
+        some = place[at : at + BATCH]
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (some, held[0][some], held[1][some])], names=names)
 
 
 def fit(places: list[np.ndarray], labels: np.ndarray, ratios: np.ndarray) -> tuple[np.ndarray, float]:
@@ -141,12 +190,21 @@ def fit(places: list[np.ndarray], labels: np.ndarray, ratios: np.ndarray) -> tup
     return w, float(bias)
 
 
-def _trainer(ratios: np.ndarray):
+def _trainer(spark: SparkSession, model: Classifier, share: float):
+    shipped = spark.sparkContext.broadcast(model)
+
     def featurized(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            held = [features(t) for t in batch["text"].to_pylist()]
-            places = pa.array([f[ratios[f] != 0] for f in held], pa.list_(pa.int32()))
-            yield pa.RecordBatch.from_arrays([batch["label"], places], names=["label", "places"])
+            labels, held = [], []
+            columns = (batch[c].to_pylist() for c in ("doc_id", "text", "label"))
+            for doc_id, text, label in zip(*columns, strict=True):
+                for i, part in enumerate(_parts(text)):
+                    draw = hashlib.blake2b(part, digest_size=8, key=f"{doc_id} {i}".encode()).digest()
+                    if int.from_bytes(draw, "big") < share * 2.0**64:
+                        labels.append(label)
+                        held.append(shipped.value.found(part).astype(np.int32))
+            arrays = [pa.array(labels, pa.int64()), pa.array(held, pa.list_(pa.int32()))]
+            yield pa.RecordBatch.from_arrays(arrays, names=["label", "places"])
 
     def trained(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         places, targets = [], []
@@ -154,7 +212,7 @@ def _trainer(ratios: np.ndarray):
             targets.append(batch["label"].to_numpy())
             places += [p.values.to_numpy() for p in batch["places"]]
         if places:
-            weights, bias = fit(places, np.concatenate(targets), ratios)
+            weights, bias = fit(places, np.concatenate(targets), shipped.value.own)
             place = np.flatnonzero(weights)
             columns = [pa.array(np.r_[-1, place]), pa.array(np.r_[bias, weights[place]])]
             yield pa.RecordBatch.from_arrays(columns, names=["place", "weight"])
@@ -165,12 +223,12 @@ def _trainer(ratios: np.ndarray):
 def learn(docs: DataFrame, labels: DataFrame) -> Classifier:
     """The classifier from labelled documents that are not held out.
 
-    The log-count ratio of a place compares how often toxic and other texts have it, over all
-    labelled rows; ratios that could be chance do not count. Tasks count, and the driver gets one
-    number per label and place of the fixed table. The weights are fitted to about LEARN_ROWS of the
-    rows, chosen by a hash of the text, in a task of its own. With rows of one label only, or none,
-    every text scores 0.5; with nothing that tells the labels apart, every text scores the share of
-    toxic ones.
+    Texts longer than CHUNK are seen in parts, each with the text's label. The log-count ratio of a
+    place compares how often toxic and other parts have it, over all labelled rows; ratios that could
+    be chance do not count. Tasks count, Spark adds the counts up, and the driver gets the places that
+    count. The weights are fitted to about LEARN_ROWS of the parts, drawn one by one by a hash of
+    doc_id and part, in a task of its own. With rows of one label only, or none, every text scores
+    0.5; with nothing that tells the labels apart, every text scores the share of toxic parts.
     """
     marks = labels.select(
         labels["doc_id"].cast("long").alias("doc_id"), labels["toxic"].cast("long").alias("label")
@@ -179,32 +237,30 @@ def learn(docs: DataFrame, labels: DataFrame) -> Classifier:
     if marks.offset(BROADCAST).isEmpty():
         marks = F.broadcast(marks)
     rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"))
-    rows = rows.where(~held_out(rows["doc_id"])).join(marks, "doc_id").select("text", "label")
-    counted = rows.mapInArrow(_count, "label long, place long, n long")
-    counted = counted.groupBy("label", "place").agg(F.sum("n").alias("n")).toArrow()
-    label, place, n = (counted[c].to_numpy() for c in ("label", "place", "n"))
-    total = {k: int(n[(label == k) & (place < 0)].sum()) for k in (0, 1)}
-    nothing = np.zeros(SIZE)
-    if not total[0] or not total[1]:
-        return Classifier(nothing, nothing, 0.0)
-    held = np.full((2, SIZE), PRIOR)
-    for k in (0, 1):
-        mine = (label == k) & (place >= 0)
-        held[k][place[mine]] += n[mine]
-    ratios = np.log(held[1] / (total[1] + 2 * PRIOR)) - np.log(held[0] / (total[0] + 2 * PRIOR))
-    ratios[np.abs(ratios) <= CLEAR * np.sqrt((1 / held).sum(axis=0))] = 0
-    if not ratios.any():
-        return Classifier(nothing, nothing, float(np.log(total[1] / total[0])))
-    share = min(1.0, LEARN_ROWS / (total[0] + total[1]))
-    draw = F.pmod(F.xxhash64(F.lit("learn"), "text"), F.lit(10**6))
-    featurized, trained = _trainer(ratios)
-    sample = rows.where(draw < int(10**6 * share)).mapInArrow(featurized, "label long, places array<int>")
+    rows = rows.where(~held_out(rows["doc_id"])).join(marks, "doc_id").select("doc_id", "text", "label")
+    counted = rows.mapInArrow(_count, "place int, clean int, toxic int")
+    counted = settle(counted.groupBy("place").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")), "places")
+    total = counted.where("place < 0").first()
+    if total is None or not total["clean"] or not total["toxic"]:
+        return Classifier.constant(0.0)
+    log = lambda k: F.log((F.col(k) + PRIOR) / (total[k] + 2 * PRIOR))
+    error = F.sqrt(1 / (F.col("clean") + PRIOR) + 1 / (F.col("toxic") + PRIOR))
+    clear = counted.where("place >= 0").select("place", (log("toxic") - log("clean")).alias("ratio"), error.alias("error"))
+    clear = clear.where(F.abs("ratio") > CLEAR * F.col("error")).select("place", "ratio").toArrow()
+    place, ratio = (clear[c].to_numpy() for c in ("place", "ratio"))
+    if not len(place):
+        return Classifier.constant(float(np.log(total["toxic"] / total["clean"])))
+    order = np.argsort(place)
+    model = Classifier(place[order], ratio[order], np.zeros(len(place)), 0.0)
+    share = LEARN_ROWS / (total["clean"] + total["toxic"])
+    featurized, trained = _trainer(docs.sparkSession, model, share)
+    sample = rows.mapInArrow(featurized, "label long, places array<int>")
     one = sample.repartition(1).sortWithinPartitions("label", F.xxhash64("places"))
     found = one.mapInArrow(trained, "place long, weight double").toArrow()
     place, weight = found["place"].to_numpy(), found["weight"].to_numpy()
-    weights = nothing.copy()
-    weights[place[place >= 0]] = weight[place >= 0]
-    return Classifier(ratios, weights, float(weight[place < 0].sum()))
+    model.weights[place[place >= 0]] = weight[place >= 0]
+    model.bias = float(weight[place < 0].sum())
+    return model
 
 
 def with_toxicity(docs: DataFrame, model: Classifier) -> DataFrame:

@@ -104,6 +104,21 @@ def test_held_out_accuracy(spark):
     assert all(0 <= r["score"] <= 1 for r in rows)
 
 
+def test_long_texts_score_as_their_documents_do(spark):
+    """Several MB of documents that each score low score low; of documents that score high, high."""
+    docs = spark.read.parquet(f"{LARGER}/documents.parquet").where("text is not null").select("doc_id", "text")
+    labels = spark.read.parquet(f"{LARGER}/labels.parquet")
+    model = toxicity.learn(docs, labels)
+    rows = toxicity.with_toxicity(docs.join(labels, "doc_id"), model).select("_row.text", "_row.toxic", "score").collect()
+    clean = [r["text"] for r in sorted(rows) if not r["toxic"] and r["score"] < 0.05]
+    toxic = [r["text"] for r in sorted(rows) if r["toxic"] and r["score"] > 0.5]
+    text = "\n".join(clean)
+    while len(text) < 4_000_000:
+        text += "\n" + text
+    assert all(model.score(text[:n]) < 0.1 for n in (300_000, 1_000_000, 4_000_000))
+    assert model.score("\n".join(toxic)) > 0.5
+
+
 def test_edges(spark):
     docs = spark.createDataFrame([(1, None, 2.0), (1, None, 2.0), (None, "", 3.0)], "doc_id long, text string, score double")
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
