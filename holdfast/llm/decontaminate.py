@@ -22,9 +22,13 @@ RARE = 0.9
 #: Seeds near each other, one of them rare, that call for an alignment; items under SHORT words need
 #: a rare one only. A copy that has over a tenth of an item's seeds, and two, is never missed.
 HITS, SHORT = 2, 12
+#: Words of an item that are a leak however long the item is, if they stand in a text unaltered or
+#: their alignment scores as many matches.
+LONG = 13
 #: Alignment scores, per word.
 MATCH, MISMATCH, GAP = 2, -1, -1
-#: Least score to report, as a share of the item's score against itself.
+#: Least score to report, as a share of the item's score against itself; where the alignment scores
+#: LONG matches, as a share of the score that the shorter of aligned words and item could have.
 LEAST = 0.5
 #: Words of benchmark text that one broadcast may hold; more goes in several passes.
 BOUND = 1 << 20
@@ -130,25 +134,53 @@ class Items:
         sizes = np.array([len(w) for w in self.words] or [0])
         new = np.r_[True, (here[1:] != here[:-1]) | (item[1:] != item[:-1]) | (np.diff(place) > 2 * sizes[item[1:]])]
         cuts = np.r_[np.flatnonzero(new[: len(hit)]), len(hit)]
-        best: dict[tuple[int, int], tuple[float, int, int]] = {}
+        best: dict[tuple[int, int], tuple[int, float, int, int]] = {}
         for a, b in zip(cuts, cuts[1:], strict=False):
             t, i = int(here[a]), int(item[a])
             size = int(sizes[i])
             enough = len(np.unique(seed[hit[a:b]])) >= (HITS if size >= SHORT else 1)
-            if not enough or not rare[a:b].any():
+            run = b - a > LONG - SEED  # as many seeds as LONG unaltered words have, however common
+            if not run and not (enough and rare[a:b].any()):
                 continue
             low = max(starts[t], place[a] - 2 * size)
             high = min(starts[t + 1], place[b - 1] + SEED + 2 * size)
             for start in range(low, max(low + 1, high - 4 * size), WINDOW):
-                score, begin, end = align(numbers[start : min(high, start + WINDOW + 4 * size)], self.words[i])
-                share = score / (MATCH * size)
-                if share >= LEAST and (share, -start) > (best.get((t, i), (0.0, 0, 0))[0], -start):
-                    best[t, i] = share, int(start + begin - starts[t]), int(start + end - starts[t])
-        for (t, i), (share, begin, end) in best.items():
+                passage = numbers[start : min(high, start + WINDOW + 4 * size)]
+                for score, share, begin, end in found(passage, self.words[i], run):
+                    if score > best.get((t, i), (0, 0.0, 0, 0))[0]:
+                        best[t, i] = score, share, int(start + begin - starts[t]), int(start + end - starts[t])
+        for (t, i), (_, share, begin, end) in best.items():
             out[t].append({"item_id": self.ids[i], "score": share, "word_from": begin, "word_to": end})
         return out
 
 
+def found(passage: np.ndarray, item: np.ndarray, run: bool) -> list[tuple[int, float, int, int]]:
+    """(score, share, first word, end) of what is to be reported of an item in a passage: none or one.
+
+    The best alignment, if it scores enough of the whole item, the share then being that; or enough of
+    the shorter of aligned words and item. Else, if there can be one (run), the longest unaltered run.
+    """
+    score, begin, end = align(passage, item)
+    if score >= LEAST * MATCH * len(item):
+        return [(score, score / (MATCH * len(item)), begin, end)]
+    share = score / (MATCH * max(1, min(end - begin, len(item))))
+    if score >= MATCH * LONG and share >= LEAST:
+        return [(score, share, begin, end)]
+    begin, end = longest_run(passage, item) if run else (0, 0)
+    return [(MATCH * (end - begin), 1.0, begin, end)] if end - begin >= LONG else []
+
+
+def longest_run(passage: np.ndarray, item: np.ndarray) -> tuple[int, int]:
+    """Where in the passage the longest run of words stands that the item has too, unaltered."""
+    length, best, end = np.zeros(len(passage) + 1, np.int64), 0, 0
+    for word in item:
+        length[1:] = np.where(passage == word, length[:-1] + 1, 0)
+        at = int(length.argmax())
+        if length[at] > best:
+            best, end = int(length[at]), at
+    return end - best, end
+
+
 def align(passage: np.ndarray, item: np.ndarray) -> tuple[int, int, int]:
     """Best local alignment of two word sequences: (score, first word of the passage, end).
 
@@ -224,6 +256,11 @@ def with_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     The benchmark goes to the tasks in lists of at most BOUND words, one after the other if there are
     more; what comes back is a count per seed. Null and empty texts have no leaks; items under SEED
     words are never reported. Repeated rows, items and ids give a result each.
+
+    Reported is an item whose best alignment scores LEAST of the item, and, however long the item, a
+    passage of it: LONG unaltered words, or an alignment of as high a score that is dense (LEAST of the
+    shorter of aligned words and item, which then is the score given). A passage without LONG unaltered
+    words is aligned if it has seeds that are rare, as for whole items.
     """
     spark = docs.sparkSession
     texts = docs.select(docs["text"].cast("string").alias("text")).where("text is not null")
@@ -240,7 +277,7 @@ def with_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """Documents that hold no benchmark item. All columns are kept."""
+    """Documents that hold no benchmark item or long passage of one. All columns are kept."""
     return with_leaks(docs, benchmark).where(F.size("leaks") == 0).select("_row.*")
 
 

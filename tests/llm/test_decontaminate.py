@@ -93,6 +93,33 @@ def test_long_text_in_windows(monkeypatch):
     assert leak["score"] == 1 and leak["word_from"] == 200 * 17
 
 
+def test_passages_of_long_items(spark):
+    """Words of a 500-word item, unaltered or edited, wherever they stand, also when many texts have them."""
+    draw = random.Random(5)
+    item = sentence(draw, 500)
+    part = {1: item[100:300], 2: item[:13], 3: item[-13:], 4: item[40:52], 5: item[7:10] + sentence(draw, 9) + item[90:93],
+            6: [w if p % 6 else "edited" for p, w in enumerate(item[200:260])]}
+    part |= {i: item[300:320] for i in range(10, 40)}
+    texts = [(i, " ".join(sentence(draw, 80) + p + sentence(draw, 50))) for i, p in part.items()]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    bench = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    found = {r["doc_id"]: r["leaks"] for r in op.with_leaks(docs, bench).select("_row.doc_id", "leaks").collect()}
+    assert {i for i, leaks in found.items() if leaks} == set(part) - {4, 5}
+    (leak,) = found[1]
+    assert leak["score"] == 1 and (leak["word_from"], leak["word_to"]) == (80, 280)
+    assert {r["doc_id"] for r in op.drop_leaks(docs, bench).collect()} == {4, 5}
+
+
+def test_unaltered_run_beside_a_better_alignment():
+    """An alignment that is long but thin does not hide words that stand there unaltered."""
+    item = np.arange(1000)
+    thin = np.stack([np.arange(400), np.full(400, -1), np.full(400, -1)][:2], 1).ravel()
+    passage = np.r_[thin, np.full(900, -1), item[600:613]]
+    assert op.longest_run(passage, item) == (1700, 1713)
+    (leak,) = op.found(passage, item, True)
+    assert leak[0] >= op.MATCH * op.LONG
+
+
 def test_edges(spark):
     docs = spark.createDataFrame([(1, None, 2), (None, "", 3)], "doc_id long, text string, leaks int")
     none = spark.createDataFrame([], "item_id long, text string")
