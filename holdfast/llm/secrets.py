@@ -55,9 +55,21 @@ BASE_RULES = (
     Rule("hex", r"[0-9a-f]{24,}"),
 )
 
+#: A private key: from its BEGIN line to the END line, or, where there is none before the next such
+#: line, over the headers and the lines of base64 that follow (line breaks may be escaped or blanks).
+#: Repeats are possessive: they take no stack, however long the key.
+_BEGIN, _END = r"-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----", r"-----END [A-Z ]{0,30}PRIVATE KEY-----"
+_BREAK = r"(?:\s|\\[nr])"
+_KEY = (
+    rf"{_BEGIN}(?:[^-]*+(?:-(?!----)[^-]*+)*+{_END}"
+    rf"|(?:{_BREAK}*+(?:Proc-Type|DEK-Info):[^\r\n\\]*+)*+"
+    rf"(?:[\s>]*+(?:\\[nr])*+[A-Za-z0-9+/]{{16,}}+={{0,2}}+)*+"
+    rf"(?:{_BREAK}++[A-Za-z0-9+/]{{1,15}}+={{0,2}}+(?=[\x20\t]*+(?:[\r\n]|\\[nr]|\Z)))?+)"
+)
+
 #: What the method finds beside them.
 MORE_RULES = (
-    Rule("private_key", r"-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----", (("-----BEGIN ", "PRIVATE KEY-----"),)),
+    Rule("private_key", _KEY, (("-----BEGIN ", "PRIVATE KEY-----"),)),
     Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", _keywords("eyJ")),
     Rule("host_token", r"gh[opsu]_[A-Za-z0-9]{36,}", _keywords("gho_", "ghp_", "ghs_", "ghu_")),
     Rule("chat_token", r"xox[abpr]-[A-Za-z0-9-]{10,}", _keywords("xoxa-", "xoxb-", "xoxp-", "xoxr-")),
