@@ -1,6 +1,18 @@
 """Operators that prepare training text at scale, with their registered queries."""
 
-from holdfast.llm import decontaminate, langid, mixing, quality, secrets, simhash, substrings, tokens, toxicity, warc  # noqa: F401
+from holdfast.llm import (  # noqa: F401
+    decontaminate,
+    langid,
+    mixing,
+    quality,
+    resampling,
+    secrets,
+    simhash,
+    substrings,
+    tokens,
+    toxicity,
+    warc,
+)
 from holdfast.llm.entries import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

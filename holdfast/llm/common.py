@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from holdfast.workspace import new_path
@@ -56,6 +56,24 @@ def by_batch(
     return table.mapInArrow(run, schema)
 
 
+def numbered(table: DataFrame, order: list[Column], name: str) -> DataFrame:
+    """The table with ``number``: 1, 2, 3... in the given order over all its rows.
+
+    Rows are dealt by ranges and sorted within them; a row's number is its place in its range and the
+    rows of the ranges before. Only the sizes of the ranges, a row for each task, meet in one place.
+    Give an order without ties: equal rows are numbered as they come, and share one range.
+    """
+    ranges = table.repartitionByRange(*order).sortWithinPartitions(*order)
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    ranges = settle(ranges.withColumn("_range", F.spark_partition_id()).withColumn("_place", place), name)
+    sizes = ranges.groupBy("_range").agg(F.count("*").alias("_rows"))
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.select("_range", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"))
+    found = ranges.join(F.broadcast(sizes), "_range")
+    number = F.col("_before") + F.col("_place") + 1
+    return found.withColumn("number", number).drop("_range", "_place", "_before")
+
+
 def _ordered(vertex: str) -> Column:
     return F.struct(F.xxhash64(vertex).alias("order"), F.col(vertex).alias("id"))
 
