@@ -3,7 +3,9 @@
 from holdfast.llm import (  # noqa: F401
     decontaminate,
     langid,
+    lattice,
     mixing,
+    negatives,
     quality,
     resampling,
     secrets,
