@@ -22,6 +22,10 @@ LEAST_REVISIT = 100
 #: One date for all records, so that the same pages give the same archive.
 DATE = "1970-01-01T00:00:00Z"
 NAME = "urn:page:"
+#: A length with more digits is none: places in a file are longs.
+DIGITS = 18
+#: Bytes of a file in which pieces look for the record they belong to.
+STRETCH = 1 << 20
 
 
 def _revisits(pages: DataFrame) -> DataFrame:
@@ -90,8 +94,10 @@ def parse_head(piece: bytes) -> tuple[dict[str, str], int] | None:
         if not colon:
             return None
         fields[name.strip().lower().decode("latin-1")] = value.strip().decode("utf-8", "replace")
-    if not fields.get("content-length", "").isascii() or not fields.get("content-length", "").isdigit():
+    length = fields.get("content-length", "")
+    if not length.isascii() or not length.isdigit() or len(length.lstrip("0")) > DIGITS:
         return None
+    fields["content-length"] = length.lstrip("0") or "0"
     return fields, end + len(END)
 
 
@@ -233,33 +239,47 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
 def _mended(spark: SparkSession, path: str, candidates: DataFrame, torn: DataFrame) -> DataFrame:
     """The records whose payload holds magics, with digests over all their pieces.
 
-    Pieces find their record by place within the file; only theirs are read again and moved.
+    Records lie side by side, so a piece finds its own by place: both meet in stretches of the file
+    that they touch. Only the pieces of such records are read again and moved. They come to the
+    digest in order, one at a time: a record is never put together, however many magics it holds.
     """
-    begins = torn.select("file", F.col("at").alias("own"), F.col("next").alias("end"))
-    marks = candidates.select("file", "at").join(
-        begins.withColumn("at", F.col("own")), ["file", "at"], "left"
-    )
-    upto = Window.partitionBy("file").orderBy("at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    for c in ("own", "end"):
-        marks = marks.withColumn(c, F.last(c, ignorenulls=True).over(upto))
-    owned = settle(marks.where(F.col("at") + F.lit(0) < F.col("end")).select("file", "at", "own"), "owned")
+    begins = torn.select("file", F.col("at").alias("own"), F.col("next").alias("end"), "head", "payload_bytes")
+    touched = F.explode(F.sequence(F.floor(F.col("own") / STRETCH), F.floor(F.col("end") / STRETCH)))
+    ranges = begins.withColumn("stretch", touched)
+    marks = candidates.select("file", "at", F.floor(F.col("at") / STRETCH).alias("stretch"))
+    owned = marks.join(ranges, ["file", "stretch"]).where("at >= own and at < end")
+    owned = settle(owned.select("file", "at", "own", "head", "payload_bytes"), "owned")
     pieces = _pieces(spark, path)
     placed = pieces.mapInArrow(_place, "file string, block long, at long, piece binary")
     placed = placed.join(_bases(pieces), ["file", "block"]).withColumn("at", F.col("at") + F.col("base"))
-    parts = placed.select("file", "at", "piece").join(owned, ["file", "at"])
-    lists = parts.groupBy("file", "own").agg(F.array_sort(F.collect_list(F.struct("at", "piece"))).alias("parts"))
-    magic = F.lit(MAGIC).cast("binary")
-    joined = F.aggregate(
-        "parts",
-        F.lit("").cast("binary"),
-        lambda whole, part: F.when(F.octet_length(whole) == 0, part["piece"]).otherwise(
-            F.concat(whole, magic, part["piece"])
-        ),
+    parts = placed.select("file", "at", "piece").join(owned, ["file", "at"]).drop("block")
+    parts = parts.repartition("file", "own").sortWithinPartitions("file", "own", "at")
+    digests = parts.select("file", "own", "head", "payload_bytes", "piece").mapInArrow(
+        _digested, "file string, at long, digest string"
     )
-    texts = lists.select("file", F.col("own").alias("at"), joined.alias("whole"))
-    found = torn.join(texts, ["file", "at"])
-    payload = F.expr("substring(whole, cast(head + 1 as int), cast(payload_bytes as int))")
-    return found.withColumn("digest", F.sha2(payload, 256)).drop("whole")
+    return torn.drop("digest").join(digests, ["file", "at"])
+
+
+def _digested(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The digest of each record's payload, from its pieces in order with a magic between them."""
+
+    def done(key: tuple, state) -> pa.RecordBatch:
+        columns = [pa.array([key[0]]), pa.array([key[1]], pa.int64()), pa.array([state.hexdigest()])]
+        return pa.RecordBatch.from_arrays(columns, names=["file", "at", "digest"])
+
+    key, state, place = None, None, 0
+    for batch in batches:
+        for file, own, head, length, piece in zip(*(batch[c].to_pylist() for c in batch.schema.names), strict=True):
+            if (file, own) != key:
+                if key is not None:
+                    yield done(key, state)
+                key, state, place = (file, own), hashlib.sha256(), 0
+            else:
+                piece = MAGIC.encode() + piece
+            state.update(piece[max(0, head - place) : max(0, head + length - place)])
+            place += len(piece)
+    if key is not None:
+        yield done(key, state)
 
 
 def _place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -280,7 +300,10 @@ def _place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def page_records(spark: SparkSession, path: str) -> DataFrame:
     """(page_id, payload_bytes, payload_digest, record_type, refers_to) per record of an archive.
 
-    A revisit has the size and digest of the payload it refers to, as read from that response.
+    A revisit has the size and digest of the payload it refers to, as read from that response; one
+    whose response is not in the archive gives no row. A record whose id is no page's has a null
+    page_id. Repeated records give a row each; an archive without records, none. What a payload holds
+    never matters: a magic or a length inside it is not followed.
     """
     number = lambda c: F.regexp_extract(c, f"<{NAME}(-?[0-9]+)>", 1).try_cast("long")
     records = settle(
@@ -305,7 +328,22 @@ def page_records(spark: SparkSession, path: str) -> DataFrame:
     return responses.unionByName(again)
 
 
-@entry("op4_warc")
+SQL = f"""
+with payloads as (
+  select page_id, coalesce(html, '') as payload, strlen(coalesce(html, '')) as size from pages
+),
+firsts as (
+  select *, case when size >= {LEAST_REVISIT} then min(page_id) over (partition by payload) else page_id end as first
+  from payloads
+)
+select page_id, size::bigint as payload_bytes, sha256(payload) as payload_digest,
+  case when first = page_id then 'response' else 'revisit' end as record_type,
+  case when first <> page_id then first end as refers_to
+from firsts
+"""
+
+
+@entry("op4_warc", SQL)
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_path(spark, "archive")
     write_archive(table(spark, sf_dir, "pages"), path)

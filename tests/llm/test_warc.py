@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import hashlib
+import time
 from collections import defaultdict
 
 import pytest
@@ -66,6 +67,29 @@ def test_blocks_cut_anywhere(spark, tmp_path, block):
     assert parts > 2 and got == expected(rows)
 
 
+@pytest.mark.parametrize("digits", [18, 19, 20, 5000])
+def test_no_length_ends_the_job(spark, tmp_path, digits):
+    head = "WARC/1.1\r\nContent-Length: {}\r\n\r\n"
+    rows = [(1, "u", head.format("9" * digits)), (2, "u", "x" + head.format("9" * digits) + "y" * 200)]
+    rows += [(3, "u", head.format("0" * digits + "7")), (4, "u", "last")]
+    assert through(spark, rows, str(tmp_path / "a")) == expected(rows)
+
+
+def test_page_of_many_magics(spark, tmp_path):
+    rows = [(1, "u", "WARC/1.1\r\n" * 100_000), (2, "u", ("a WARC/1.1\r\n" + "é" * 99) * 5_000), (3, "u", "end")]
+    start = time.monotonic()
+    assert through(spark, rows, str(tmp_path / "a")) == expected(rows)
+    assert time.monotonic() - start < 60
+
+
+def test_leading_zeros(spark, tmp_path):
+    record = b"WARC/1.1\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:page:%d>\r\nContent-Length: %s\r\n\r\n%s\r\n\r\n"
+    (tmp_path / "x").mkdir()
+    (tmp_path / "x" / "a.warc").write_bytes(record % (1, b"0" * 30 + b"2", b"ab") + record % (2, b"000", b""))
+    got = warc.page_records(spark, str(tmp_path / "x")).select("page_id", "payload_bytes").collect()
+    assert sorted(map(tuple, got)) == [(1, 2), (2, 0)]
+
+
 def test_bytes_that_are_no_text(spark, tmp_path):
     """An archive from elsewhere, with a binary payload and junk before its first record."""
     payload = bytes(range(256)) * 3 + b"WARC/1.1\r\n" + b"\xff\xfe"
