@@ -7,16 +7,18 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from holdfast.llm.common import packed
+from holdfast.llm.common import packed, settle
 from holdfast.llm.entries import entry, table
 
 #: Longest context, in bytes. A gram is a context and the byte after it; 5 bytes fit a long.
 ORDER = 4
-#: Bytes of text to learn from, about, for each language. The statistics grow no further with the corpus.
+#: Bytes of text to learn from, for each language. The statistics grow no further with the corpus.
 LEARN_BYTES = 1 << 20
+#: Texts are drawn in pieces of so many bytes, the last one shorter.
+PIECE = 1 << 13
 #: Text that stands before every document, so that its first bytes have a context.
 START = b"\n" * ORDER
 #: Bytes scored at once.
@@ -40,21 +42,45 @@ def _grams(data: np.ndarray, length: int) -> np.ndarray:
 
 def _bytes_of(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """All texts with a start marker before each, and where each marker begins."""
-    parts = [START + t.encode() for t in texts]
+    return _joined([START + t.encode() for t in texts])
+
+
+def _joined(parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """All parts, after one more start marker, and where each begins behind that. A part's first
+    ORDER bytes are context only."""
     starts = np.cumsum([0] + [len(p) for p in parts])
     return np.frombuffer(START + b"".join(parts), np.uint8).astype(np.int64), starts
 
 
+def _cut(piece: int):
+    """The drawn pieces of each text, with the bytes before them as context."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            langs, draws, parts = [], [], []
+            for lang, text, picks in zip(*(batch[c].to_pylist() for c in ("lang", "text", "picks")), strict=True):
+                data = START + text.encode()
+                for pick in picks:
+                    at = pick["k"] * piece
+                    langs.append(lang)
+                    draws.append(pick["draw"])
+                    parts.append(data[at : at + ORDER + piece])
+            columns = [pa.array(langs, pa.string()), pa.array(draws, pa.int64()), pa.array(parts, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["lang", "draw", "part"])
+
+    return run
+
+
 def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Grams of full length per language, counted within a batch."""
     for batch in batches:
         langs = np.array(batch["lang"].to_pylist(), object)
-        texts = np.array(batch["text"].to_pylist(), object)
+        parts = np.array([*batch["part"].to_pylist(), None], object)[:-1]
         for lang in dict.fromkeys(langs):
-            data, starts = _bytes_of(list(texts[langs == lang]))
+            data, starts = _joined(list(parts[langs == lang]))
             codes = _grams(data, ORDER + 1)
             inside = np.ones(len(codes), bool)
-            for k in range(ORDER):  # the marker itself is context only
+            for k in range(ORDER):
                 inside[starts[:-1] + k] = False
             found, counts = np.unique(codes[inside], return_counts=True)
             columns = [pa.array([lang] * len(found)), pa.array(found), pa.array(counts)]
@@ -211,35 +237,62 @@ def _model(langs: list[str], lang: np.ndarray, gram: np.ndarray, n: np.ndarray)
     return Model(langs, grams, costs, contexts, escapes)
 
 
-def learn(docs: DataFrame) -> Model:
-    """Context trees per language from the rows that are not held out and have text and lang.
+def draw_below(size: int, least: int) -> int:
+    """Pieces whose 63-bit draw is up to this are candidates: twice LEARN_BYTES of a language that
+    has ``size`` bytes, or all of it; whatever the size, the piece with the least draw."""
+    if size <= 2 * LEARN_BYTES:
+        return (1 << 63) - 1
+    return max(least, (LEARN_BYTES << 64) // size)
+
 
-    A language with more than LEARN_BYTES of text gives a share of its documents, chosen by a hash
-    of the text, that has about so many; a text longer than LEARN_BYTES is left to the others. All
-    counting is Spark's; the driver gets the distinct grams of that bounded sample.
+def _sample(docs: DataFrame) -> DataFrame:
+    """(lang, part): pieces of text to learn from, LEARN_BYTES of each language or all it has.
+
+    A piece's draw is a hash of doc_id, text and place, so it does not matter how long a text is, and
+    copies are drawn one by one. The pieces with the least draws are taken until there is enough.
     """
     rows = docs.select(
         docs["text"].cast("string").alias("text"),
         docs["lang"].cast("string").alias("lang"),
-        F.xxhash64(docs["text"].cast("string"), F.lit("learn")).alias("draw"),
+        F.xxhash64(docs["doc_id"], docs["text"].cast("string")).alias("own"),
+        F.octet_length(docs["text"].cast("string")).alias("bytes"),
         held_out(docs["doc_id"]).alias("out"),
-    ).where(
-        ~F.col("out") & F.col("lang").isNotNull() & F.col("text").isNotNull()
-        & (F.octet_length("text") <= LEARN_BYTES)
+    ).where(~F.col("out") & F.col("lang").isNotNull() & (F.col("bytes") > 0))
+    one = lambda k: F.struct(
+        F.shiftrightunsigned(F.xxhash64("own", k), 1).alias("draw"), k.cast("long").alias("k")
     )
-    sizes = rows.groupBy("lang").agg(F.sum(F.octet_length("text")).alias("bytes")).collect()
-    langs = sorted(r["lang"] for r in sizes)
-    if not langs:
-        return Model([], [], [], [], [])
-    share = docs.sparkSession.createDataFrame(
-        [(r["lang"], int(1e6 * min(1.0, LEARN_BYTES / max(1, r["bytes"])))) for r in sizes],
-        "lang string, share long",
+    last = F.floor((F.col("bytes") - 1) / PIECE)
+    rows = rows.withColumn("picks", F.transform(F.sequence(F.lit(0).cast("long"), last), one))
+    sizes = rows.groupBy("lang").agg(
+        F.sum("bytes").alias("bytes"), F.min(F.array_min("picks")["draw"]).alias("least")
+    )
+    bounds = [(r["lang"], draw_below(r["bytes"], r["least"])) for r in sizes.collect()]
+    bounds = docs.sparkSession.createDataFrame(bounds, "lang string, below long")
+    near = rows.join(F.broadcast(bounds), "lang").withColumn(
+        "picks", F.filter("picks", lambda p: p["draw"] <= F.col("below"))
     )
-    sample = rows.join(F.broadcast(share), "lang").where(F.pmod("draw", F.lit(10**6)) < F.col("share"))
-    counted = sample.select("lang", "text").mapInArrow(_count_grams, "lang string, gram long, n long")
+    near = near.where(F.size("picks") > 0).select("lang", "text", "picks")
+    parts = settle(near.mapInArrow(_cut(PIECE), "lang string, draw long, part binary"), "pieces")
+    before = Window.partitionBy("lang").orderBy("draw").rowsBetween(Window.unboundedPreceding, -1)
+    taken = F.coalesce(F.sum(F.octet_length("part") - ORDER).over(before), F.lit(0))
+    return parts.withColumn("taken", taken).where(F.col("taken") < LEARN_BYTES).select("lang", "part")
+
+
+def learn(docs: DataFrame) -> Model:
+    """Context trees per language from the rows that are not held out and have text and lang.
+
+    A language gives all its text, or LEARN_BYTES of it (over by a piece at most) drawn in pieces
+    over all its documents. All counting is Spark's; the driver gets the distinct grams of that
+    bounded sample. Empty texts teach nothing; an empty table gives a model without languages.
+    """
+    counted = _sample(docs).mapInArrow(_count_grams, "lang string, gram long, n long")
     counted = counted.groupBy("lang", "gram").agg(F.sum("n").alias("n")).toArrow()
+    named = counted["lang"].to_pylist()
+    langs = sorted(set(named))
+    if not langs:
+        return Model([], [], [], [], [])
     code = {x: i for i, x in enumerate(langs)}
-    lang = np.array([code[x] for x in counted["lang"].to_pylist()], np.int64)
+    lang = np.array([code[x] for x in named], np.int64)
     return _model(langs, lang, counted["gram"].to_numpy(), counted["n"].to_numpy())
 
 
@@ -253,6 +306,8 @@ def predict(docs: DataFrame, model: Model | None = None) -> DataFrame:
     The language whose frozen context tree codes the text in fewest bits; the score is its share of
     2^-bits over all languages. Ties go to the first language by code point. A text that is null or
     has no letter is ``und`` with score 0, and so is any text when there was nothing to learn from.
+    Long texts are scored whole, in pieces. Repeated rows and ids give a row each; other columns, also
+    such named like the new ones, stay in ``_row``.
     """
     model = learn(docs) if model is None else model
     shipped = docs.sparkSession.sparkContext.broadcast(model)

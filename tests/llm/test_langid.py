@@ -95,8 +95,46 @@ def test_held_out_accuracy(spark):
     assert right.first()[0] > 0.95
 
 
+def learned_from(start=0):
+    """Ids that are not held out."""
+    return (i for i in range(start, 10**9) if zlib.crc32(str(i).encode()) % 5)
+
+
 def test_sample_is_bounded(spark, monkeypatch):
+    """By bytes, for texts shorter and longer than a piece, for copies and for repeated rows."""
     monkeypatch.setattr(langid, "LEARN_BYTES", 2000)
-    rows = [(i, f"word{i} " * 20, "en") for i in range(400)]
+    monkeypatch.setattr(langid, "PIECE", 100)
+    ids = learned_from()
+    rows = [(next(ids), f"word{i} " * 3, "en") for i in range(1000)] + [(next(ids), "mot " * 10_000, "fr")]
+    rows += [(next(ids), "dasselbe Wort " * 20, "de") for _ in range(300)] + [(next(ids), "palabra " * 30, "es")] * 400
+    sample = langid._sample(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    sizes = {r["lang"]: r["n"] for r in sample.groupBy("lang").agg(F.sum(F.octet_length("part") - langid.ORDER).alias("n")).collect()}
+    assert sizes.keys() == {"en", "fr", "de", "es"} and all(2000 <= n < 2100 for n in sizes.values()), sizes
+
+
+@pytest.mark.parametrize("size", [10**k for k in range(3, 16)])
+def test_share_at_any_size(size):
+    """Expected candidates are twice what is learned, from a kilobyte to 1000 terabytes."""
+    below = langid.draw_below(size, 5)
+    share = (below + 1) / 2**63
+    assert abs(share * size - min(size, 2 * langid.LEARN_BYTES)) < 1e-3 * size * share
+    assert langid.draw_below(10**30, 12345) == 12345
+
+
+def test_large_documents_are_learned_from(spark):
+    """Languages that are one document of 3 MB, or one of which there are many copies."""
+    ids = learned_from()
+    rows = [(next(ids), "the quick brown fox and the lazy dog " * 90_000, "en")]
+    rows += [(next(ids), "der schnelle braune Fuchs und der faule Hund " * 40, "de") for _ in range(2000)]
+    rows += [(next(ids), "le vif renard brun et le chien paresseux", "fr")]
     model = langid.learn(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
-    assert 0 < len(model.costs[-1]) < 4000
+    assert model.langs == ["de", "en", "fr"]
+    bits = model.bits(["brown fox and the lazy dog", "braune Fuchs und der faule", "renard brun et le chien"])
+    assert bits.argmin(axis=1).tolist() == [1, 0, 2]
+
+
+def test_pieces_teach_what_the_whole_text_teaches(spark, monkeypatch):
+    docs = spark.createDataFrame(trained(), "doc_id long, text string, lang string")
+    whole = langid.learn(docs).bits(ASK)
+    monkeypatch.setattr(langid, "PIECE", 3)
+    assert np.allclose(langid.learn(docs).bits(ASK), whole, rtol=1e-6)
