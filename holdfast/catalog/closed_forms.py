@@ -7,7 +7,7 @@ mean. The jobs run as they do on all columns; only the columns are few.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from holdfast import workspace
@@ -195,3 +195,74 @@ def random_search_shape(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _part(_split(spark, sf_dir), "train")
     trials = training.random_search(rows, FLAG, SEARCH).trials
     return trials.select("trial", "fold", F.col("roc_auc").between(0.0, 1.0).alias("in_range"))
+
+
+#: Settings that differ in one without effect: every trial has the same closed form.
+ALIKE = {
+    "n_estimators": [1], "max_depth": [1], "min_child_samples": [1], "learning_rate": [0.1],
+    "subsample": [0.75, 0.85, 1.0],
+}
+#: A tree of one level orders a held-out fold by the flag, the side with the larger share of
+#: positives in the other folds first; rows on one side tie.
+FOLD_AUC_SQL = (
+    f"with {_TRAIN}, f_cls as (select churn, count(*) as c from train group by churn), f_laid as (select "
+    "churn, c, coalesce(sum(c) over (order by churn rows between unbounded preceding and 1 preceding), "
+    "0) as start from f_cls), f_folds as (select unnest(range(0, 3)) as fold), f_dealt as (select churn, "
+    "fold, cast(floor((start + c - 1 - fold + 3) / 3) - floor((start - 1 - fold + 3) / 3) as bigint) "
+    "as q from f_laid cross join f_folds), f_upto as (select churn, fold, sum(q) over (partition by churn "
+    "order by fold) as hi, sum(q) over (partition by churn order by fold) - q as lo from f_dealt), "
+    "f_ordered as (select *, row_number() over (partition by churn order by md5(concat('42:', "
+    "cast(customer_id as varchar)))) as f_rn from train), folded as (select o.churn, o.y, o.is_debtor, cast(u.fold as integer) "
+    "as fold from f_ordered o join f_upto u on o.churn = u.churn and f_rn > u.lo and f_rn <= u.hi), held as "
+    "(select fold, cast(sum(y * is_debtor) as double) as p1, cast(sum(y * (1 - is_debtor)) as double) "
+    "as p0, cast(sum((1 - y) * is_debtor) as double) as n1, cast(sum((1 - y) * (1 - is_debtor)) as "
+    "double) as n0 from folded group by fold), every as (select sum(p1) as a1, sum(p0) as a0, sum(n1) "
+    "as b1, sum(n0) as b0 from held), aucs as (select fold, (case when (a1 - p1) / (a1 - p1 + b1 - n1) > "
+    "(a0 - p0) / (a0 - p0 + b0 - n0) then p1 * n0 else p0 * n1 end + (p1 * n1 + p0 * n0) / 2) / "
+    "((p1 + p0) * (n1 + n0)) as roc_auc from held cross join every), trials as (select trial, fold, "
+    "roc_auc from aucs cross join (values (0), (1), (2)) x(trial))"
+)
+
+
+def _resumed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, training.SearchResult]:
+    """A search of one draw, then one of three over the same ledger: it fits what is missing."""
+    rows = _part(_split(spark, sf_dir), "train")
+    ledger = workspace.new_path(spark, "ledger")
+    for draws in (1, 3):
+        search = SearchSpec(folds=3, draws=draws, grid=ALIKE)
+        result = training.random_search(rows, FLAG, search, ledger)
+    return rows, result
+
+
+@entry("search_trials", FOLD_AUC_SQL + " select trial, fold, round(roc_auc, 6) as roc_auc from trials")
+def search_trials(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every fit of a resumed search, as the ledger has it."""
+    _, result = _resumed(spark, sf_dir)
+    return result.trials.select("trial", "fold", F.round("roc_auc", 6).alias("roc_auc"))
+
+
+@entry(
+    "search_leaders",
+    FOLD_AUC_SQL + " select trial, round(avg(roc_auc), 6) as mean_roc_auc, round(stddev_pop(roc_auc), 6) "
+    "as std_roc_auc, cast(row_number() over (order by avg(roc_auc) desc, trial) as integer) as place "
+    "from trials group by trial",
+)
+def search_leaders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trials by their mean over the folds; equal ones by their draw."""
+    _, result = _resumed(spark, sf_dir)
+    table = training.trial_table(result.trials.withColumn("roc_auc", F.round("roc_auc", 9)))
+    order = Window.orderBy(F.desc("mean_roc_auc"), "trial")  # a row for each trial
+    return table.select(
+        "trial",
+        F.round("mean_roc_auc", 6).alias("mean_roc_auc"),
+        F.round("std_roc_auc", 6).alias("std_roc_auc"),
+        F.row_number().over(order).alias("place"),
+    )
+
+
+@entry("search_refit", ORACLES["tree_by_flag"])
+def search_refit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best trial of the ledger, fitted on all training rows: the figure on either side."""
+    rows, result = _resumed(spark, sf_dir)
+    found = training.score_rows(result.model, rows.select("is_debtor").distinct(), "p")
+    return found.select("is_debtor", F.round("p", 4).alias("probability"))

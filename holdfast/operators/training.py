@@ -19,7 +19,9 @@ from pyspark.sql import functions as F
 
 from holdfast.functions.labels import label_binary
 from holdfast.operators import features, splitting
+from holdfast.sources.ledger import SearchLedger, point_key, search_key
 from holdfast.spec import LabelSpec, LogisticSpec, ModelingSpec, SearchSpec
+from holdfast.workspace import new_path
 
 SCORE = "churn_probability"
 #: Helper columns beside a table's own: the underscore keeps them apart.
@@ -168,58 +170,74 @@ class SearchResult:
     trials: DataFrame
 
 
-TRIAL_SCHEMA = "trial int, fold int, roc_auc double, params map<string,string>"
-
-
-def random_search(train: DataFrame, spec: ModelingSpec, search: SearchSpec) -> SearchResult:
+def random_search(
+    train: DataFrame, spec: ModelingSpec, search: SearchSpec, ledger: str | None = None
+) -> SearchResult:
     """Random search over boosted trees, scored by ROC-AUC on stratified folds.
 
     Features are fitted once per fold, on that fold's training part, and shared by all its
     trials; trials of a fold run side by side as Spark jobs.
+
+    Every fit is written to a ledger as it ends, and trials, best trial and refit come from there.
+    With a ``ledger`` path of its own a search that lost its driver goes on where it stood: only
+    fits without a result are done, and folds that have all theirs are not even prepared. More draws
+    over the same rows add to the results that are there. Without a path the ledger is a table
+    between steps of this process.
     """
+    spark = train.sparkSession
     points = [{**search.fixed, **p} for p in draw_points(search)]
+    book = SearchLedger(
+        spark, ledger or new_path(spark, "ledger"), search_key(train, spec, search)
+    )
+    finished = book.finished()
+    for fold in range(search.folds):
+        missing = [p for p in points if (point_key(p), fold) not in finished]
+        if missing:
+            _fit_fold(train, spec, search, book, fold, missing)
+
+    trials = book.trials(points)
+    best = best_trial(trials).first()
+    winner = points[best["trial"]]
+    model = fit_trees(train, spec, winner, search.seed, search.unbalance)
+    return SearchResult(model, winner, best["mean_roc_auc"], trials)
+
+
+def _fit_fold(
+    train: DataFrame,
+    spec: ModelingSpec,
+    search: SearchSpec,
+    book: SearchLedger,
+    fold: int,
+    points: Sequence[Mapping[str, Any]],
+) -> None:
+    """Fit and judge the points on one fold; each result goes to the ledger as it is known."""
     folded = splitting.stratified_folds(
         train, spec.id_column, spec.label.column, search.folds, search.seed
     )
     judge = BinaryClassificationEvaluator(
         labelCol=Y, rawPredictionCol=RAW, metricName="areaUnderROC", numBins=0
     )
-    results = []
-    for fold in range(search.folds):
-        kept = folded.where(F.col("fold") != fold).drop("fold")
-        held = folded.where(F.col("fold") == fold).drop("fold")
-        prepared, _ = features.fit_features(kept, spec)
-        mode = UNBALANCE if search.unbalance else None
-        fit_rows = prepared.transform(with_weight(kept, spec.label, mode)).select(
-            Y, WEIGHT, features.FEATURES
-        ).persist(StorageLevel.MEMORY_AND_DISK)
-        judge_rows = prepared.transform(
-            held.select("*", label_binary(spec.label).alias(Y))
-        ).select(Y, features.FEATURES).persist(StorageLevel.MEMORY_AND_DISK)
-
-        def one(trial: int) -> float:
-            model = _trees(points[trial], search.seed).fit(fit_rows)
-            return judge.evaluate(model.transform(judge_rows))
-
-        try:
-            with ThreadPool(min(search.parallelism, len(points))) as pool:
-                run = inheritable_thread_target(train.sparkSession)(one)
-                scores = pool.map(run, range(len(points)))
-        finally:
-            fit_rows.unpersist()
-            judge_rows.unpersist()
-        results += [(t, fold, float(s)) for t, s in enumerate(scores)]
-
-    means = [
-        sum(s for t, _, s in results if t == trial) / search.folds for trial in range(len(points))
-    ]
-    winner = max(range(len(points)), key=lambda t: (means[t], -t))
-    model = fit_trees(train, spec, points[winner], search.seed, search.unbalance)
-    trials = train.sparkSession.createDataFrame(
-        [(t, f, s, {k: str(v) for k, v in points[t].items()}) for t, f, s in results],
-        TRIAL_SCHEMA,
-    )
-    return SearchResult(model, points[winner], means[winner], trials)
+    kept = folded.where(F.col("fold") != fold).drop("fold")
+    held = folded.where(F.col("fold") == fold).drop("fold")
+    prepared, _ = features.fit_features(kept, spec)
+    mode = UNBALANCE if search.unbalance else None
+    fit_rows = prepared.transform(with_weight(kept, spec.label, mode)).select(
+        Y, WEIGHT, features.FEATURES
+    ).persist(StorageLevel.MEMORY_AND_DISK)
+    judge_rows = prepared.transform(
+        held.select("*", label_binary(spec.label).alias(Y))
+    ).select(Y, features.FEATURES).persist(StorageLevel.MEMORY_AND_DISK)
+
+    def one(point: Mapping[str, Any]) -> None:
+        model = _trees(point, search.seed).fit(fit_rows)
+        book.append(point, fold, judge.evaluate(model.transform(judge_rows)))
+
+    try:
+        with ThreadPool(min(search.parallelism, len(points))) as pool:
+            pool.map(inheritable_thread_target(train.sparkSession)(one), points)
+    finally:
+        fit_rows.unpersist()
+        judge_rows.unpersist()
 
 
 def trial_table(trials: DataFrame, keep: Sequence[str] = ()) -> DataFrame:

@@ -89,8 +89,11 @@ def train_trees_job(
     runs_path: str,
     search: SearchSpec = SearchSpec(),
     name: str = "trees_random_search",
+    ledger: str | None = None,
 ) -> tuple[Trained, training.SearchResult]:
-    result = training.random_search(train, spec, search)
+    """Search, refit, measure, log and save. With a ``ledger`` path, a job that lost its driver and
+    is started again repeats no fit of its search (see ``random_search``)."""
+    result = training.random_search(train, spec, search, ledger)
     metrics = validation_metrics(result.model, validation, spec)
     result.model.write().overwrite().save(model_path)
     best = best_settings(search, result, metrics)
