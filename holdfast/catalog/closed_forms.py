@@ -18,6 +18,7 @@ from holdfast.operators import splitting, training
 from holdfast.plans import evaluate, score, train
 from holdfast.sources import registry, sinks
 from holdfast.spec import LogisticSpec, ModelingSpec, SearchSpec
+from holdfast.streaming import scoring as streaming
 
 LEVELS = ModelingSpec("customer_id", {}, ("segment",), t.SNAPSHOT_SPEC.label)
 FLAG = ModelingSpec("customer_id", {"is_debtor": "flag"}, (), t.SNAPSHOT_SPEC.label)
@@ -266,3 +267,63 @@ def search_refit(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows, result = _resumed(spark, sf_dir)
     found = training.score_rows(result.model, rows.select("is_debtor").distinct(), "p")
     return found.select("is_debtor", F.round("p", 4).alias("probability"))
+
+
+#: Records of customers, every eleventh of each kind broken, with a number for text, with a field too
+#: many or one too few; what becomes of each.
+RECORDS_SQL = (
+    f"with {SHARES_SQL}, plain as (select customer_id, mod(customer_id, 11) as kind, segment, churn, "
+    "concat('{\"customer_id\":', cast(customer_id as varchar)) as head, concat(',\"segment\":\"', "
+    "segment, '\"') as middle, concat(',\"churn\":\"', churn, '\"') as tail, p from split join shares "
+    "using (segment)), records as (select *, case kind when 0 then concat(head, middle, tail) when 1 "
+    "then concat(head, ',\"segment\":5', tail, '}') when 2 then concat(head, middle, tail, "
+    "',\"other\":true}') when 3 then concat(head, tail, '}') else concat(head, middle, tail, '}') end as "
+    "record, case kind when 0 then 'not a JSON object' when 1 then 'segment: must be text' when 2 then "
+    "'other: unknown field' when 3 then 'segment: must not be empty' end as reasons from plain) "
+)
+
+
+def _records(split: DataFrame) -> DataFrame:
+    kind = F.col("customer_id") % 11
+    head = F.concat(F.lit('{"customer_id":'), "customer_id")
+    middle = F.concat(F.lit(',"segment":"'), "segment", F.lit('"'))
+    tail = F.concat(F.lit(',"churn":"'), "churn", F.lit('"'))
+    end = F.lit("}")
+    return split.select(
+        F.when(kind == 0, F.concat(head, middle, tail))
+        .when(kind == 1, F.concat(head, F.lit(',"segment":5'), tail, end))
+        .when(kind == 2, F.concat(head, middle, tail, F.lit(',"other":true'), end))
+        .when(kind == 3, F.concat(head, tail, end))
+        .otherwise(F.concat(head, middle, tail, end))
+        .alias("value")
+    )
+
+
+def _streamed(spark: SparkSession, sf_dir: str) -> str:
+    """All customers as JSON lines in several files, through the stream a file at a time."""
+    split, trained, base = _trained(spark, sf_dir)
+    _records(split).repartition(3, "value").write.text(f"{base}/records")
+    lines = spark.readStream.option("maxFilesPerTrigger", 1).text(f"{base}/records")
+    streaming.score_record_stream(
+        lines, trained.model, LEVELS, 0.5, path=f"{base}/stream", checkpoint=f"{base}/state"
+    ).awaitTermination()
+    return f"{base}/stream"
+
+
+@entry(
+    "score_record_stream",
+    RECORDS_SQL + "select cast(customer_id as varchar) as customer_id, round(p, 4) as churn_probability, "
+    "case when p >= 0.5 then 'Yes' else 'No' end as predicted_churn, churn as actual_churn from records "
+    "where reasons is null",
+)
+def score_record_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of the records that can be read."""
+    scores = streaming.committed(spark, _streamed(spark, sf_dir), "scores").drop("batch")
+    return scores.withColumn("churn_probability", F.round("churn_probability", 4))
+
+
+@entry("record_rejects", RECORDS_SQL + "select record, reasons from records where reasons is not null")
+def record_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The records that cannot, as they came, each with its reasons."""
+    rejects = streaming.committed(spark, _streamed(spark, sf_dir), "rejects")
+    return rejects.select(F.col("_record").alias("record"), F.array_join("reasons", "; ").alias("reasons"))

@@ -11,7 +11,7 @@ from holdfast import workspace
 from holdfast.catalog import tables as t
 from holdfast.catalog.entries import entry
 from holdfast.catalog.scans import FEED_NUMBER
-from holdfast.operators import features, splitting, training
+from holdfast.operators import dictionary, features, splitting, training
 from holdfast.plans import prepare
 from holdfast.spec import LabelSpec, ModelingSpec
 
@@ -292,6 +292,36 @@ def one_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@entry("one_hot_dictionary", ENCODED_SQL + " select feature, n_ones from hot")
+def one_hot_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As ``one_hot``, with the levels and the features' names as tables."""
+    split = _split(spark, sf_dir)
+    path = workspace.new_path(spark, "dictionary")
+    dictionary.fit_features(split.where(F.col("split") == "train"), SPEC, path)
+    fitted = dictionary.load(spark, path)
+    sums = _sums(fitted.transform(split)).join(fitted.names(spark), F.col("at") == F.col("place"))
+    return sums.where(~F.col("feature").isin(NUMBERS)).select(
+        "feature", F.col("total").cast("long").alias("n_ones")
+    )
+
+
+CODED = ("user_id", "event_type", "value")
+
+
+@entry(
+    "level_codes",
+    "with long as ("
+    + " union all ".join(f"select '{c}' as \"column\", cast({c} as varchar) as value from events" for c in CODED[:2])
+    + " union all select 'value', cast(cast(floor(value) as bigint) as varchar) from events), counts as "
+    "(select \"column\", value, count(*) as n from long where value is not null group by 1, 2) select *, "
+    "row_number() over (partition by \"column\" order by value) - 1 as code from counts",
+)
+def level_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every level of three columns of events with its place among the column's sorted levels."""
+    events = t.table(spark, sf_dir, "events").withColumn("value", F.floor("value"))
+    return dictionary.ranked_levels(events, CODED)
+
+
 @entry(
     "features_transform",
     ENCODED_SQL

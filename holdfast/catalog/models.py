@@ -300,15 +300,11 @@ def score_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = t.snapshot(spark, sf_dir)
     rows.write.json(f"{base}/incoming")
     incoming = spark.readStream.schema(rows.schema).json(f"{base}/incoming")
-    queries = stream_scoring.score_stream(
-        incoming, trained.model, SPEC, 0.5,
-        scores_path=f"{base}/stream_scores", rejects_path=f"{base}/stream_rejects",
-        checkpoint=f"{base}/stream_state",
-    )
-    for query in queries:
-        query.awaitTermination()
-    scores = spark.read.parquet(f"{base}/stream_scores")
-    rejects = spark.read.parquet(f"{base}/stream_rejects")
+    stream_scoring.score_stream(
+        incoming, trained.model, SPEC, 0.5, path=f"{base}/stream", checkpoint=f"{base}/stream_state"
+    ).awaitTermination()
+    scores = stream_scoring.committed(spark, f"{base}/stream", "scores")
+    rejects = stream_scoring.committed(spark, f"{base}/stream", "rejects")
     return scores.select(
         "customer_id",
         F.lit(False).alias("refused"),

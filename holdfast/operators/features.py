@@ -228,7 +228,7 @@ def _read_sql(column: str) -> str:
     return f"case when typeof({_named(column)}) = 'string' then {from_text} else {from_number} end"
 
 
-def _repair_stage(stats: FeatureStats) -> SQLTransformer:
+def repair_stage(stats: FeatureStats) -> SQLTransformer:
     """Imputed and scaled numbers and imputed text, as columns beside the originals."""
     parts = []
     for c, s in stats.numeric.items():
@@ -255,7 +255,7 @@ def feature_model(train: DataFrame, stats: FeatureStats) -> PipelineModel:
     """Fitted statistics as a self-contained model that adds the feature vector."""
     if not stats.names:
         raise ValueError("no feature column has any value in the training rows")
-    stages: list = [_repair_stage(stats)]
+    stages: list = [repair_stage(stats)]
     cats = list(stats.categorical)
     if cats:
         indexer = StringIndexer(

@@ -27,12 +27,12 @@ def _number_read(name: str) -> str:
     return f"_num_{name}"
 
 
-def _first_look(df: DataFrame, spec: ModelingSpec) -> DataFrame:
+def _first_look(df: DataFrame, spec: ModelingSpec, carry: Sequence[str]) -> DataFrame:
     """Text stripped, and every numeric field read once as ``_num_<field>`` with NaN kept.
 
     A projection of its own, so that the rules below do not read the text again and again.
     """
-    texts = [c for c in df.columns if repair.is_text(df, c)]
+    texts = [c for c in df.columns if repair.is_text(df, c) and c not in carry]
     df = df.withColumns({c: repair.stripped(c) for c in texts})
     reads = {}
     for c in spec.numeric:
@@ -131,7 +131,7 @@ def check_rows(df: DataFrame, spec: ModelingSpec, carry: Sequence[str] = ()) ->
     for c, kind in spec.numeric.items():
         if kind == "optional" and c not in df.columns:
             df = df.withColumn(c, F.lit(None).cast("double"))
-    df = _first_look(df, spec)
+    df = _first_look(df, spec, carry)
 
     readings = [
         _id(df, spec.id_column),

@@ -1,4 +1,5 @@
 import math
+import shutil
 
 import numpy as np
 import pytest
@@ -289,13 +290,32 @@ def test_stream_scores_equal_batch_scores(spark, sample, customers, champion, tm
     source = str(tmp_path / "in")
     rows.repartition(3).write.json(source)
     incoming = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).json(source)
-    started = stream_scoring.score_stream(
-        incoming, model, SNAPSHOT_SPEC, 0.5, scores_path=str(tmp_path / "scores"),
-        rejects_path=str(tmp_path / "rejects"), checkpoint=str(tmp_path / "state"),
-    )
-    for query in started:
-        query.awaitTermination()
+    path, state = str(tmp_path / "out"), str(tmp_path / "state")
+
+    def run():
+        stream_scoring.score_stream(
+            incoming, model, SNAPSHOT_SPEC, 0.5, path=path, checkpoint=state
+        ).awaitTermination()
+        scores = stream_scoring.committed(spark, path, "scores").drop("batch")
+        return sorted(map(tuple, scores.collect()))
+
+    streamed = run()
     batch, refused = score.score_table(rows, model, SNAPSHOT_SPEC, 0.5, score.QUARANTINE)
-    streamed = spark.read.parquet(str(tmp_path / "scores"))
-    assert sorted(map(tuple, streamed.collect())) == sorted(map(tuple, batch.collect()))
-    assert spark.read.parquet(str(tmp_path / "rejects")).count() == refused.count() == 1
+    assert streamed == sorted(map(tuple, batch.collect()))
+    assert stream_scoring.committed(spark, path, "rejects").count() == refused.count() == 1
+    commits = stream_scoring.committed(spark, path, "commits")
+    assert commits.count() == 3
+    assert commits.agg(F.sum("n_scored"), F.sum("n_refused")).first()[:] == (200, 1)
+
+    # a driver lost after writing the last batch, before Spark noted it: the batch is replayed
+    for note in (tmp_path / "state" / "commits").glob("*2*"):
+        note.unlink()
+    assert run() == streamed
+    assert stream_scoring.committed(spark, path, "commits").count() == 3
+    # and one lost between the two sinks: the batch does not show until it is whole
+    shutil.rmtree(f"{path}/commits/batch=2")
+    last = stream_scoring.committed(spark, path, "scores")
+    assert last.select("batch").distinct().count() == 2
+    for note in (tmp_path / "state" / "commits").glob("*2*"):
+        note.unlink()
+    assert run() == streamed
