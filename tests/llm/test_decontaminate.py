@@ -1,6 +1,8 @@
 from __future__ import annotations
 
 import random
+import time
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -110,6 +112,58 @@ def test_passages_of_long_items(spark):
     assert {r["doc_id"] for r in op.drop_leaks(docs, bench).collect()} == {4, 5}
 
 
+def test_shared_prompt_and_long_item():
+    """4,000 items that begin alike, texts that repeat the beginning, and an item of 20,000 words: in
+    bounded memory, and with the items that are there still found."""
+    draw = random.Random(8)
+    prompt = "answer the following question with one of the words".split()
+    items = [(k, " ".join(prompt + sentence(draw, 12))) for k in range(4000)]
+    long_item = sentence(draw, 20_000)
+    part = op.Items.of([*items, (9999, " ".join(long_item))])
+    counts = dict.fromkeys(part.keys(np.array([part.numbers[w.encode()] for w in prompt])).tolist(), 5000)
+    part.mark_rare(counts)
+    repeated = " ".join(prompt * 300)
+    texts = [repeated + " " + items[k][1] for k in (7, 70, 700)] + [repeated] * 9
+    edited = [w if p % 7 else "other" for p, w in enumerate(items[77][1].split())]
+    texts += [" ".join(sentence(draw, 50) + edited), " ".join(long_item), " ".join(long_item[5000:5200])]
+    tracemalloc.start()
+    start = time.monotonic()
+    leaks = part.leaks(texts)
+    _, most = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert [{x["item_id"] for x in found} for found in leaks] == [{7}, {70}, {700}, *[set()] * 9, {77}, {9999}, {9999}]
+    assert most < 400e6 and time.monotonic() - start < 120
+
+
+def test_recall_of_edited_copies():
+    """Of copies with a share of words changed, left out or put in, those that score enough are found."""
+    draw = random.Random(9)
+    items = [sentence(draw, draw.randrange(14, 60)) for _ in range(300)]
+    part = op.Items.of([(k, " ".join(w)) for k, w in enumerate(items)])
+    part.mark_rare({})
+    due = met = 0
+    for k, item in enumerate(items):
+        for rate in (0.05, 0.1, 0.2, 0.3):
+            copy = []
+            for word in item:
+                kind = draw.random() / rate
+                copy += [] if kind < 1 / 3 else ["edited"] if kind < 2 / 3 else [word, "more"] if kind < 1 else [word]
+            text = sentence(draw, 60) + copy + sentence(draw, 60)
+            numbers, _ = part.numbered([" ".join(text)])
+            if op.align(numbers, part.words[k])[0] >= op.LEAST * op.MATCH * len(item):
+                due += 1
+                met += any(x["item_id"] == k for x in part.leaks([" ".join(text)])[0])
+    assert due > 900 and met / due > 0.98
+
+
+def test_scripts_without_blanks():
+    items = [(1, "日本語の文章をここに書いておきます"), (2, "ประเทศไทยมีอากาศร้อนตลอดทั้งปี"), (3, "seven plain english words stand right here")]
+    part = op.Items.of(items)
+    part.mark_rare({})
+    texts = ["前の文。" + items[0][1] + "、続く", "ก่อน " + items[1][1] + " หลัง", "日本語の文", "a “seven” plain english words stand right here’s"]
+    assert [{x["item_id"] for x in found} for found in part.leaks(texts)] == [{1}, {2}, set(), {3}]
+
+
 def test_unaltered_run_beside_a_better_alignment():
     """An alignment that is long but thin does not hide words that stand there unaltered."""
     item = np.arange(1000)
