@@ -3,42 +3,44 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property, reduce
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from holdfast.llm.common import packed
+from holdfast.llm.common import packed, settle
 from holdfast.llm.entries import entry, table
+from holdfast.llm.trigrams import ANYTHING, Query, derive, ignores_case
+
+
+#: Candidates up to this many are broadcast to the texts; beyond it both are joined by key.
+BROADCAST = 1_000_000
 
 
 @dataclass(frozen=True)
 class Rule:
     """What to look for.
 
-    pattern: a Java regular expression. literals: alternatives, each a tuple of strings that every
-    match of that alternative contains (in lower case if the rule ignores case); with none, the rule
-    has no mandatory trigram and scans every text. A match stays if its group has the least length.
+    pattern: a regular expression that Java and Python read alike. A match stays if its group has the
+    least length.
     """
 
     kind: str
     pattern: str
-    literals: tuple[tuple[str, ...], ...] = ()
-    ignore_case: bool = False
     group: int = 0
     least: int = 0
 
-    def query(self) -> list[frozenset[str]]:
-        """The Boolean trigram query: any of these sets, all trigrams of it. Empty: no condition."""
-        sets = [frozenset(t for text in all_of for t in trigrams(text)) for all_of in self.literals]
-        return sets if all(sets) else []
-
-
-def trigrams(text: str) -> list[str]:
-    return [text[i : i + 3] for i in range(len(text) - 2)]
-
+    @cached_property
+    def query(self) -> Query:
+        """The Boolean trigram query that a text with a match meets. No condition: the rule has no
+        mandatory trigram and scans every text."""
+        return derive(self.pattern)
 
-def _keywords(*names: str) -> tuple[tuple[str, ...], ...]:
-    return tuple((n,) for n in names)
+    @cached_property
+    def ignore_case(self) -> bool:
+        """Whether the query is for the text in lower case of A-Z."""
+        return ignores_case(self.pattern)
 
 
 #: The patterns that every scan must report.
@@ -46,12 +48,10 @@ BASE_RULES = (
     Rule(
         "assign",
         r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
-        _keywords("password", "passwd", "secret", "token", "apikey", "api_key"),
-        ignore_case=True,
         group=2,
         least=6,
     ),
-    Rule("access", r"AKIA[A-Z0-9]+", _keywords("AKIA"), least=20),
+    Rule("access", r"AKIA[A-Z0-9]+", least=20),
     Rule("hex", r"[0-9a-f]{24,}"),
 )
 
@@ -69,19 +69,18 @@ _KEY = (
 
 #: What the method finds beside them.
 MORE_RULES = (
-    Rule("private_key", _KEY, (("-----BEGIN ", "PRIVATE KEY-----"),)),
-    Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", _keywords("eyJ")),
-    Rule("host_token", r"gh[opsu]_[A-Za-z0-9]{36,}", _keywords("gho_", "ghp_", "ghs_", "ghu_")),
-    Rule("chat_token", r"xox[abpr]-[A-Za-z0-9-]{10,}", _keywords("xoxa-", "xoxb-", "xoxp-", "xoxr-")),
-    Rule("url_password", r"://[^\s:/@]{1,64}:[^\s:/@]{3,64}@", _keywords("://")),
+    Rule("private_key", _KEY),
+    Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
+    Rule("host_token", r"gh[opsu]_[A-Za-z0-9]{36,}"),
+    Rule("chat_token", r"xox[abpr]-[A-Za-z0-9-]{10,}"),
+    Rule("url_password", r"://[^\s:/@]{1,64}:[^\s:/@]{3,64}@"),
 )
 RULES = BASE_RULES + MORE_RULES
 
 
 def _forms(rules: tuple[Rule, ...]) -> list[tuple[str, bool]]:
     """Every trigram that a query asks for, with whether it is asked for in lower case."""
-    asked = {(t, r.ignore_case) for r in rules for one in r.query() for t in one}
-    return sorted(asked)
+    return sorted({(t, r.ignore_case) for r in rules for t in r.query.grams()})
 
 
 def trigram_postings(texts: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
@@ -101,27 +100,28 @@ def trigram_postings(texts: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataF
     return lower.select("key", gram.alias("gram"))
 
 
+def _met(query: Query, number: dict[str, int]) -> Column:
+    """Whether the array ``grams`` meets a query."""
+    if query.kind == "gram":
+        return F.array_contains("grams", number[query.gram])
+    parts = [_met(p, number) for p in sorted(query.parts, key=repr)]
+    return reduce(and_ if query.kind == "all" else or_, parts)
+
+
 def candidates(postings: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """(key, kinds): the rules whose Boolean query a text meets, by intersecting postings.
+    """(key, asked): the rules whose Boolean query a text meets, by intersecting postings; a bit each.
 
     One pass over the postings: those of a key are gathered (no more than the queries' trigrams) and
-    each query is a test of sets, any of its alternatives with all of its trigrams.
+    each query is a test of that set.
     """
-    number = {form: i for i, form in enumerate(_forms(rules))}
+    forms = _forms(rules)
     held = postings.groupBy("key").agg(F.collect_set("gram").alias("grams"))
-    met = []
-    for rule in rules:
-        alternatives = [
-            F.size(F.array_intersect("grams", F.array(*[F.lit(number[t, rule.ignore_case]) for t in sorted(one)])))
-            == len(one)
-            for one in rule.query()
-        ]
-        if alternatives:
-            any_of = alternatives[0]
-            for more in alternatives[1:]:
-                any_of = any_of | more
-            met.append(F.when(any_of, F.lit(rule.kind)))
-    return held.select("key", F.array_compact(F.array(*met)).alias("kinds")).where(F.size("kinds") > 0)
+    asked = F.lit(0).cast("long")
+    for rank, rule in enumerate(rules):
+        if rule.query != ANYTHING:
+            number = {t: i for i, (t, fold) in enumerate(forms) if fold == rule.ignore_case}
+            asked = asked + F.when(_met(rule.query, number), 1 << rank).otherwise(0).cast("long")
+    return held.select("key", asked.alias("asked")).where("asked <> 0")
 
 
 def rule_spans(text: Column, rule: Rule, rank: int) -> Column:
@@ -156,18 +156,26 @@ def find_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
 
     The index names the texts each rule must verify; rules without mandatory trigrams scan every
     text. Texts are keyed by a hash: equal texts share postings, and should two different texts ever
-    meet under one key, each is merely verified for the other's rules too. Null counts as empty. Repeated
-    rows and ids give a row each.
+    meet under one key, each is merely verified for the other's rules too. Null and empty texts have
+    no spans; texts are searched whole, however long. Repeated rows and ids give a row each, an empty
+    table none; other columns may have any names.
+
+    Up to BROADCAST candidate keys go to the texts, which then do not move; beyond that both are
+    joined by key, and Spark splits what a frequent text brings together.
     """
+    if len(rules) > 62:
+        raise ValueError("62 rules at most go into one scan")
     rows = packed(docs).withColumn("text", F.coalesce(F.col("_row.text").cast("string"), F.lit("")))
     rows = rows.withColumn("key", F.xxhash64("text"))
-    named = candidates(trigram_postings(rows.select("key", "text"), rules), rules)
+    named = settle(candidates(trigram_postings(rows.select("key", "text"), rules), rules), "candidates")
+    if named.count() <= BROADCAST:
+        named = F.broadcast(named)
     joined = rows.join(named, "key", "left")
     found = []
     for rank, rule in enumerate(rules):
         own = rule_spans(F.col("text"), rule, rank)
-        if rule.query():
-            asked = F.array_contains(F.coalesce("kinds", F.array().cast("array<string>")), rule.kind)
+        if rule.query != ANYTHING:
+            asked = F.coalesce("asked", F.lit(0)).bitwiseAND(F.lit(1 << rank).cast("long")) != 0
             own = F.when(asked, own).otherwise(F.array().cast("array<struct<start:int,rank:int,end:int>>"))
         found.append(own)
     return joined.select("_row", F.array_sort(F.concat(*found)).alias("spans"))

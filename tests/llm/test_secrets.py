@@ -7,7 +7,7 @@ import re
 import pytest
 
 from conftest import SMALL
-from holdfast.llm import secrets
+from holdfast.llm import secrets, trigrams
 
 PLAIN = {
     "assign": (re.compile(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.A),
@@ -60,21 +60,90 @@ def test_query_on_documents(spark):
     assert sorted(tuple(r)[:5] for r in got.collect()) == sorted(expected(*r) for r in docs)
 
 
-def test_boolean_queries():
-    query = secrets.BASE_RULES[0].query()
-    assert frozenset({"tok", "oke", "ken"}) in query and len(query) == 6
-    assert secrets.BASE_RULES[2].query() == []
-    assert secrets.Rule("short", "ab|wxyz", (("ab",), ("wxyz",))).query() == []
+SAMPLES = {
+    "assign": ["PassWord=abcdefg", "passwd:aaaaaa", "api_key=aaaaaa", "APIKEY = aaaaaa"], "access": ["AKIA" + "Z" * 16],
+    "private_key": ["-----BEGIN PRIVATE KEY-----", "-----BEGIN EC PRIVATE KEY-----"],
+    "jwt": ["eyJ" + "a" * 9 + "." + "b" * 9 + "." + "c" * 9], "host_token": ["ghu_" + "a" * 36],
+    "chat_token": ["xoxr-1234567890"], "url_password": ["x://u:pass@h"], "hex": ["a" * 24],
+}
+#: Alternatives, each a list of strings that every match holds: written down by hand, for comparison.
+MANDATORY = {
+    "assign": [["password"], ["passwd"], ["secret"], ["token"], ["apikey"], ["api_key"]], "access": [["AKIA"]],
+    "private_key": [["-----BEGIN ", "PRIVATE KEY-----"]], "jwt": [["eyJ"]], "url_password": [["://"]], "hex": [],
+    "host_token": [["gho_"], ["ghp_"], ["ghs_"], ["ghu_"]], "chat_token": [["xoxa-"], ["xoxb-"], ["xoxp-"], ["xoxr-"]],
+}
+
+
+def grams(text):
+    return set(trigrams.trigrams(text))
 
 
 @pytest.mark.parametrize("rule", secrets.RULES, ids=lambda r: r.kind)
-def test_every_literal_is_mandatory(rule):
-    samples = {"assign": ["PassWord=abcdefg", "passwd:aaaaaa", "api_key=aaaaaa", "APIKEY = aaaaaa"], "access": ["AKIA" + "Z" * 16],
-               "private_key": ["-----BEGIN PRIVATE KEY-----", "-----BEGIN EC PRIVATE KEY-----"], "jwt": ["eyJ" + "a" * 9 + "." + "b" * 9 + "." + "c" * 9],
-               "host_token": ["ghu_" + "a" * 36], "chat_token": ["xoxr-1234567890"], "url_password": ["x://u:pass@h"], "hex": []}
-    for text in samples[rule.kind]:
-        seen = set(secrets.trigrams(text.lower() if rule.ignore_case else text))
-        assert re.search(rule.pattern, text) and any(q <= seen for q in rule.query())
+def test_derived_queries(rule):
+    """Matches meet them, and they ask for no less than what one would write down by hand."""
+    for text in SAMPLES[rule.kind]:
+        seen = grams(text.lower() if rule.ignore_case else text)
+        assert re.search(rule.pattern, text) and rule.query.holds(seen.__contains__)
+    by_hand = [set().union(*map(grams, strings)) for strings in MANDATORY[rule.kind]]
+    assert (rule.query == trigrams.ANYTHING) == (rule.kind == "hex") == (not by_hand)
+    for one in by_hand:  # without one trigram of each alternative, the query must not hold
+        for missing in one:
+            kept = set().union(*(x for x in by_hand if missing not in x), one - {missing})
+            only = kept - {min(x - (one - {missing})) for x in by_hand if missing not in x and x - one}
+            assert not rule.query.holds(only.__contains__)
+
+
+def regex(draw, depth):
+    """A random expression with a sampler of its matches."""
+    kind = draw.randrange(7 if depth else 2)
+    if kind == 0:
+        text = "".join(draw.choices("abcdeXY_.", k=draw.randrange(1, 5)))
+        return re.escape(text), lambda: text
+    if kind == 1:
+        chars = draw.sample("abcdefgh123", draw.randrange(1, 9))
+        return "[" + "".join(chars) + "]", lambda: draw.choice(chars)
+    parts = [regex(draw, depth - 1) for _ in range(draw.randrange(1, 4))]
+    if kind in (2, 3):
+        return "".join(p for p, _ in parts), lambda: "".join(s() for _, s in parts)
+    if kind == 4:
+        return "(?:" + "|".join(p for p, _ in parts) + ")", lambda: draw.choice(parts)[1]()
+    pattern, sample = parts[0]
+    low = draw.randrange(0, 4)
+    high = low + draw.randrange(0, 3)
+    sign, most = draw.choice([("{%d,%d}" % (low, high), high), ("{%d,}" % low, low + 3), ("?", 1), ("*", 3), ("+", 3), ("{%d}" % low, low)])
+    least = {"?": 0, "*": 0, "+": 1}.get(sign, low)
+    return f"({pattern}){sign}", lambda: "".join(sample() for _ in range(draw.randint(least, max(least, most))))
+
+
+@pytest.mark.parametrize("seed", range(300))
+def test_matches_of_random_expressions_meet_their_query(seed):
+    draw = random.Random(seed)
+    pattern, sample = regex(draw, 4)
+    fold = seed % 3 == 0
+    if fold:
+        pattern = f"(?i:{pattern})"
+    query = trigrams.derive(pattern)
+    for _ in range(30):
+        text = sample()
+        if fold:
+            text = "".join(draw.choice([ch.upper(), ch.lower()]) for ch in text)
+        assert re.fullmatch(pattern, text)
+        around = "".join(draw.choices("abc123", k=3))
+        seen = grams((around + text + around).lower() if fold else around + text + around)
+        assert query.holds(seen.__contains__), (pattern, text)
+
+
+def test_candidates_joined_by_key(spark, monkeypatch):
+    """Beyond the bound for broadcasts: the same spans."""
+    docs = spark.createDataFrame(list(enumerate(TEXTS)) * 2, "doc_id long, text string")
+    one = sorted(map(str, secrets.find_secrets(docs).collect()))
+    monkeypatch.setattr(secrets, "BROADCAST", 0)
+    assert sorted(map(str, secrets.find_secrets(docs).collect())) == one
+
+
+def test_no_python_on_executors(spark, capsys):
+    secrets.op6_secrets(spark, SMALL).explain("formatted")
+    assert not re.search("Python|Arrow|Pandas", capsys.readouterr().out)
 
 
 def test_redact(spark):
