@@ -280,7 +280,34 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     return cut.select("_row", "cut.n_words", "cut.n_removed", "cut.kept")
 
 
-@entry("op3_substrings")
+SQL = r"""
+with texts as materialized (
+  select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents
+),
+windows as materialized (
+  select doc_id, s, array_to_string(list_slice(w, s, s + 19), ' ') as seq
+  from texts, unnest(range(1, len(w) - 18)) r(s)
+),
+ranked as (
+  select doc_id, s, row_number() over (partition by seq order by doc_id, s) as place from windows
+),
+gone as (
+  select distinct doc_id, s + k as p from ranked, range(0, 20) r(k) where place > 1
+),
+words as (
+  select doc_id, unnest(w) as word, unnest(range(1, len(w) + 1)) as p from texts
+),
+kept as (
+  select doc_id, count(*) as n, string_agg(word, ' ' order by p) as text
+  from words anti join gone using (doc_id, p) group by doc_id
+)
+select t.doc_id, len(w)::bigint as n_words, (len(w) - coalesce(n, 0))::bigint as n_removed,
+  sha256(coalesce(text, '')) as kept_sha256
+from texts t left join kept k on k.doc_id = t.doc_id
+"""
+
+
+@entry("op3_substrings", SQL)
 def op3_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select(
