@@ -24,13 +24,14 @@ class Limits:
     most_capitals: float = 0.6  # of a line's letters, in lines of five letters or more
     most_cries: int = 3  # exclamation and question marks, where they outnumber stops
     open_words: int = 40  # a line of so many words must have some punctuation
+    boilerplate: float = 0.2  # of a line's characters, from where on it is boilerplate
     menu_words: float = 3.0  # words between separators, on average, that make a menu
     most_lost: float = 0.5  # of a document's characters
 
 
 LIMITS = Limits()
 
-#: What boilerplate lines say, in lower case.
+#: What boilerplate lines say, in lower case; English, French, German, Spanish.
 BOILERPLATE = (
     "all rights reserved",
     "terms of use",
@@ -51,6 +52,42 @@ BOILERPLATE = (
     "licensed under",
     "skip to content",
     "skip to main content",
+    "tous droits réservés",
+    "conditions d'utilisation",
+    "conditions générales",
+    "politique de confidentialité",
+    "accepter les cookies",
+    "activer javascript",
+    "abonnez-vous à notre",
+    "cliquez ici",
+    "lire la suite",
+    "en savoir plus",
+    "propulsé par",
+    "aller au contenu",
+    "alle rechte vorbehalten",
+    "nutzungsbedingungen",
+    "datenschutzerklärung",
+    "cookies akzeptieren",
+    "javascript aktivieren",
+    "abonnieren sie unseren",
+    "hier klicken",
+    "klicken sie hier",
+    "weiterlesen",
+    "mehr erfahren",
+    "zum inhalt springen",
+    "bereitgestellt von",
+    "todos los derechos reservados",
+    "condiciones de uso",
+    "términos de uso",
+    "política de privacidad",
+    "política de cookies",
+    "aceptar cookies",
+    "habilite javascript",
+    "suscríbete a nuestro",
+    "haga clic aquí",
+    "haz clic aquí",
+    "leer más",
+    "saltar al contenido",
 )
 SYMBOLS = "#*$%&|<>"
 SEPARATORS = (" | ", " > ", " » ", " › ", " · ", " • ", " / ")
@@ -76,11 +113,17 @@ def line_fault(line: str, limits: Limits = LIMITS) -> str | None:
     if n > 2 * limits.open_words and not any(map(bare.__contains__, STOPS)):
         if len(bare.split()) >= limits.open_words:
             return "punctuation"
-    if any(map(bare.lower().__contains__, BOILERPLATE)):
+    if boilerplate(bare) >= limits.boilerplate * n:
         return "boilerplate"
     return None
 
 
+def boilerplate(line: str) -> int:
+    """Characters of a line that boilerplate phrases take: one of them says little of a long line."""
+    low = line.lower()
+    return sum(len(p) * low.count(p) for p in BOILERPLATE if p in low)
+
+
 def clean(text: str, limits: Limits = LIMITS) -> tuple[str, int, int]:
     """The text without failing lines and without repeated ones; characters before and after.
 

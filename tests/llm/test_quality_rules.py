@@ -84,3 +84,23 @@ def test_labelled_quality(spark):
     rows = verdict.where("not base_failed").join(labels, "doc_id").collect()
     good, bad = [r["kept"] for r in rows if r["quality"]], [r["kept"] for r in rows if not r["quality"]]
     assert sum(good) > 0.98 * len(good) and sum(bad) < 0.1 * len(bad)
+
+
+PHRASES = ["You can read more in the report.", "Pour en savoir plus, voir le rapport.", "Hier klicken, und es geht los.", "Puede leer más en el informe."]
+
+
+@pytest.mark.parametrize("phrase", PHRASES)
+def test_a_phrase_in_a_long_line_is_no_boilerplate(phrase):
+    """A clean text on one line keeps its line when one of its sentences holds a phrase."""
+    sentences = [f"The station master wrote down train number {i} and went home early." for i in range(200)]
+    text = " ".join([*sentences[:90], phrase, *sentences[90:]])
+    assert quality.clean(text)[0] == text
+    assert quality.clean("\n".join([*sentences, phrase.split(",")[0]]))[2] > 0
+
+
+@pytest.mark.parametrize("line", [
+    "Copyright 2020. All rights reserved. Privacy policy", "Politique de confidentialité - Conditions d'utilisation",
+    "Alle Rechte vorbehalten. Datenschutzerklärung.", "Todos los derechos reservados. Política de cookies.", "» Weiterlesen",
+])
+def test_boilerplate_lines_of_all_languages_go(line):
+    assert quality.line_fault(line) in ("boilerplate", "navigation")
