@@ -7,6 +7,7 @@ mean. The jobs run as they do on all columns; only the columns are few.
 
 from __future__ import annotations
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -327,3 +328,78 @@ def record_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The records that cannot, as they came, each with its reasons."""
     rejects = streaming.committed(spark, _streamed(spark, sf_dir), "rejects")
     return rejects.select(F.col("_record").alias("record"), F.array_join("reasons", "; ").alias("reasons"))
+
+
+@entry(
+    "score_batch_override",
+    f"with {SHARES_SQL} select customer_id, round(p, 4) as churn_probability, case when p >= 0.35 then 'Yes' "
+    "else 'No' end as predicted_churn, churn as actual_churn, 'override' as threshold_source, "
+    "cast(0.35 as double) as threshold, (select count(*) from split) as n_rows from split join shares "
+    "using (segment)",
+)
+def score_batch_override(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All customers scored with a cut given to the job in place of the champion's, beside the run's
+    record of it."""
+    split, _, base = _evaluated(spark, sf_dir)
+    source = sinks.write_table(split.select("customer_id", "segment", "churn"), f"{base}/in.parquet")
+    done = score.score_batch(
+        spark, source, f"{base}/out.parquet", LEVELS, f"{base}/champion",
+        threshold_override=0.35, runs_path=f"{base}/scoring_runs",
+    )
+    run = spark.read.parquet(f"{base}/scoring_runs").select("threshold_source", "threshold", "n_rows")
+    scores = done.scores.withColumn("churn_probability", F.round("churn_probability", 4))
+    return scores.join(F.broadcast(run))
+
+
+@entry(
+    "champion_read_levels",
+    CHAMPION_SQL + "select round(threshold, 4) as threshold, cast(0.5 as double) as recall_floor, recall >= 0.5 "
+    "as floor_kept, round(test_auc, 4) as test_roc_auc from one",
+)
+def champion_read_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The champion as the registry reads it back."""
+    _, _, base = _evaluated(spark, sf_dir)
+    found = registry.read_champion(spark, f"{base}/champion")
+    row = (
+        round(found["threshold"], 4), found["recall_floor"], found["floor_kept"],
+        round(found["test_metrics"]["roc_auc"], 4),
+    )
+    return spark.createDataFrame([row], "threshold double, recall_floor double, floor_kept boolean, test_roc_auc double")
+
+
+DEBTORS = ModelingSpec("customer_id", {}, ("is_debtor",), t.SNAPSHOT_SPEC.label)
+
+
+@entry(
+    "champion_resolve_models",
+    f"with {SHARES_SQL}, debt as (select is_debtor, (sum(y) / max(n1)) / (sum(y) / max(n1) + sum(1 - y) / "
+    "max(n0)) as p from train cross join sides group by is_debtor), w as (select greatest(1, n0 / n1) as w1, "
+    "greatest(1, n1 / n0) as w0 from sides), tree as (select is_debtor, 1 / (1 + exp(-2 * sum((2 * y - 1) * case "
+    "y when 1 then w1 else w0 end) / sum(case y when 1 then w1 else w0 end))) as p from train cross join w group "
+    "by is_debtor), test as (select * from split where split = 'test'), every as (select 'override' as source, "
+    "customer_id, s.p from test join shares s using (segment) union all select 'champion', customer_id, d.p from "
+    "test join debt d using (is_debtor) union all select 'fallback', customer_id, r.p from test join tree r using "
+    "(is_debtor)) select source, customer_id, round(p, 4) as probability from every",
+)
+def champion_resolve_models(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three models, each the choice of one order of candidates: the scores tell which was taken."""
+    split = _split(spark, sf_dir)
+    rows, base = _part(split, "train"), workspace.new_path(spark, "models")
+    fitted = {
+        "given": training.fit_logistic(rows, LEVELS, SHARP),
+        "frozen": training.fit_logistic(rows, DEBTORS, SHARP),
+        "spare": training.fit_trees(rows, FLAG, ONE_SPLIT),
+    }
+    for name, model in fitted.items():
+        model.write().overwrite().save(f"{base}/{name}")
+    cases = [
+        (f"{base}/given", f"{base}/frozen", f"{base}/spare"),
+        (None, f"{base}/frozen", f"{base}/spare"),
+        (None, f"{base}/gone", f"{base}/spare"),
+    ]
+    parts = []
+    for given in cases:
+        path, which = registry.resolve_model(spark, *given)
+        scored = training.score_rows(PipelineModel.load(path), _part(split, "test"), "p")
+        parts.append(scored.select(F.lit(which).alias("source"), "customer_id", F.round("p", 4).alias("probability")))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])

@@ -12,7 +12,7 @@ from holdfast.operators import drift, evaluation, ranking, threshold, training
 from holdfast.operators.running import measure_ranges
 from holdfast.plans import drift as drift_plan
 from holdfast.sources import sinks
-from holdfast.spec import EvalSpec
+from holdfast.spec import EvalSpec, LabelSpec, ModelingSpec
 
 EVAL = EvalSpec()
 BETA = "cast(1.25 as double)"
@@ -502,3 +502,55 @@ def drift_missing_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     reference, current = t.drift_pair(spark, sf_dir)
     found = drift.missing_rates(reference, current, ["holey", "rarely"])
     return _rounded(found, "ref_missing", "cur_missing")
+
+
+# --- p-values in closed form -------------------------------------------------------------------
+
+HALVES = ModelingSpec("o_orderkey", {}, ("o_orderstatus", "o_orderpriority"), LabelSpec("_label"))
+#: With an even number of degrees of freedom 2k, the chance of x or more is e^(-x/2) times the first
+#: k terms of the series of e^(x/2).
+CHI_P_SQL = (
+    "with long as (select mod(o_orderkey, 2) as half, 'o_orderstatus' as col, o_orderstatus as v from orders "
+    "union all select mod(o_orderkey, 2), 'o_orderpriority', o_orderpriority from orders), counts as "
+    "(select col, v, cast(sum(1 - half) as double) as r, cast(sum(half) as double) as c from long group by "
+    "col, v), tot as (select *, count(*) over w as k, sum(r) over w as ar, sum(c) over w as ac from counts "
+    "window w as (partition by col)), gaps as (select *, (r + c) * ar / (ar + ac) as er, (r + c) * ac / "
+    "(ar + ac) as ec from tot), chi as (select col, max(k) - 1 as dof, sum((r - er) * (r - er) / er + "
+    "(c - ec) * (c - ec) / ec) as x from gaps group by col) select col as \"column\", round(x, 6) as statistic, "
+    "round((select sum(exp(-x / 2) * pow(x / 2, i) / gamma(i + 1)) from range(0, dof // 2) s(i)), 6) as p_value "
+    "from chi where dof % 2 = 0"
+)
+
+
+@entry("chi2_p_values", CHI_P_SQL)
+def chi2_p_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """p-values of orders with even keys against those with odd keys, where their number is closed."""
+    orders = t.table(spark, sf_dir, "orders")
+    even, odd = (orders.where(F.col("o_orderkey") % 2 == k) for k in (0, 1))
+    report = drift.drift_report(even, odd, HALVES)
+    dof = drift.chi2_statistics(even, odd, list(HALVES.categorical)).select("column", "dof")
+    closed = report.join(dof, "column").where("dof % 2 = 0")
+    return _rounded(closed.select("column", "statistic", "p_value"), "statistic", "p_value")
+
+
+ACCOUNTS = ModelingSpec("c_custkey", {"c_acctbal": "number"}, (), LabelSpec("_label"))
+#: For two samples of n rows whose statistic is h / n, the paths that leave the band are counted by
+#: reflection: 2 sum over i of (-1)^(i+1) C(2n, n + ih) / C(2n, n).
+KS_P_SQL = (
+    "with half as (select mod(c_custkey, 2) as half, c_acctbal as v from customer), counts as (select v, sum(1 - "
+    "half) as r, sum(half) as c from half group by v), cdf as (select sum(r) over w as cr, sum(c) over w as cc "
+    "from counts window w as (order by v)), facts as (select cast(max(abs(cr - cc)) as bigint) as h, "
+    "cast(max(cr) as bigint) as n from cdf), terms as (select i, 2 * (case when i % 2 = 1 then 1 else -1 end) * "
+    "exp(2 * lgamma(n + 1) - lgamma(n + i * h + 1) - lgamma(n - i * h + 1)) as term from facts, "
+    "range(1, 1000) s(i) where i * h <= n) select 'c_acctbal' as \"column\", round(cast(h as double) / n, 6) as "
+    "statistic, round(least(1, (select sum(term) from terms)), 6) as p_value from facts"
+)
+
+
+@entry("ks_p_values", KS_P_SQL)
+def ks_p_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The p-value of balances of customers with even keys against as many with odd keys."""
+    customers = t.table(spark, sf_dir, "customer")
+    even, odd = (customers.where(F.col("c_custkey") % 2 == k) for k in (0, 1))
+    report = drift.drift_report(even, odd, ACCOUNTS).select("column", "statistic", "p_value")
+    return _rounded(report, "statistic", "p_value")
