@@ -17,9 +17,9 @@ from holdfast.operators import features, splitting, training
 from holdfast.operators.quality import Check
 from holdfast.plans import evaluate, score, train
 from holdfast.sources import registry, sinks
-from holdfast.spec import LogisticSpec, SearchSpec
+from holdfast.spec import LabelSpec, LogisticSpec, ModelingSpec, SearchSpec
 from holdfast.streaming import scoring as stream_scoring
-from holdfast.streaming import windows
+from holdfast.streaming import labels, windows
 
 SPEC = t.SNAPSHOT_SPEC
 #: A search small enough to run as a query: the rows are whole, only the settings are few.
@@ -423,3 +423,61 @@ def drift_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).awaitTermination()
     counts = _naive(windows.latest_counts(spark.read.parquet(f"{base}/out")))
     return _tested(counts, _event_reference(spark, sf_dir))
+
+
+# --- labels that come later ------------------------------------------------------------------
+
+VIEWS = ModelingSpec("user_id", {}, (), LabelSpec("bought"))
+LATE_LABELS_SQL = (
+    "with s as (select distinct user_id, ts, case when value >= 50 then 'Yes' else 'No' end as p from events where "
+    "event_type = 'view'), l as (select user_id, ts as lts, case when value >= 50 then 'Yes' else 'No' end as a from "
+    "events where event_type = 'purchase'), j as (select s.*, lts, a, row_number() over (partition by s.user_id, "
+    "s.ts, p order by lts, a) as rn from s left join l on l.user_id = s.user_id and lts >= s.ts and lts <= s.ts + "
+    "interval 1 day) select user_id, cast(ts as timestamp) as scored_at, p as predicted_churn, cast(lts as timestamp) "
+    "as labelled_at, a as actual_churn from j where rn = 1"
+)
+
+
+def _views(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Views as scores of users, purchases as labels that come later; large ones are positive."""
+    events = t.table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast(T.TimestampType()))
+    large = F.when(F.col("value") >= 50, "Yes").otherwise("No")
+    scores = events.where("event_type = 'view'").select(
+        "user_id", F.col("ts").alias("scored_at"), large.alias("predicted_churn")
+    )
+    found = events.where("event_type = 'purchase'").select(
+        "user_id", F.col("ts").alias("labelled_at"), large.alias("bought")
+    )
+    return scores, found
+
+
+def _plain_times(labelled: DataFrame) -> DataFrame:
+    return labelled.withColumns({c: F.col(c).cast("timestamp_ntz") for c in (labels.SCORED, labels.LABELLED)})
+
+
+@entry("late_labels", LATE_LABELS_SQL)
+def late_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every score with its first label within a day, from tables."""
+    return _plain_times(labels.scored_with_labels(*_views(spark, sf_dir), VIEWS, "1 day"))
+
+
+@entry("label_stream", LATE_LABELS_SQL)
+def label_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from two streams, a file at a time; rows far in the future close all scores."""
+    base = workspace.new_path(spark, "label_stream")
+    streams = []
+    for name, table in zip(("scores", "labels"), _views(spark, sf_dir), strict=True):
+        time = table.columns[1]
+        table.repartitionByRange(3, time).write.parquet(f"{base}/{name}")
+        for year in (2100, 2101, 2102):
+            end = F.lit(f"{year}-01-01 00:00:00").cast("timestamp")
+            table.limit(1).select(F.lit(-1).cast("long").alias("user_id"), end.alias(time), F.lit("No").alias(table.columns[2])).write.mode(
+                "append"
+            ).parquet(f"{base}/{name}")
+        stream = spark.readStream.schema(table.schema).option("maxFilesPerTrigger", 1)
+        streams.append(stream.parquet(f"{base}/{name}"))
+    labels.label_stream(
+        *streams, VIEWS, "1 day", watermark="60 days", path=f"{base}/out", checkpoint=f"{base}/state"
+    ).awaitTermination()
+    found = labels.streamed_labels(spark, f"{base}/out", VIEWS)
+    return _plain_times(found.where("user_id >= 0"))
