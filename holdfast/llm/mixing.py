@@ -10,7 +10,7 @@ from holdfast.llm.entries import entry, table
 
 #: Words of a block.
 BLOCK = 128
-#: Blocks of an output shard, on average.
+#: Blocks of an output shard; the last one has what is left.
 SHARD = 8192
 #: Weights of the sources in code point order, over and over; null comes last.
 WEIGHTS = (3, 1, 2)
@@ -130,10 +130,11 @@ def _sized(docs: DataFrame) -> DataFrame:
 def _slots(sources: DataFrame, spark: SparkSession) -> DataFrame:
     """(rank, block, shard, slot, most): the blocks that the mix takes, each with its place.
 
-    A source's target is so many whole passes over its blocks and a part of another; that many slots
-    fall on shards with equal chance, so a shard's counts of the sources are a multinomial draw,
-    and what the sources get in all is their target. The slots of a source are numbered through the
-    shards; a slot's number gives a pass and, by that pass's permutation, a block. So no block is
+    A source's target is so many whole passes over its blocks and a part of another, so it has that
+    many slots. The slots of all sources, one after the other, are dealt to shards of SHARD slots by a
+    pseudorandom permutation: a shard's counts of the sources are a multinomial draw, given that the
+    sources get their targets in all. The slots of a source are numbered through the shards; a slot's
+    number gives a pass and, by that pass's permutation, a block. So no block is
     taken more often than passes are begun. The very last slot of a source takes the words that are
     still wanting (most).
     """
@@ -150,13 +151,15 @@ def _slots(sources: DataFrame, spark: SparkSession) -> DataFrame:
         "last", F.when(F.col("want") > 0, F.col("want") - BLOCK * (part - 1)).otherwise(BLOCK)
     )
     total = plan.agg(F.sum("slots")).first()[0] or 0
-    shards = max(1, round(total / SHARD))
+    ahead = Window.orderBy("rank").rowsBetween(Window.unboundedPreceding, -1)  # a row for each source
+    plan = plan.withColumn("ahead", F.coalesce(F.sum("slots").over(ahead), F.lit(0)))
     runs = plan.withColumn("run", F.explode(F.sequence(F.lit(0), F.floor(F.col("slots") / RUN).cast("long"))))
     tasks = max(spark.sparkContext.defaultParallelism, total // SLOTS_PER_TASK)
     runs = runs.repartition(tasks, "rank", "run")
     first, last = F.col("run") * RUN, F.least((F.col("run") + 1) * RUN, F.col("slots")) - 1
-    draws = runs.where(first <= last).select("rank", F.explode(F.sequence(first, last)).alias("k"))
-    shard = F.pmod(F.xxhash64(F.lit("shard"), F.lit(SEED), "rank", "k"), F.lit(shards))
+    draws = runs.where(first <= last).select("rank", "ahead", F.explode(F.sequence(first, last)).alias("k"))
+    place = permuted(F.col("ahead") + F.col("k"), F.lit(total), F.lit(SEED), F.lit("shards"))
+    shard = F.floor(place / SHARD).cast("long")
     counts = draws.groupBy("rank", shard.alias("shard")).agg(F.count("*").alias("count"))
     upto = Window.partitionBy("rank").orderBy("shard")
     before = F.sum("count").over(upto.rowsBetween(Window.unboundedPreceding, -1))

@@ -87,6 +87,30 @@ def test_permutation_is_one(spark):
             assert values != sorted(values)
 
 
+def test_sources_are_drawn_for_each_shard(spark, monkeypatch):
+    """Shards have their size; the counts of the sources in them vary as independent draws do."""
+    monkeypatch.setattr(mixing, "BLOCK", 1)
+    monkeypatch.setattr(mixing, "SHARD", 64)
+    sources = [(0, 3000, 4100.0), (1, 2000, 1500.0), (2, 900, 800.0), (3, 4000, 2700.0)]
+    table = spark.createDataFrame(sources, "rank int, source_size long, target double")
+    slots = mixing._slots(table, spark).groupBy("shard", "rank").count().collect()
+    counts = {(r["shard"], r["rank"]): r["count"] for r in slots}
+    of_shard, of_source = Counter(), Counter()
+    for (shard, rank), n in counts.items():
+        of_shard[shard] += n
+        of_source[rank] += n
+    total = sum(of_source.values())
+    assert [of_source[r] for r in range(4)] == [4100, 1500, 800, 2700]
+    last = max(of_shard)
+    assert last == -(-total // 64) - 1 and all(n == 64 for shard, n in of_shard.items() if shard != last)
+    chi = sum(
+        (counts.get((shard, rank), 0) - of_shard[shard] * n / total) ** 2 / (of_shard[shard] * n / total)
+        for shard in of_shard for rank, n in of_source.items()
+    )
+    free = (len(of_shard) - 1) * 3
+    assert abs(chi - free) < 5 * (2 * free) ** 0.5  # too even would be as wrong as too uneven
+
+
 def test_repeats_and_clashing_columns(spark):
     rows = [(1, "a b c", "s", 9), (1, "a b c", "s", 9), (1, "x", "s", 9), (None, "d e", None, 1)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string, size int")
