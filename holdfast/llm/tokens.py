@@ -15,9 +15,12 @@ from pyspark.sql import functions as F
 from holdfast.llm.common import packed
 from holdfast.llm.entries import entry, table
 
-#: Characters of a batch that the library encodes at once, and of a piece of a long text, about.
+#: Bytes of a batch that the library encodes at once, about; characters of a piece of a long text.
 BATCH = 1 << 18
 PIECE = 1 << 16
+#: Characters between which a blank may be a cut: ASCII, and letters of Latin, Greek, Cyrillic, Hebrew,
+#: Arabic, Han, kana and Hangul that no normal form joins with a blank.
+SAFE = "0-9A-Za-zÀ-ÖØ-öø-ɏΑ-ΡΣ-ωЁА-яёא-תء-ي一-鿿ぁ-ゖァ-ヺ가-힣"
 #: Tokens of a context; longer texts are over the limit.
 LIMIT = 4096
 
@@ -49,7 +52,7 @@ def _sentencepiece(path: str) -> Encoder:
     def lengths(texts: list[str]) -> list[int]:
         return [len(ids) for ids in model.encode(texts, num_threads=1)]
 
-    return Encoder(lengths, re.compile(r"(?<=[0-9A-Za-z.,]) (?=[0-9A-Za-z])") if safe else None)
+    return Encoder(lengths, re.compile(f"(?<=[{SAFE}.,]) (?=[{SAFE}])") if safe else None)
 
 
 def _tokenizers(path: str) -> Encoder:
@@ -85,7 +88,7 @@ def pieces(text: str, cut: re.Pattern | None, size: int) -> list[str]:
 
 
 def count_tokens(texts: Iterator[str], model: Encoder, size: int = PIECE, batch: int = BATCH) -> list[int]:
-    """Tokens of each text. Batches hold about the same number of characters, however long texts are."""
+    """Tokens of each text. Batches hold about the same number of bytes, however long texts are."""
     counts: list[int] = []
     owner: list[int] = []
     waiting: list[str] = []
@@ -102,7 +105,7 @@ def count_tokens(texts: Iterator[str], model: Encoder, size: int = PIECE, batch:
         for piece in pieces(text, model.cut, size):
             owner.append(i)
             waiting.append(piece)
-            held += len(piece)
+            held += len(piece) if piece.isascii() else len(piece.encode())
             if held >= batch:
                 flush()
                 held = 0
@@ -114,7 +117,10 @@ def count_tokens(texts: Iterator[str], model: Encoder, size: int = PIECE, batch:
 def with_tokens(docs: DataFrame, path: str) -> DataFrame:
     """All columns in ``_row``, with ``n_tokens``: as the library gives them, no token added.
 
-    path: a vocabulary file that every executor has at the same place. Null counts as empty text.
+    path: a vocabulary file that every executor has at the same place. Null counts as empty text; special
+    strings inside texts are read as the library does by default. Long texts are encoded in pieces
+    where the vocabulary allows, and a text without any blank, as in Chinese, in one. Repeated rows and
+    ids give a row each, an empty table none; all columns stay in ``_row``.
     """
 
     @F.arrow_udf("bigint")

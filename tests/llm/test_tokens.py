@@ -34,6 +34,35 @@ def test_split_texts_count_the_same(size):
     assert tokens.count_tokens(iter(texts), model, size, 300) == [whole(t) for t in texts]
 
 
+WORDS = {
+    "cyrillic": "привет мир Ёлка вокзал", "greek": "καλημέρα κόσμε Ωραία", "arabic": "مرحبا بالعالم كتاب", "hebrew": "שלום עולם ספר",
+    "hangul": "안녕 세상 책을", "latin": "Straße l'été año ŝi œuvre ĳs", "kana": "これは ペン です 漢字",
+    "odd": "ﹰ ﱞ ¨ x\u0301 ͺ \u3000 ½ ﬁn Å № \u0301a",
+}
+
+
+@pytest.mark.parametrize("script", WORDS)
+def test_long_texts_of_other_scripts_are_split(script):
+    """A long text in words of other scripts comes in pieces, and counts as the library counts it."""
+    draw = random.Random(script)
+    text = " ".join(draw.choices(WORDS[script].split(" ") + ["and", "7", "."], k=4000))
+    model = tokens.encoder(PIECES)
+    assert len(tokens.pieces(text, model.cut, 200)) > 20
+    assert tokens.count_tokens(iter([text]), model, 200, 5000) == [whole(text)]
+
+
+def test_batches_are_balanced_by_bytes():
+    sizes = []
+
+    def lengths(texts):
+        sizes.append(sum(len(t.encode()) for t in texts))
+        return [1] * len(texts)
+
+    mixed = [("ж" if i % 2 else "a") * 100 for i in range(4000)]
+    tokens.count_tokens(iter(mixed), tokens.Encoder(lengths, None), 1 << 16, 10_000)
+    assert all(10_000 <= n < 10_200 for n in sizes[:-1])
+
+
 def test_query_and_split_documents(spark, monkeypatch):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text").collect()
     expected = sorted((i, len((t or "").encode()), whole(t), whole(t) > 4096) for i, t in docs)
