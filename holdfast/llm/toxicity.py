@@ -16,7 +16,7 @@ from holdfast.llm.common import packed, settle
 from holdfast.llm.entries import entry, table
 from holdfast.llm.langid import held_out
 
-#: Lengths of the n-grams, in bytes of lower-cased text; each has its own part of the table.
+#: Lengths of the n-grams, in characters of lower-cased text; each has its own part of the table.
 LENGTHS = (4, 5, 6)
 #: Places of a part of the table, as a power of two.
 BITS = 22
@@ -30,32 +30,33 @@ ROUNDS, PENALTY, PRIOR = 300, 1e-4, 1.0
 BLOCK = 1 << 20
 #: Labels that are sent to every task; more meet their texts by a shuffle.
 BROADCAST = 1 << 20
-#: Bytes of a part of a text. Longer texts are seen in equal parts, each as a text of its own.
+#: Characters of a part of a text. Longer texts are seen in equal parts, each as a text of its own.
 CHUNK = 1 << 14
 #: Counted places in a batch on their way out of a task.
 BATCH = 1 << 17
 SIZE = len(LENGTHS) << BITS
 
 
-def _lowered(text: str) -> bytes:
-    return (" " + text.lower() + " ").encode()
+def _lowered(text: str) -> np.ndarray:
+    """The code points of a text in lower case, with a blank before and after it."""
+    return np.frombuffer((" " + text.lower() + " ").encode("utf-32-le"), np.uint32)
 
 
-def _parts(text: str | None) -> list[bytes]:
-    """The fewest equal parts of at most CHUNK bytes, each with the start of the next: every n-gram
-    begins in one of them. A blank before and after the text marks its ends."""
+def _parts(text: str | None) -> list[np.ndarray]:
+    """The fewest equal parts of at most CHUNK characters, each with the start of the next: every
+    n-gram begins in one of them. A blank before and after the text marks its ends."""
     data = _lowered(text or "")
     many = -(-len(data) // CHUNK)
     size = -(-len(data) // many)
     return [data[at : at + size + max(LENGTHS) - 1] for at in range(0, len(data), size)]
 
 
-def _places(part: bytes) -> np.ndarray:
-    """The place of every n-gram as it comes, repeated ones too."""
-    data = np.frombuffer(part, np.uint8).astype(np.uint64)
+def _places(part: np.ndarray) -> np.ndarray:
+    """The place of every n-gram as it comes, repeated ones too: a hash of its characters."""
+    data = part.astype(np.uint64) + np.uint64(1)
     gram, found = data, []
     for length in range(2, max(LENGTHS) + 1):
-        gram = gram[:-1] << np.uint64(8) | data[length - 1 :]
+        gram = gram[:-1] * np.uint64(0xBF58476D1CE4E5B9) + data[length - 1 :]
         if length in LENGTHS:
             place = (gram * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - BITS)).astype(np.int32)
             found.append(place + np.int32(LENGTHS.index(length) << BITS))
@@ -112,7 +113,7 @@ class Classifier:
     def __getstate__(self) -> dict:
         return {k: v for k, v in self.__dict__.items() if k != "_counts"}
 
-    def found(self, part: bytes) -> np.ndarray:
+    def found(self, part: np.ndarray) -> np.ndarray:
         """Which of the places a part has, as numbers from 0, each once, in order."""
         places = _places(part)
         return np.searchsorted(self.places, _once(places[self._counts[places]]))
@@ -199,7 +200,7 @@ def _trainer(spark: SparkSession, model: Classifier, share: float):
             columns = (batch[c].to_pylist() for c in ("doc_id", "text", "label"))
             for doc_id, text, label in zip(*columns, strict=True):
                 for i, part in enumerate(_parts(text)):
-                    draw = hashlib.blake2b(part, digest_size=8, key=f"{doc_id} {i}".encode()).digest()
+                    draw = hashlib.blake2b(part.tobytes(), digest_size=8, key=f"{doc_id} {i}".encode()).digest()
                     if int.from_bytes(draw, "big") < share * 2.0**64:
                         labels.append(label)
                         held.append(shipped.value.found(part).astype(np.int32))
@@ -264,7 +265,12 @@ def learn(docs: DataFrame, labels: DataFrame) -> Classifier:
 
 
 def with_toxicity(docs: DataFrame, model: Classifier) -> DataFrame:
-    """All columns in ``_row``, with ``score`` from 0 to 1. Only the text is looked at."""
+    """All columns in ``_row``, with ``score`` from 0 to 1. Only the text is looked at.
+
+    Null and empty texts get the score of a text without features that count; long ones that of the
+    mean margin of their parts. Repeated rows and ids give a row each, an empty table none; other
+    columns, also one named ``score``, stay in ``_row``.
+    """
     shipped = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.arrow_udf("double")

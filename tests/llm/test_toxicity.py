@@ -13,15 +13,24 @@ LARGER = SMALL.replace("0.001", "0.1")
 
 
 def plain_features(text):
-    data = (" " + (text or "").lower() + " ").encode()
+    data = [ord(x) for x in " " + (text or "").lower() + " "]
     out = set()
     for part, n in enumerate(toxicity.LENGTHS):
         for i in range(len(data) - n + 1):
-            place = int.from_bytes(data[i : i + n], "big") * 0x9E3779B97F4A7C15 % (1 << 64) >> (64 - toxicity.BITS)
+            gram = 0
+            for x in data[i : i + n]:
+                gram = (gram * 0xBF58476D1CE4E5B9 + x + 1) % (1 << 64)
+            place = gram * 0x9E3779B97F4A7C15 % (1 << 64) >> (64 - toxicity.BITS)
             out.add(place + (part << toxicity.BITS))
     return sorted(out)
 
 
+def test_characters_not_bytes_make_an_ngram():
+    """Four characters of any script are one n-gram of the first length, whatever their bytes."""
+    first = [p for p in toxicity.features("漢字") if p < 1 << toxicity.BITS]
+    assert len(first) == 1  # blank, two characters, blank
+
+
 @pytest.mark.parametrize("text", [None, "", "a", "You IDIOT", "Straße é😀\n\tx", "ab" * 300])
 def test_features(text, monkeypatch):
     expected = plain_features(text)
