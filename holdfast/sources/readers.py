@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from holdfast.contracts import SNAPSHOT_RULES, ColumnRule
 from holdfast.functions import repair
+from holdfast.sources import csv_blocks
 
 PARQUET_SUFFIXES = (".parquet", ".pq")
 CSV_SUFFIXES = (".csv",)
@@ -35,14 +36,23 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return True
 
 
-def _csv_reader(spark: SparkSession, multi_line: bool) -> DataFrameReader:
-    """Standard CSV: quotes inside quoted text are doubled.
+def _csv_reader(spark: SparkSession) -> DataFrameReader:
+    """Standard CSV: quotes inside quoted text are doubled. Files are read in blocks.
 
-    Without ``multi_line`` files are read in blocks, and a line break inside quotes is an error, as
-    is any line with too few or too many fields. With it, each file is read by one task.
+    A line break inside quotes is an error, as is any line with too few or too many fields.
     """
-    reader = spark.read.option("header", True).option("escape", '"').option("multiLine", multi_line)
-    return reader if multi_line else reader.option("mode", "FAILFAST")
+    return spark.read.option("header", True).option("escape", '"').option("mode", "FAILFAST")
+
+
+def _header(spark: SparkSession, path: str, multi_line: bool) -> list[str]:
+    """Column names of the first file: its first record is read, and nothing inferred."""
+    return _csv_reader(spark).option("multiLine", multi_line).csv(path).columns
+
+
+def _csv(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool) -> DataFrame:
+    if multi_line:
+        return csv_blocks.read_csv(spark, path, schema, _header(spark, path, True))
+    return _csv_reader(spark).schema(schema).option("enforceSchema", False).csv(path)
 
 
 def read_text_csv(
@@ -54,15 +64,15 @@ def read_text_csv(
     """CSV with a header, every column as text, in any order.
 
     ``columns``: the header must hold exactly these. All files must share one header.
-    ``multi_line``: quoted text may hold line breaks; a file is then one task's work.
+    ``multi_line``: quoted text may hold line breaks. Files are still read in blocks, by counting
+    quotes first (``csv_blocks``).
     """
-    reader = _csv_reader(spark, multi_line)
-    header = reader.csv(path).columns  # reads the first line only: nothing is inferred
+    header = _header(spark, path, multi_line)
     if columns is not None and sorted(header) != sorted(columns):
         odd = sorted(set(header) ^ set(columns))
         raise ValueError(f"CSV header and expected columns differ in {odd}")
     schema = T.StructType([T.StructField(c, T.StringType()) for c in header])
-    text = reader.schema(schema).option("enforceSchema", False).csv(path)
+    text = _csv(spark, path, schema, multi_line)
     return text if columns is None else text.select(*columns)
 
 
@@ -112,5 +122,4 @@ def read_table(
         return read_parquet(spark, path)
     if schema is None:
         return read_text_csv(spark, path, multi_line=multi_line)
-    reader = _csv_reader(spark, multi_line).schema(schema).option("enforceSchema", False)
-    return repair.clean_nans(reader.csv(path))
+    return repair.clean_nans(_csv(spark, path, schema, multi_line))

@@ -1,0 +1,93 @@
+import csv
+import random
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from holdfast.sources import csv_blocks, readers, sinks
+
+WORDS = ["a", "", '"', ",", "\n", "\r\n", "\n\n", 'x"y', "ж", "plain text", " ends ", "\r"]
+
+
+def random_rows(seed, n):
+    draw = random.Random(seed)
+    return [("%d" % i, *("".join(draw.choices(WORDS, k=draw.randint(1, 9))) for _ in "bc")) for i in range(n)]
+
+
+@pytest.fixture
+def small_blocks(spark):
+    key = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(key)
+    yield lambda size: spark.conf.set(key, str(size))
+    spark.conf.set(key, before)
+
+
+def known(rows):
+    """What the reader makes of empty text: nothing between commas is null, empty quotes are empty."""
+    return sorted(tuple(v or "" for v in r) for r in rows)
+
+
+@pytest.mark.parametrize("size", [90, 400, 1 << 20])
+@pytest.mark.parametrize("ends", ["\n", "\r\n"])
+def test_records_in_blocks_of_any_size(spark, tmp_path, small_blocks, size, ends):
+    want = []
+    for i in range(3):
+        rows = random_rows(i, 40)
+        with open(tmp_path / f"{i}.csv", "w", newline="", encoding="utf-8") as f:
+            writer = csv.writer(f, lineterminator=ends, quoting=csv.QUOTE_ALL if i else csv.QUOTE_MINIMAL)
+            writer.writerows([("id", "b", "c"), *rows])
+        want += rows
+    small_blocks(size)
+    got = readers.read_text_csv(spark, str(tmp_path), multi_line=True)
+    if size < 1000:
+        assert spark.read.option("lineSep", "\n").text(str(tmp_path)).rdd.getNumPartitions() > 10
+    assert known(map(tuple, got.collect())) == known(want)
+
+
+def test_records_over_many_blocks(spark, tmp_path, small_blocks, monkeypatch):
+    """A record may cover blocks whole; with too many blocks to broadcast the rows are the same."""
+    long = "\n".join(f'line "{i}", of many' for i in range(200))
+    rows = [("1", "short"), ("2", long), ("3", "two\nlines"), ("4", "end")]
+    with open(tmp_path / "a.csv", "w", newline="") as f:
+        csv.writer(f, lineterminator="\n").writerows([("id", "head\nline"), *rows])
+    small_blocks(64)
+    for most in (csv_blocks.BROADCAST, 0):
+        monkeypatch.setattr(csv_blocks, "BROADCAST", most)
+        got = readers.read_text_csv(spark, str(tmp_path), ["id", "head\nline"], multi_line=True)
+        assert known(map(tuple, got.collect())) == known(rows)
+
+
+def test_types_header_and_faults(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('id,v\n1,"2.5"\n\n2,\n')
+    (tmp_path / "b.csv").write_text("id,v\n3,NaN\n")
+    (tmp_path / "empty.csv").write_text("")
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("v", T.DoubleType())])
+    got = csv_blocks.read_csv(spark, str(tmp_path), schema, ["id", "v"]).collect()
+    assert sorted(map(str, got)) == ["Row(id=1, v=2.5)", "Row(id=2, v=None)", "Row(id=3, v=nan)"]
+    for name, body, message in [
+        ("header", "v,id\n1,2\n", "another header"),
+        ("open", 'id,v\n1,"2\n3,4\n', "do not close"),
+        ("fields", "id,v\n1,2,3\n", "(?i)malformed"),
+        ("type", "id,v\nx,2\n", "(?i)malformed"),
+    ]:
+        folder = tmp_path / name
+        folder.mkdir()
+        (folder / "f.csv").write_text(body)
+        with pytest.raises(Exception, match=message):
+            csv_blocks.read_csv(spark, str(folder), schema, ["id", "v"]).collect()
+
+
+def test_only_a_header(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("id,v\n")
+    assert readers.read_text_csv(spark, str(tmp_path), multi_line=True).count() == 0
+
+
+def test_rows_equal_those_of_one_task_a_file(spark, tmp_path, small_blocks):
+    rows = spark.createDataFrame(random_rows(9, 200), "id string, b string, c string")
+    path = sinks.write_table(rows.coalesce(1), str(tmp_path / "x.csv"))
+    whole = spark.read.option("header", True).option("escape", '"').option("multiLine", True).csv(path)
+    small_blocks(500)
+    back = readers.read_text_csv(spark, path, rows.columns, multi_line=True)
+    assert back.exceptAll(whole).count() == 0 and whole.exceptAll(back).count() == 0
+    assert back.where(F.col("b").contains("\n")).count() > 50
