@@ -19,7 +19,7 @@ from holdfast.plans import evaluate, score, train
 from holdfast.sources import registry, sinks
 from holdfast.spec import LabelSpec, LogisticSpec, ModelingSpec, SearchSpec
 from holdfast.streaming import scoring as stream_scoring
-from holdfast.streaming import labels, windows
+from holdfast.streaming import late, labels, windows
 
 SPEC = t.SNAPSHOT_SPEC
 #: A search small enough to run as a query: the rows are whole, only the settings are few.
@@ -369,6 +369,30 @@ def validate_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _naive(windows.latest_windows(spark.read.parquet(f"{base}/out")))
 
 
+LATE_WINDOWS_SQL = EVENT_WINDOWS_SQL.replace(
+    " from events",
+    ", count(*) filter (where event_id % 3 = 0 and time_bucket(interval '6 hours', ts, timestamp "
+    "'1970-01-01') + interval '6 hours' <= (select max(ts) from events where event_id % 3 <> 0) - "
+    "interval '1 hour') as n_late from events",
+    1,
+)
+
+
+@entry("late_windows", LATE_WINDOWS_SQL)
+def late_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Window counts where every third event comes in a second run, mostly late: none is left out."""
+    base = workspace.new_path(spark, "late_windows")
+    events = t.table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast(T.TimestampType()))
+    third = F.col("event_id") % 3 == 0
+    for part in (events.where(~third), events.where(third)):
+        part.write.mode("append").parquet(f"{base}/in")
+        late.count_stream(
+            spark.readStream.schema(events.schema).parquet(f"{base}/in"), "ts", "6 hours", _event_checks(),
+            path=f"{base}/out", checkpoint=f"{base}/state", delay="1 hour",
+        ).awaitTermination()
+    return _naive(late.with_late(late.counts(spark, f"{base}/out")))
+
+
 DRIFT_WINDOWS_SQL = (
     "with half as (select min(ts) + (max(ts) - min(ts)) / 2 as middle from events), "
     "ref as (select event_type as v, count(*) as r from events cross join half where ts < middle "
