@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.ml import PipelineModel
@@ -18,8 +19,8 @@ from holdfast.operators.quality import Check
 from holdfast.plans import evaluate, score, train
 from holdfast.sources import registry, sinks
 from holdfast.spec import LabelSpec, LogisticSpec, ModelingSpec, SearchSpec
+from holdfast.streaming import labels, late, windows
 from holdfast.streaming import scoring as stream_scoring
-from holdfast.streaming import late, labels, windows
 
 SPEC = t.SNAPSHOT_SPEC
 #: A search small enough to run as a query: the rows are whole, only the settings are few.
@@ -221,15 +222,24 @@ def champion_resolve(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def _batch(spark: SparkSession, sf_dir: str) -> tuple[score.Scored, str]:
-    """All customers scored from a file with the frozen champion, refused rows set aside."""
+def prepared_batch(spark: SparkSession, sf_dir: str) -> tuple[Callable[[], score.Scored], str]:
+    """A champion frozen and the customers written; what scores that file, and the folder it all is in."""
     _, base = _evaluated(spark, sf_dir)
     source = sinks.write_table(t.snapshot(spark, sf_dir), f"{base}/snapshot.parquet")
-    done = score.score_batch(
-        spark, source, f"{base}/scores.parquet", SPEC, f"{base}/champion", mode=score.QUARANTINE,
-        rejects_path=f"{base}/rejects.parquet", runs_path=f"{base}/scoring_runs",
-    )
-    return done, base
+
+    def run() -> score.Scored:
+        return score.score_batch(
+            spark, source, f"{base}/scores.parquet", SPEC, f"{base}/champion", mode=score.QUARANTINE,
+            rejects_path=f"{base}/rejects.parquet", runs_path=f"{base}/scoring_runs",
+        )
+
+    return run, base
+
+
+def _batch(spark: SparkSession, sf_dir: str) -> tuple[score.Scored, str]:
+    """All customers scored from a file with the frozen champion, refused rows set aside."""
+    run, base = prepared_batch(spark, sf_dir)
+    return run(), base
 
 
 @entry("score_batch")
