@@ -152,7 +152,7 @@ def read_csv(
     Records with too few or too many fields, and fields that the schema cannot read, are errors.
     """
     options = {"escape": '"', "mode": "FAILFAST", "multiLine": "true"}
-    texts = read_texts(spark, path).withColumn("record", F.regexp_replace("record", "\r$", ""))
+    texts = read_texts(spark, path).withColumn("record", F.regexp_replace("record", r"\r\z", ""))
 
     def fields(names: Sequence[str], types: Sequence[str]) -> Column:
         quoted = ["`" + name.replace("`", "``") + "`" for name in names]
