@@ -220,10 +220,12 @@ def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES, mark: str = "[secre
 def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find_secrets(table(spark, sf_dir, "documents").select("doc_id", "text"))
     base = F.filter("spans", lambda s: s["rank"] < len(BASE_RULES))
-    counts = [
-        F.size(F.filter("spans", lambda s, k=k: s["rank"] == k)).cast("long").alias(f"n_{rule.kind}")
-        for k, rule in enumerate(BASE_RULES)
-    ]
+
+    def of_rank(k: int) -> Column:
+        # One argument only: to a function of two, filter gives each span's place as the second.
+        return F.size(F.filter("spans", lambda s: s["rank"] == k)).cast("long")
+
+    counts = [of_rank(k).alias(f"n_{rule.kind}") for k, rule in enumerate(BASE_RULES)]
     return found.select(
         F.col("_row.doc_id").alias("doc_id"),
         *counts,

@@ -60,6 +60,16 @@ def test_query_on_documents(spark):
     assert sorted(tuple(r)[:5] for r in got.collect()) == sorted(expected(*r) for r in docs)
 
 
+def test_counts_of_several_spans(spark, tmp_path):
+    """Each kind is counted by itself, whatever its place among a text's spans."""
+    hexes, key = "a0" * 12, "AKIA" + "Z" * 16
+    texts = [*TEXTS, hexes, f"{hexes} {hexes}\n{key}", f"{key} {key} {key}", f'token = "{hexes}" {key} secret=abcdef', f"x://u:pass@h {hexes}"]
+    rows = [*enumerate(texts), (None, texts[-2]), (0, texts[-3])]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = [tuple(r)[:5] for r in secrets.op6_secrets(spark, str(tmp_path)).collect()]
+    assert sorted(got, key=str) == sorted((expected(*r) for r in rows), key=str)
+
+
 SAMPLES = {
     "assign": ["PassWord=abcdefg", "passwd:aaaaaa", "api_key=aaaaaa", "APIKEY = aaaaaa"], "access": ["AKIA" + "Z" * 16],
     "private_key": ["-----BEGIN PRIVATE KEY-----", "-----BEGIN EC PRIVATE KEY-----"],
