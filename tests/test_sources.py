@@ -1,5 +1,10 @@
+import glob
+import gzip
 import hashlib
+import random
+from urllib.parse import unquote
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -9,6 +14,7 @@ from holdfast.functions import repair
 from holdfast.operators import quality
 from holdfast.plans import prepare
 from holdfast.sources import fingerprint, readers, registry, sinks
+from holdfast.sources.sha256 import Sha256
 
 
 def test_raw_csv_roundtrip(spark, raw, tmp_path):
@@ -163,3 +169,54 @@ def test_run_folder_is_cleaned(spark, monkeypatch):
     assert readers.path_exists(spark, path) and path.startswith(workspace.run_dir(spark))
     workspace.clean_up(spark)
     assert not readers.path_exists(spark, path)
+
+
+def test_file_digests_in_parts(spark, tmp_path, monkeypatch):
+    """Large files, whatever their bytes, by the same digests; no task sees more than about a part."""
+    draw = random.Random(3)
+    noise = draw.randbytes(300_000)
+    files = {
+        "noise": noise, "ended": noise[:70_000] + b"\n", "breaks": b"\n" * 50_000, "crlf": b"a\r\nb\rc\n" * 9_000,
+        "marked": b"\xef\xbb\xbf" + noise[:60_001] + b"x", "marked_ended": b"\xef\xbb\xbfab\n" * 20_000,
+        "mark_only": b"\xef\xbb\xbf", "no_break": b"\x00" * 90_000, "small": b"some bytes", "empty": b"",
+        "at_bound": noise[:40_000], "over_bound": noise[:40_001], "a b%20[é].parquet": noise[5:120_000],
+        "packed.gz": gzip.compress(noise[:100_000]),
+    }
+    (tmp_path / "in").mkdir()
+    for name, data in files.items():
+        (tmp_path / "in" / name).write_bytes(data)
+    monkeypatch.setattr(workspace, "_RUN", "run-parts")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        got = fingerprint.file_digests(spark, str(tmp_path / "in"), part_bytes=40_000).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    named = {unquote(r["path"]).rsplit("/", 1)[1]: r["sha256"] for r in got}
+    assert files.pop("empty") == b"" and len(got) == len(files)  # Spark lists no empty files
+    assert named == {unquote(name): hashlib.sha256(data).hexdigest() for name, data in files.items()}
+    parts = spark.read.parquet(glob.glob(f"{workspace.run_dir(spark)}/file_parts-*")[0].removeprefix("file:"))
+    assert parts.agg(F.max(F.octet_length("data"))).first()[0] <= fingerprint.CHUNK
+    sizes = parts.groupBy("id", "part").agg(F.sum("n").alias("n")).collect()
+    by_size = sorted(r["n"] for r in sizes)
+    assert len({r["part"] for r in sizes}) == 8 and by_size[-1] == 90_001 and by_size[-2] < 45_000
+    workspace.clean_up(spark)
+
+
+def test_large_files_in_parts_are_refused_if_asked(spark, tmp_path):
+    (tmp_path / "f.bin").write_bytes(b"12345\n6")
+    assert fingerprint.file_digests(spark, str(tmp_path), part_bytes=2).first()["sha256"] == hashlib.sha256(b"12345\n6").hexdigest()
+    with pytest.raises(Exception, match="too large"):
+        fingerprint.file_digests(spark, str(tmp_path), most_bytes=4, part_bytes=2).collect()
+
+
+def test_sha256_goes_on():
+    data, at = random.Random(4).randbytes(100_000), 0
+    digest = Sha256()
+    for size in (0, 1, 63, 64, 65, 127, 1000, 55, 56, 98_569):
+        part = pa.py_buffer(data[at : at + size])
+        digest = Sha256(digest.state)
+        digest.update(part.address, part.size)
+        at += size
+        assert digest.n_bytes == at and digest.hexdigest() == hashlib.sha256(data[:at]).hexdigest()
+    assert at == len(data)
