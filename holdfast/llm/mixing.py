@@ -188,7 +188,9 @@ def mixed_pieces(placed: DataFrame) -> DataFrame:
     cut = placed.where("size > 0").select(
         "rank", "h1", "h2", "copy", "start", "size", F.explode(blocks).alias("block")
     )
-    pieces = cut.join(_slots(sources, spark), ["rank", "block"])
+    # The planner takes either side for the few rows that it unfolds from, and would have the driver
+    # broadcast all slots; both sides go by their keys.
+    pieces = cut.hint("merge").join(_slots(sources, spark), ["rank", "block"])
     at = F.col("block") * BLOCK
     word_from = F.greatest(at, F.col("start"))
     word_to = F.least(at + F.col("most"), F.col("start") + F.col("size"))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from conftest import SMALL
 from holdfast.llm import mixing
+from holdfast.llm.common import settle
 
 SCHEMA = "doc_id long, text string, source string"
 
@@ -135,3 +136,37 @@ def test_no_python_in_the_plan(spark):
     with contextlib.redirect_stdout(shown):
         mixing.op5_mixing(spark, SMALL).explain("simple")
     assert "Python" not in shown.getvalue() and "Arrow" not in shown.getvalue()
+
+
+def plan_of(table):
+    return table._jdf.queryExecution().executedPlan().toString()
+
+
+def broadcast(table):
+    """The lines of its plan that stand under a broadcast."""
+    lines, found = plan_of(table).splitlines(), set()
+    depth = [len(re.match(r"[ :+-]*", line)[0]) for line in lines]
+    for k, line in enumerate(lines):
+        if "BroadcastExchange" in line:
+            below = next((j for j in range(k + 1, len(lines)) if depth[j] <= depth[k]), len(lines))
+            found |= set(lines[k:below])
+    return found
+
+
+def test_slots_are_not_broadcast(spark):
+    """Two rows that unfold to 12 million slots look small to the planner; they do not go through the driver."""
+    kind = "rank int, size long, source_size long, target double, h1 long, h2 long, copy int, start long"
+    words = 4_000_000 * mixing.BLOCK
+    rows = [(k, words, words, 1.5 * words, k, k, 1, 0) for k in range(2)]
+    pieces = mixing.mixed_pieces(settle(spark.createDataFrame(rows, kind), "placed"))
+    assert "explode(sequence(first" in plan_of(pieces)
+    assert not [x for x in broadcast(pieces) if "explode(sequence(first" in x or "explode(sequence(FLOOR" in x]
+
+
+def test_mixture_does_not_broadcast_slots(spark, tmp_path):
+    """The stage of the pipeline, from a file of few rows."""
+    docs = spark.createDataFrame([(i, f"w{i} " * 300, "ab"[i % 2]) for i in range(40)], SCHEMA)
+    docs.write.parquet(str(tmp_path / "docs"))
+    mix = mixing.mix(spark.read.parquet(str(tmp_path / "docs")))
+    assert "explode(sequence(first" in plan_of(mix)
+    assert not [x for x in broadcast(mix) if "explode(sequence(first" in x or "explode(sequence(FLOOR" in x]
