@@ -157,18 +157,19 @@ def _slots(sources: DataFrame, spark: SparkSession) -> DataFrame:
     tasks = max(spark.sparkContext.defaultParallelism, total // SLOTS_PER_TASK)
     runs = runs.repartition(tasks, "rank", "run")
     first, last = F.col("run") * RUN, F.least((F.col("run") + 1) * RUN, F.col("slots")) - 1
-    draws = runs.where(first <= last).select("rank", "ahead", F.explode(F.sequence(first, last)).alias("k"))
+    # what a source's slots need goes along: a join with it may be planned in the tasks of its few rows
+    source = ["rank", "blocks", "slots", "last"]
+    draws = runs.where(first <= last).select(*source, "ahead", F.explode(F.sequence(first, last)).alias("k"))
     place = permuted(F.col("ahead") + F.col("k"), F.lit(total), F.lit(SEED), F.lit("shards"))
     shard = F.floor(place / SHARD).cast("long")
-    counts = draws.groupBy("rank", shard.alias("shard")).agg(F.count("*").alias("count"))
+    counts = draws.groupBy(*source, shard.alias("shard")).agg(F.count("*").alias("count"))
     upto = Window.partitionBy("rank").orderBy("shard")
     before = F.sum("count").over(upto.rowsBetween(Window.unboundedPreceding, -1))
     counts = counts.withColumn("first", F.coalesce(before, F.lit(0)))
     # few rows that unfold to very many: dealt out by number, or they would be joined into one task
     counts = counts.repartition(tasks, "rank", "shard")
     number = F.explode(F.sequence(F.col("first"), F.col("first") + F.col("count") - 1)).alias("k")
-    slots = counts.join(plan.select("rank", "blocks", "slots", "last"), "rank")
-    slots = slots.select("rank", "shard", "blocks", "slots", "last", number)
+    slots = counts.select(*source, "shard", number)
     pass_no = F.floor(F.col("k") / F.col("blocks")).cast("long")
     block = permuted(F.col("k") % F.col("blocks"), F.col("blocks"), F.lit(SEED), F.col("rank"), pass_no)
     most = F.when(F.col("k") == F.col("slots") - 1, F.col("last")).otherwise(BLOCK)

@@ -170,3 +170,16 @@ def test_mixture_does_not_broadcast_slots(spark, tmp_path):
     mix = mixing.mix(spark.read.parquet(str(tmp_path / "docs")))
     assert "explode(sequence(first" in plan_of(mix)
     assert not [x for x in broadcast(mix) if "explode(sequence(first" in x or "explode(sequence(FLOOR" in x]
+
+
+def test_slots_are_unfolded_in_many_tasks(spark, monkeypatch):
+    """Slots are numbered in the tasks that they are dealt to, not in those of the few rows of the sources."""
+    monkeypatch.setattr(mixing, "SHARD", 8)
+    monkeypatch.setattr(mixing, "SLOTS_PER_TASK", 500)
+    rows = [(k, 200_000, 300_000.0) for k in range(3)]
+    sources = settle(spark.createDataFrame(rows, "rank int, source_size long, target double").coalesce(1), "targets")
+    slots = mixing._slots(sources, spark)
+    tasks = slots.groupBy(F.spark_partition_id().alias("task")).count().collect()
+    total = sum(r["count"] for r in tasks)
+    assert len(tasks) > 8 and max(r["count"] for r in tasks) < total / 3
+    assert "Join" not in plan_of(slots)
